@@ -22,11 +22,7 @@ from plaudit.session import scratch_path
 from plaudit.sources.adapters import brand_summary, event_evaluation, reviews_from_events
 from plaudit.sources.json_reviews import parse_json_column, read_reviews
 from plaudit.sources.tables import load_table
-from plaudit.streaming.windowed import (
-    score_closed_windows,
-    start_summary_stream,
-    summarize_stream,
-)
+from plaudit.streaming.windowed import windowed_scorecard
 
 # Parameters of the driver queries (shared with the SQL oracle).
 EVENTS_MAX_PCT = 20.0  # A1: share of error events allowed, in percent
@@ -231,21 +227,23 @@ def scorecard_from_json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, duration: int, slide: int, max_pct: float) -> DataFrame:
-    """Stage 1 as a Structured Streaming query over ``events`` (availableNow),
-    stage 2 as a batch scorecard over its closed windows."""
+    """``events`` as a Structured Streaming source (availableNow) through
+    stage 1, then the batch scorecard of its closed windows."""
     schema = load_table(spark, sf_dir, "events").schema
     events = (
         spark.readStream.schema(schema)
         .option("pathGlobFilter", "events.parquet")
         .parquet(sf_dir)
     )
-    summary = summarize_stream(reviews_from_events(events), duration, slide, STREAM_DELAY)
-    out = scratch_path(spark, "stream-out")
-    query = start_summary_stream(summary, out, scratch_path(spark, "stream-checkpoint"))
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise RuntimeError(f"stream failed: {query.exception()}")
-    return score_closed_windows(spark, out, max_pct_negative=max_pct)
+    return windowed_scorecard(
+        reviews_from_events(events),
+        scratch_path(spark, "stream-out"),
+        scratch_path(spark, "stream-checkpoint"),
+        duration,
+        slide,
+        STREAM_DELAY,
+        max_pct_negative=max_pct,
+    )
 
 
 def stream_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -25,6 +25,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once the DataFrames that use them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

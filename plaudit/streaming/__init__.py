@@ -1,10 +1,19 @@
 """Structured Streaming: stage-1 windowed summaries, stage-2 scoring."""
 
 from plaudit.streaming.windowed import (
+    run_for,
     score_closed_windows,
     start_summary_stream,
     stream_reviews,
     summarize_stream,
+    windowed_scorecard,
 )
 
-__all__ = ["score_closed_windows", "start_summary_stream", "stream_reviews", "summarize_stream"]
+__all__ = [
+    "run_for",
+    "score_closed_windows",
+    "start_summary_stream",
+    "stream_reviews",
+    "summarize_stream",
+    "windowed_scorecard",
+]

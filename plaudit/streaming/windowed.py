@@ -108,24 +108,27 @@ def summarize_stream(
 
 def start_summary_stream(
     summary_stream: DataFrame,
-    output_path: str,
+    output_path: str | None,
     checkpoint_path: str,
     available_now: bool = True,
     processing_time: str | None = None,
     query_name: str | None = None,
+    fmt: str = "parquet",
 ) -> StreamingQuery:
-    """STR1/STR7/SNK2: write stage 1 to Parquet with a checkpoint.
+    """STR1/STR7/SNK2: write stage 1 to files with a checkpoint.
 
     ``available_now`` drains what is there and stops (backfill, tests);
     ``processing_time`` (e.g. ``"6 seconds"``) runs live. Restarting on the
     same checkpoint resumes where it stopped and writes nothing twice.
+    ``fmt="console"`` prints each micro-batch instead (SNK3; no path).
     """
     writer = (
-        summary_stream.writeStream.format("parquet")
+        summary_stream.writeStream.format(fmt)
         .outputMode("append")
-        .option("path", output_path)
         .option("checkpointLocation", checkpoint_path)
     )
+    if output_path is not None:
+        writer = writer.option("path", output_path)
     if query_name:
         writer = writer.queryName(query_name)
     if processing_time:
@@ -141,9 +144,15 @@ def score_closed_windows(
     max_pct_negative: float = 10.0,
     volume_rule: str = "gt",
     order_by: str = "avg_points",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
-    """Stage 2: the scorecard of every closed window written by stage 1."""
-    summary = spark.read.parquet(summary_path)
+    """Stage 2: the scorecard of every closed window written by stage 1.
+
+    Pass the stage-1 ``schema`` so that a stream that has closed no window
+    yet scores to an empty frame instead of failing schema inference.
+    """
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    summary = reader.parquet(summary_path)
     return score_summary(
         summary,
         scope=list(WINDOW_COLUMNS),
@@ -152,3 +161,46 @@ def score_closed_windows(
         order_by=order_by,
         materialize=False,
     )
+
+
+def run_for(query: StreamingQuery, seconds: float) -> bool:
+    """STR8: wait up to ``seconds`` for a live query, then stop it.
+
+    Returns whether it had finished by itself. ``stop`` ends the query after
+    its current trigger; whatever it committed stays committed (checkpoint),
+    so a later start on the same checkpoint picks up the rest.
+    """
+    finished = query.awaitTermination(seconds)
+    if not finished:
+        query.stop()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream {query.name or query.id} failed: {query.exception()}")
+    return bool(finished)
+
+
+def windowed_scorecard(
+    reviews: DataFrame,
+    summary_path: str,
+    checkpoint_path: str,
+    duration: int | str,
+    slide: int | str | None = None,
+    delay: int | str = 0,
+    max_pct_negative: float = 10.0,
+    volume_rule: str = "gt",
+    order_by: str = "avg_points",
+    time_col: str = "ts",
+) -> DataFrame:
+    """STR2/STR4 end to end for a backfill: drain the stream (availableNow)
+    through stage 1, then return the stage-2 scorecard of its closed windows.
+
+    For a live run use ``summarize_stream`` + ``start_summary_stream`` with a
+    ``processing_time`` trigger and call ``score_closed_windows`` per report.
+    """
+    summary = summarize_stream(reviews, duration, slide, delay, time_col)
+    query = start_summary_stream(summary, summary_path, checkpoint_path)
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(f"stream failed: {query.exception()}")
+    return score_closed_windows(
+        reviews.sparkSession, summary_path, max_pct_negative, volume_rule, order_by, summary.schema
+    )

@@ -12,10 +12,12 @@ from pyspark.sql import functions as F
 from plaudit.plans.queries import load_table
 from plaudit.sources.adapters import reviews_from_events
 from plaudit.streaming import (
+    run_for,
     score_closed_windows,
     start_summary_stream,
     stream_reviews,
     summarize_stream,
+    windowed_scorecard,
 )
 
 UTC = datetime.timezone.utc
@@ -149,3 +151,71 @@ def test_s6_driver_events_stream(spark, scratch):
     assert got.select("window_start").distinct().count() == 8
     assert got.schema["window_start"].dataType.typeName() == "timestamp_ntz"
     assert got.agg(F.max("window_end")).first()[0] <= datetime.datetime(2024, 1, 31)
+
+
+def _s1_with_event_time(folder):
+    """S2: S1's rows with a ``ts`` column instead of arrival time."""
+    for i in range(9):
+        ts = (S1_BASE + datetime.timedelta(minutes=i)).strftime("%Y-%m-%dT%H:%M:%SZ")
+        lines = []
+        for cat, n in (("a", 5 + i), ("b", 2), ("c", 1)):
+            for pos in range(n):
+                label = "negative" if pos % 4 == 0 else "positive"
+                lines.append(json.dumps({"cuisine": cat, "evaluation": label, "points": 1, "ts": ts}))
+        path = os.path.join(folder, f"f{i:02d}.json")
+        with open(path, "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+        mtime = (S1_BASE + datetime.timedelta(minutes=i)).timestamp()
+        os.utime(path, (mtime, mtime))
+
+
+def test_s2_event_time_windows(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_with_event_time(src)
+    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+    card = windowed_scorecard(
+        reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), "4 minutes",
+        max_pct_negative=50,
+    )
+    got = sorted((r.window_start.strftime("%H:%M"), r.category, r.reviews, r.negatives) for r in card.collect())
+    assert got == [("22:12", "a", 26, 8), ("22:16", "a", 42, 12)]
+
+
+def test_s5_stream_equals_batch_on_closed_windows(spark):
+    from plaudit.plans.queries import scorecard_sliding, stream_sliding
+
+    sf_dir = "/root/testdata/sf0.001"
+    stream = {tuple(r) for r in stream_sliding(spark, sf_dir).collect()}
+    last = load_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
+    batch = {tuple(r) for r in scorecard_sliding(spark, sf_dir).where(F.col("window_end") <= last).collect()}
+    assert stream == batch and len(stream) > 0
+
+
+def test_str9_empty_stream_emits_nothing(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    reviews = stream_reviews(spark, src)
+    card = windowed_scorecard(
+        reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), "1 minute"
+    )
+    assert card.collect() == []
+
+
+def test_live_trigger_and_run_for(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    reviews = stream_reviews(spark, src, time="arrival", max_files_per_trigger=1)
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
+    query = start_summary_stream(
+        summarize_stream(reviews, "1 minute"), out, ckpt, processing_time="1 second"
+    )
+    deadline = datetime.datetime.now() + datetime.timedelta(seconds=90)
+    while datetime.datetime.now() < deadline:
+        progress = query.lastProgress
+        if progress and progress["batchId"] >= 9 and progress["numInputRows"] == 0:
+            break
+        query.awaitTermination(1)
+    assert run_for(query, 1) is False  # a live query does not end by itself
+    assert spark.read.parquet(out).count() == 8 * 3
