@@ -142,15 +142,24 @@ def _windowed_scorecard(duration: int, slide: int, max_pct: float, closed_only:
     return _scorecard(ctes, "summary", "window_start, window_end", max_pct, "gt", "avg_points")
 
 
-def _day_scorecard(max_pct: float, closed_only: bool = False) -> str:
-    if closed_only:
-        return _windowed_scorecard(86400, 86400, max_pct, closed_only=True)
+def _day_scorecard(max_pct: float) -> str:
     day = """
 day_reviews AS (SELECT CAST(ts AS DATE) AS day, category, evaluation, points FROM event_reviews)"""
     ctes = EVENT_REVIEWS + "," + day + "," + _summary("summary", "day_reviews", "day")
     return _scorecard(ctes, "summary", "day", max_pct, "gt", "avg_points")
 
 
+BRAND_MONTH_SUMMARY = """
+brand_month_reviews AS (
+  SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS month,
+         p.p_brand AS category,
+         CASE l.l_returnflag WHEN 'R' THEN 'negative'
+                             WHEN 'A' THEN 'positive'
+                             ELSE 'neutral' END AS evaluation,
+         CAST(trunc(l.l_quantity) AS BIGINT) AS points
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+),""" + _summary("summary", "brand_month_reviews", "month")
+
 EVENT_SUMMARY = EVENT_REVIEWS + "," + _summary("summary", "event_reviews")
 BRAND_SUMMARY = BRAND_REVIEWS + "," + _summary("summary", "brand_reviews")
 
@@ -209,6 +218,9 @@ SELECT category, reviews, negatives, points, pct_negative, avg_points FROM score
     "scorecard_by_points_brands": _scorecard(BRAND_SUMMARY, "summary", "", BRANDS_MAX_PCT, "gt", "points"),
     "scorecard_by_avg_events": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "ge", "avg_points"),
     "scorecard_by_avg_brands": _scorecard(BRAND_SUMMARY, "summary", "", BRANDS_MAX_PCT, "ge", "avg_points"),
+    "scorecard_brands_per_month": _scorecard(
+        BRAND_MONTH_SUMMARY, "summary", "month", BRANDS_MAX_PCT, "gt", "avg_points"
+    ),
     "scorecard_per_day": _day_scorecard(DAY_MAX_PCT),
     "scorecard_tumbling": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT),
     "scorecard_sliding": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT),

@@ -19,7 +19,12 @@ from plaudit.operators.summarize import summarize
 from plaudit.operators.totals import scope_totals, with_scope_totals
 from plaudit.operators.windows import summarize_windows, with_day
 from plaudit.session import scratch_path
-from plaudit.sources.adapters import brand_summary, event_evaluation, reviews_from_events
+from plaudit.sources.adapters import (
+    brand_summary,
+    event_evaluation,
+    reviews_from_events,
+    ship_month,
+)
 from plaudit.sources.json_reviews import parse_json_column, read_reviews
 from plaudit.sources.tables import load_table
 from plaudit.streaming.windowed import windowed_scorecard
@@ -163,6 +168,13 @@ def scorecard_by_avg_brands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_summary(_brands(spark, sf_dir), max_pct_negative=BRANDS_MAX_PCT, volume_rule="ge")
 
 
+def scorecard_brands_per_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 per ship month: many scopes, totals joined per scope."""
+    lineitem = load_table(spark, sf_dir, "lineitem")
+    summary = brand_summary(lineitem, load_table(spark, sf_dir, "part"), {"month": ship_month(lineitem)})
+    return score_summary(summary, scope=["month"], max_pct_negative=BRANDS_MAX_PCT)
+
+
 def scorecard_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batch twin of Q2: every calendar day scored on its own."""
     return scorecard(with_day(_events(spark, sf_dir)), scope=["day"], max_pct_negative=DAY_MAX_PCT)
@@ -280,6 +292,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scorecard_by_points_brands": scorecard_by_points_brands,
     "scorecard_by_avg_events": scorecard_by_avg_events,
     "scorecard_by_avg_brands": scorecard_by_avg_brands,
+    "scorecard_brands_per_month": scorecard_brands_per_month,
     "scorecard_per_day": scorecard_per_day,
     "scorecard_tumbling": scorecard_tumbling,
     "scorecard_sliding": scorecard_sliding,

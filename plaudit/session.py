@@ -30,16 +30,30 @@ DEFAULT_CONF = {
 }
 
 
+# Stage-1 streaming state kept in RocksDB (off-heap, spills to local disk,
+# changelog checkpoints to the checkpoint folder): for many (window, category)
+# keys. Slower than the default provider for small state.
+LARGE_STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
 def build_session(
     master: str = "local[*]",
     shuffle_partitions: int = 8,
     app_name: str = "plaudit",
     extra_conf: dict[str, str] | None = None,
+    large_state: bool = False,
 ) -> SparkSession:
     """Create (or reuse) a session with the settings the operators expect."""
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if large_state:
+        conf.update(LARGE_STATE_CONF)
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)

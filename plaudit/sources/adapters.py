@@ -10,6 +10,8 @@ A2 ``lineitem`` ⋈ ``part``: category = brand, return flag ``R`` is negative,
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,24 +70,35 @@ def reviews_from_lineitem(lineitem: DataFrame, part: DataFrame) -> DataFrame:
     )
 
 
-def brand_summary(lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """A2 summarised per brand, aggregating *before* the join.
+def ship_month(lineitem: DataFrame) -> Column:
+    """Scope column: first day of the ship month (DATE)."""
+    return F.trunc(F.to_date(lineitem["l_shipdate"]), "month")
+
+
+def brand_summary(
+    lineitem: DataFrame, part: DataFrame, scope: Mapping[str, Column] | None = None
+) -> DataFrame:
+    """A2 summarised per ``(scope…, brand)``, aggregating *before* the join.
 
-    Line items are first reduced to one row per part key (map-side combined),
-    so the join with ``part`` sees one row per part instead of one per line
-    item, and a hot part key never reaches the join as a skewed key. The
-    per-part summary is already hash-partitioned on the key, so a sort-merge
-    join only shuffles ``part``. The final merge groups by brand.
+    Line items are first reduced to one row per (scope, part key), map-side
+    combined, so the join with ``part`` sees one row per part instead of one
+    per line item, and a hot part key never reaches the join as a skewed key.
+    The per-part summary is already hash-partitioned on its keys; the final
+    merge groups by brand. ``scope`` maps names to expressions over
+    ``lineitem`` (e.g. ``{"month": ship_month(lineitem)}``).
     """
+    scope = dict(scope or {})
     per_part = summarize(
         lineitem.select(
+            *[expr.alias(name) for name, expr in scope.items()],
             F.col("l_partkey").alias("category"),
             returnflag_evaluation(F.col("l_returnflag")).alias("evaluation"),
             F.col("l_quantity").cast("bigint").alias("points"),
-        )
+        ),
+        scope=list(scope),
     )
     brands = part.select("p_partkey", "p_brand")
     joined = per_part.join(brands, per_part["category"] == brands["p_partkey"]).select(
-        F.col("p_brand").alias("category"), "reviews", "negatives", "points"
+        *scope, F.col("p_brand").alias("category"), "reviews", "negatives", "points"
     )
-    return merge_summaries(joined)
+    return merge_summaries(joined, scope=list(scope))

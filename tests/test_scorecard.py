@@ -189,3 +189,25 @@ def test_score_summary_merges_partial_summaries(spark):
     direct = {tuple(r) for r in scorecard(df, max_pct_negative=30).collect()}
     via = {tuple(r) for r in score_summary(summarize(df), max_pct_negative=30).collect()}
     assert direct == via
+
+
+def test_brand_summary_equals_row_level_path(spark):
+    from plaudit.sources import brand_summary, load_table, reviews_from_lineitem
+
+    from tests.conftest import SF_SMALL
+
+    lineitem, part = load_table(spark, SF_SMALL, "lineitem"), load_table(spark, SF_SMALL, "part")
+    early = {tuple(r) for r in brand_summary(lineitem, part).collect()}
+    late = {tuple(r) for r in summarize(reviews_from_lineitem(lineitem, part)).collect()}
+    assert early == late and len(early) == 25
+
+
+@pytest.mark.parametrize("partitions", [1, 3, 11])
+def test_result_does_not_depend_on_partitioning(spark, partitions):
+    rnd = random.Random(11)
+    rows = [(rnd.choice("abcdefghij"), rnd.choice(["positive", "negative", "x"]), rnd.randint(0, 9), rnd.randint(1, 4))
+            for _ in range(500)]
+    df = spark.createDataFrame(rows, "category STRING, evaluation STRING, points BIGINT, b INT")
+    base = {tuple(r) for r in scorecard(df.coalesce(1), ["b"], max_pct_negative=45).collect()}
+    split = {tuple(r) for r in scorecard(df.repartition(partitions), ["b"], max_pct_negative=45).collect()}
+    assert base == split and len(base) > 0
