@@ -219,3 +219,23 @@ def test_live_trigger_and_run_for(spark, scratch):
         query.awaitTermination(1)
     assert run_for(query, 1) is False  # a live query does not end by itself
     assert spark.read.parquet(out).count() == 8 * 3
+
+
+def test_late_row_still_counts_in_sliding_windows(spark, scratch):
+    """A row behind the watermark is not dropped for sliding windows (Spark's
+    semantics, which pane-based stream state would change)."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    for i, hms in enumerate(["00:00:10", "00:09:00", "00:07:30", "00:20:00"]):
+        path = os.path.join(src, f"r{i}.json")
+        row = {"cuisine": "x", "evaluation": "positive", "points": 1, "ts": f"2024-01-01T{hms}Z"}
+        with open(path, "w") as fh:
+            fh.write(json.dumps(row) + "\n")
+        mtime = datetime.datetime(2024, 1, 2, 0, i, tzinfo=UTC).timestamp()
+        os.utime(path, (mtime, mtime))
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
+    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+    query = start_summary_stream(summarize_stream(reviews, "4 minutes", "2 minutes"), out, ckpt)
+    query.awaitTermination()
+    got = sorted((r.window_start.strftime("%H:%M"), r.reviews) for r in spark.read.parquet(out).collect())
+    assert got == [("00:00", 1), ("00:04", 1), ("00:06", 2), ("00:08", 1), ("23:58", 1)]
