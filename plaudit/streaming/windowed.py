@@ -34,7 +34,7 @@ from plaudit.operators.scorecard import score_summary
 from plaudit.operators.summarize import summarize
 from plaudit.operators.windows import WINDOW_COLUMNS, parse_seconds
 from plaudit.schema import REVIEW_JSON_SCHEMA
-from plaudit.sources.json_reviews import _strict_rows
+from plaudit.sources.json_reviews import CORRUPT, _strict_rows, _with_corrupt, split_lenient
 
 ARRIVAL = "arrival"
 
@@ -45,14 +45,27 @@ def stream_reviews(
     schema: T.StructType = REVIEW_JSON_SCHEMA,
     time: str = "ts",
     max_files_per_trigger: int | None = None,
-) -> DataFrame:
+    mode: str = "strict",
+) -> DataFrame | tuple[DataFrame, DataFrame]:
     """SRC3: a stream of JSON-lines reviews from new files in ``path``.
 
     ``time="arrival"`` stamps each review with its file's modification time
     (the reference's notion of a batch); otherwise ``time`` names the event
-    time column. Strict parsing: a bad line fails the query.
+    time column. ``strict``: a bad line fails the query. ``lenient``: returns
+    ``(reviews, rejects)``; start a query on each (every query reads the new
+    files itself).
     """
-    reader = spark.readStream.schema(schema).option("mode", "FAILFAST")
+    if mode not in ("strict", "lenient"):
+        raise ValueError(f"mode must be 'strict' or 'lenient', got {mode!r}")
+    reader = spark.readStream
+    if mode == "strict":
+        reader = reader.schema(schema).option("mode", "FAILFAST")
+    else:
+        reader = (
+            reader.schema(_with_corrupt(schema))
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+        )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = reader.json(path)
@@ -60,7 +73,7 @@ def stream_reviews(
         raw = raw.withColumn("ts", F.col("_metadata.file_modification_time"))
     elif time != "ts":
         raw = raw.withColumn("ts", F.col(time))
-    return _strict_rows(raw)
+    return _strict_rows(raw) if mode == "strict" else split_lenient(raw)
 
 
 def summarize_stream(

@@ -104,3 +104,8 @@ def test_json_column_parse(spark):
 
     got = parse_json_column(df, "props", "k STRING").select(lenient_points(F.col("parsed.k")).alias("p"))
     assert [r.p for r in got.collect()] == [69, 7, None]
+
+
+def test_key_match_is_case_sensitive(spark, scratch):
+    _write(scratch, "a.json", '{"Cuisine": "x", "evaluation": "positive", "points": 1}\n')
+    assert [r.category for r in read_reviews(spark, scratch, "strict").collect()] == [None]

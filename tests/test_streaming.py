@@ -239,3 +239,23 @@ def test_late_row_still_counts_in_sliding_windows(spark, scratch):
     query.awaitTermination()
     got = sorted((r.window_start.strftime("%H:%M"), r.reviews) for r in spark.read.parquet(out).collect())
     assert got == [("00:00", 1), ("00:04", 1), ("00:06", 2), ("00:08", 1), ("23:58", 1)]
+
+
+def test_lenient_stream_routes_rejects(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    with open(os.path.join(src, "a.json"), "w") as fh:
+        fh.write('{"cuisine": "x", "evaluation": "positive", "points": "3.9", "ts": "2024-01-01T00:00:10Z"}\n')
+        fh.write("{broken\n")
+        fh.write('{"cuisine": "x", "evaluation": "positive", "points": "abc", "ts": "2024-01-01T00:00:20Z"}\n')
+        fh.write('{"cuisine": "x", "evaluation": "positive", "points": 1, "ts": "2024-01-01T00:09:00Z"}\n')
+    good, rejects = stream_reviews(spark, src, mode="lenient")
+    rq = rejects.writeStream.format("json").option("path", os.path.join(scratch, "rejects")).option(
+        "checkpointLocation", os.path.join(scratch, "rck")).trigger(availableNow=True).start()
+    rq.awaitTermination()
+    assert sorted(r.reason for r in spark.read.json(os.path.join(scratch, "rejects")).collect()) == [
+        "bad points", "malformed"]
+    card = windowed_scorecard(good, os.path.join(scratch, "out"), os.path.join(scratch, "ck"), "4 minutes")
+    summary = spark.read.parquet(os.path.join(scratch, "out")).collect()
+    assert [(r.reviews, r.points) for r in summary] == [(1, 3)]
+    assert card.collect() == []  # one category per window is never above the average
