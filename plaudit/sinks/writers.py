@@ -27,14 +27,16 @@ def write_scorecard(
     """Write a scorecard; ``mode="overwrite"`` replaces an earlier result (SNK4).
 
     ``partition_by_scope`` writes one folder per batch / window, the layout of
-    one output directory per interval.
+    one output directory per interval; overwriting then replaces only the
+    folders of the scopes being written (dynamic partition overwrite), so
+    incremental reports leave earlier windows alone.
     """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
     out = df.orderBy(*[F.col(s).asc_nulls_first() for s in scope], "rank") if ordered else df
     writer = out.write.mode(mode).format(fmt)
     if partition_by_scope and scope:
-        writer = writer.partitionBy(*scope)
+        writer = writer.partitionBy(*scope).option("partitionOverwriteMode", "dynamic")
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.save(path)

@@ -24,6 +24,8 @@ replayable where wall-clock arrival is not.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,6 +48,7 @@ def stream_reviews(
     time: str = "ts",
     max_files_per_trigger: int | None = None,
     mode: str = "strict",
+    options: dict[str, str] | None = None,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """SRC3: a stream of JSON-lines reviews from new files in ``path``.
 
@@ -53,7 +56,9 @@ def stream_reviews(
     (the reference's notion of a batch); otherwise ``time`` names the event
     time column. ``strict``: a bad line fails the query. ``lenient``: returns
     ``(reviews, rejects)``; start a query on each (every query reads the new
-    files itself).
+    files itself). ``options`` go to the file source as they are, e.g.
+    ``{"cleanSource": "archive", "sourceArchiveDir": …}`` or ``maxFileAge`` to
+    keep a long-running source's file log bounded.
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode must be 'strict' or 'lenient', got {mode!r}")
@@ -68,6 +73,8 @@ def stream_reviews(
         )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for key, value in (options or {}).items():
+        reader = reader.option(key, value)
     raw = reader.json(path)
     if time == ARRIVAL:
         raw = raw.withColumn("ts", F.col("_metadata.file_modification_time"))
@@ -158,14 +165,20 @@ def score_closed_windows(
     volume_rule: str = "gt",
     order_by: str = "avg_points",
     schema: T.StructType | None = None,
+    since: datetime.datetime | None = None,
 ) -> DataFrame:
     """Stage 2: the scorecard of every closed window written by stage 1.
 
     Pass the stage-1 ``schema`` so that a stream that has closed no window
     yet scores to an empty frame instead of failing schema inference.
+    ``since`` scores only windows ending after it (an incremental report; the
+    filter reaches the Parquet scan). Windows are whole, so this never splits
+    one.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     summary = reader.parquet(summary_path)
+    if since is not None:
+        summary = summary.where(F.col("window_end") > F.lit(since))
     return score_summary(
         summary,
         scope=list(WINDOW_COLUMNS),

@@ -259,3 +259,21 @@ def test_lenient_stream_routes_rejects(spark, scratch):
     summary = spark.read.parquet(os.path.join(scratch, "out")).collect()
     assert [(r.reviews, r.points) for r in summary] == [(1, 3)]
     assert card.collect() == []  # one category per window is never above the average
+
+
+def test_incremental_report_since(spark, scratch):
+    from plaudit.sinks import write_scorecard
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
+    _run_arrival(spark, src, out, ckpt, "1 minute")
+    report = os.path.join(scratch, "report")
+    scope = ["window_start", "window_end"]
+    first = score_closed_windows(spark, out, 50, since=None).where(F.col("window_end") <= "2024-05-01 22:16:00")
+    write_scorecard(first, report, scope=scope, partition_by_scope=True)
+    later = score_closed_windows(spark, out, 50, since=datetime.datetime(2024, 5, 1, 22, 16, tzinfo=UTC))
+    assert later.count() == 4
+    write_scorecard(later, report, scope=scope, partition_by_scope=True)
+    assert spark.read.json(report).count() == 8  # earlier windows kept
