@@ -27,11 +27,13 @@ MODES = ("strict", "lenient")
 CORRUPT = "_corrupt_record"
 
 
-def _with_corrupt(schema: T.StructType) -> T.StructType:
+def with_corrupt_column(schema: T.StructType) -> T.StructType:
+    """``schema`` plus the column that holds a malformed line (lenient mode)."""
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def _strict_rows(raw: DataFrame) -> DataFrame:
+def strict_rows(raw: DataFrame) -> DataFrame:
+    """Parsed JSON → reviews; a missing evaluation or points fails the job."""
     evaluation = F.when(
         F.col("evaluation").isNull(), F.raise_error(F.lit("review without evaluation"))
     ).otherwise(F.col("evaluation"))
@@ -67,11 +69,11 @@ def read_reviews(
     """
     if mode == "strict":
         raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-        return _strict_rows(raw)
+        return strict_rows(raw)
     if mode != "lenient":
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     raw = (
-        spark.read.schema(_with_corrupt(schema))
+        spark.read.schema(with_corrupt_column(schema))
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)

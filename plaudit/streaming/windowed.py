@@ -36,7 +36,7 @@ from plaudit.operators.scorecard import score_summary
 from plaudit.operators.summarize import summarize
 from plaudit.operators.windows import WINDOW_COLUMNS, parse_seconds
 from plaudit.schema import REVIEW_JSON_SCHEMA
-from plaudit.sources.json_reviews import CORRUPT, _strict_rows, _with_corrupt, split_lenient
+from plaudit.sources.json_reviews import CORRUPT, split_lenient, strict_rows, with_corrupt_column
 
 ARRIVAL = "arrival"
 
@@ -67,7 +67,7 @@ def stream_reviews(
         reader = reader.schema(schema).option("mode", "FAILFAST")
     else:
         reader = (
-            reader.schema(_with_corrupt(schema))
+            reader.schema(with_corrupt_column(schema))
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
         )
@@ -80,7 +80,7 @@ def stream_reviews(
         raw = raw.withColumn("ts", F.col("_metadata.file_modification_time"))
     elif time != "ts":
         raw = raw.withColumn("ts", F.col(time))
-    return _strict_rows(raw) if mode == "strict" else split_lenient(raw)
+    return strict_rows(raw) if mode == "strict" else split_lenient(raw)
 
 
 def summarize_stream(
