@@ -7,13 +7,15 @@ from plaudit.operators.filters import (
     liked,
     popular,
 )
-from plaudit.operators.rank import ordinal_rank
+from plaudit.operators.rank import distributed_rank, largest_scope_rows, ordinal_rank
 from plaudit.operators.scorecard import score_summary, scorecard, sort_order, with_ratios
 from plaudit.operators.summarize import merge_summaries, summarize
 from plaudit.operators.totals import scope_totals, with_scope_totals
 from plaudit.operators.windows import parse_seconds, summarize_windows, with_day
 
 __all__ = [
+    "distributed_rank",
+    "largest_scope_rows",
     "keep_liked",
     "keep_popular",
     "keep_popular_and_liked",

@@ -49,3 +49,20 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() == 4
     assert df.columns[-1] == "rank"
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["scorecard_by_points_events", "scorecard_by_avg_brands", "scorecard_per_day", "scorecard_sliding"],
+)
+def test_distributed_rank_path_matches_oracle(spark, duck, name, monkeypatch):
+    """The same queries with the single-task rank switched off."""
+    import plaudit.operators.rank as rank
+
+    monkeypatch.setattr(rank, "SINGLE_TASK_ROWS", 0)
+    df = entry.queries()[name](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "row_number" not in plan
+    res = duck.execute(entry.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    assert _rows(df.columns, [tuple(r) for r in df.collect()]) == _rows(cols, res.fetchall())
