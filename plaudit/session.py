@@ -64,7 +64,13 @@ def build_session(
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session; error if none is set."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no SparkContext, the server owns the folder
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if configured:
+            return configured
+        raise RuntimeError("no checkpoint folder: set spark.checkpoint.dir") from None
     current = sc.getCheckpointDir()
     if current:
         return current
