@@ -6,16 +6,14 @@ needs TIMESTAMP. Both conversions read the wall clock as UTC.
 
 from __future__ import annotations
 
-import datetime
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH = datetime.datetime(1970, 1, 1)
-
 
 def _epoch_ntz() -> Column:
-    return F.lit(_EPOCH).cast("timestamp_ntz")
+    # From text: a Python datetime literal would pass through the session
+    # time zone on its way to TIMESTAMP_NTZ.
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def ntz_to_instant(ts: Column) -> Column:

@@ -78,3 +78,21 @@ def test_parse_seconds():
     assert parse_seconds(7) == 7
     with pytest.raises(ValueError):
         parse_seconds("3 fortnights")
+
+
+def test_ntz_conversions_ignore_the_session_time_zone(spark):
+    from plaudit.functions.time import instant_to_ntz, ntz_to_instant
+
+    df = spark.createDataFrame([(datetime.datetime(2024, 1, 2, 3, 4, 5),)], "ts TIMESTAMP_NTZ")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Kolkata"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            row = df.select(
+                F.unix_micros(ntz_to_instant(F.col("ts"))).alias("us"),
+                instant_to_ntz(ntz_to_instant(F.col("ts"))).alias("back"),
+            ).first()
+            assert row.us == 1704164645 * 1_000_000
+            assert row.back == datetime.datetime(2024, 1, 2, 3, 4, 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
