@@ -46,8 +46,17 @@ def signed_points(
 
 
 def strict_points(points: Column | str = "points") -> Column:
-    """Integer points; a value that is not an integer fails the job (ANSI cast)."""
-    return _col(points).cast("bigint")
+    """Integer points (surrounding blanks allowed); any other text fails the job.
+
+    Checked explicitly rather than left to the ANSI cast, so the behaviour does
+    not depend on ``spark.sql.ansi.enabled``. Null stays null.
+    """
+    p = _col(points)
+    parsed = p.try_cast("bigint")
+    return F.when(
+        p.isNotNull() & parsed.isNull(),
+        F.raise_error(F.concat(F.lit("points is not an integer: "), p.cast("string"))),
+    ).otherwise(parsed)
 
 
 def lenient_points(points: Column | str = "points") -> Column:

@@ -109,3 +109,16 @@ def test_json_column_parse(spark):
 def test_key_match_is_case_sensitive(spark, scratch):
     _write(scratch, "a.json", '{"Cuisine": "x", "evaluation": "positive", "points": 1}\n')
     assert [r.category for r in read_reviews(spark, scratch, "strict").collect()] == [None]
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_strict_points_fail_without_ansi_too(spark, ansi):
+    old = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        ok = spark.createDataFrame([(" 7 ",), (None,)], "p STRING").select(strict_points("p").alias("v"))
+        assert [r.v for r in ok.collect()] == [7, None]
+        with pytest.raises(Exception, match="not an integer"):
+            spark.createDataFrame([("3.5",)], "p STRING").select(strict_points("p")).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", old)
