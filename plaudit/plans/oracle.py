@@ -61,29 +61,29 @@ def _summary(name: str, source: str, scope: str = "") -> str:
 
 def _scored(source: str, scope: str = "") -> str:
     """Ratios and scope totals on every summary row."""
+    ratios = """CAST(s.negatives AS DOUBLE) / s.reviews * CAST(100.0 AS DOUBLE) AS pct_negative,
+         CAST(s.points AS DOUBLE) / s.reviews AS avg_points"""
     if scope:
-        totals = f"""
+        return f"""
 totals AS (
   SELECT {scope}, CAST(sum(reviews) AS BIGINT) AS scope_reviews,
          CAST(count(*) AS BIGINT) AS scope_categories
   FROM {source} GROUP BY {scope}
-)"""
-        join = f"FROM {source} s JOIN totals t USING ({scope})"
-    else:
-        totals = f"""
-totals AS (
-  SELECT CAST(sum(reviews) AS BIGINT) AS scope_reviews,
-         CAST(count(*) AS BIGINT) AS scope_categories
-  FROM {source}
-)"""
-        join = f"FROM {source} s, totals t"
-    return f"""{totals},
+),
 scored AS (
   SELECT s.*, t.scope_reviews, t.scope_categories,
          CAST(t.scope_reviews AS DOUBLE) / t.scope_categories AS avg_reviews,
-         CAST(s.negatives AS DOUBLE) / s.reviews * CAST(100.0 AS DOUBLE) AS pct_negative,
-         CAST(s.points AS DOUBLE) / s.reviews AS avg_points
-  {join}
+         {ratios}
+  FROM {source} s JOIN totals t USING ({scope})
+)"""
+    reviews = f"(SELECT CAST(sum(reviews) AS BIGINT) FROM {source})"
+    categories = f"(SELECT CAST(count(*) AS BIGINT) FROM {source})"
+    return f"""
+scored AS (
+  SELECT s.*, {reviews} AS scope_reviews, {categories} AS scope_categories,
+         CAST({reviews} AS DOUBLE) / {categories} AS avg_reviews,
+         {ratios}
+  FROM {source} s
 )"""
 
 
@@ -91,7 +91,7 @@ def _scorecard(ctes: str, summary: str, scope: str, max_pct: float, rule: str, o
     op = ">" if rule == "gt" else ">="
     part = f"PARTITION BY {scope} " if scope else ""
     keys = f"{scope}, " if scope else ""
-    return f"""WITH {ctes},{_scored(summary, scope)}
+    return f"""WITH {ctes},{_scored(summary, scope).lstrip()}
 SELECT {keys}category, reviews, negatives, points, pct_negative, avg_reviews, avg_points,
        CAST(row_number() OVER ({part}ORDER BY {order} DESC, category ASC NULLS FIRST) AS INTEGER) AS rank
 FROM scored
