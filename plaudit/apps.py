@@ -63,6 +63,7 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("--delay", type=int, default=0, help="watermark delay, intervals")
         s.add_argument("--time-col", default=ARRIVAL, help="event-time column, or 'arrival'")
         s.add_argument("--files-per-trigger", type=int, default=1)
+        s.add_argument("--large-state", action="store_true", help="RocksDB state store (many keys)")
         s.add_argument(
             "--run-seconds", type=float, default=None,
             help="run live this long (trigger every interval); default: drain what is there",
@@ -116,9 +117,10 @@ def main(argv: Sequence[str] | None = None) -> None:
 
     from plaudit.session import build_session, checkpoint_dir
 
-    spark = build_session()
+    args = sys.argv[1:] if argv is None else list(argv)
+    spark = build_session(large_state="--large-state" in args)
     checkpoint_dir(spark)  # a shared checkpoint folder must be configured
-    run(spark, sys.argv[1:] if argv is None else argv)
+    run(spark, args)
 
 
 if __name__ == "__main__":

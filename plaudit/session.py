@@ -42,16 +42,24 @@ LARGE_STATE_CONF = {
 
 
 def build_session(
-    master: str = "local[*]",
-    shuffle_partitions: int = 8,
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
     app_name: str = "plaudit",
     extra_conf: dict[str, str] | None = None,
     large_state: bool = False,
 ) -> SparkSession:
-    """Create (or reuse) a session with the settings the operators expect."""
-    builder = SparkSession.builder.master(master).appName(app_name)
+    """Create (or reuse) a session with the settings the operators expect.
+
+    ``master`` and ``shuffle_partitions`` are left to ``spark-submit`` / the
+    cluster unless given (tests and the bench pass ``local[N]`` and N); AQE
+    coalesces small shuffle partitions and splits skewed ones either way.
+    """
+    builder = SparkSession.builder.appName(app_name)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if large_state:
         conf.update(LARGE_STATE_CONF)
     conf.update(extra_conf or {})

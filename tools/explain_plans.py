@@ -49,7 +49,7 @@ def _explain(df, executed: bool = False) -> str:
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = build_session("local[8]")
+    spark = build_session("local[8]", shuffle_partitions=8)
     ensure_checkpoint_dir(spark)
     events = reviews_from_events(load_table(spark, sf_dir, "events"))
     sections = []
