@@ -52,7 +52,7 @@ def ordinal_rank(
     rows_bound: int | None = None,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """Add ``name`` (INT, 1-based) ranking rows of each scope by ``order``.
+    """Add ``name`` (BIGINT, 1-based) ranking rows of each scope by ``order``.
 
     ``order`` must make the order total within a scope (end it with a unique
     column such as ``category``); ties would otherwise be ranked arbitrarily.
@@ -66,7 +66,7 @@ def ordinal_rank(
         rows_bound = largest_scope_rows(df, scope)
     if rows_bound <= limit:
         within = Window.partitionBy(*scope).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(within).cast("int"))
+        return df.withColumn(name, F.row_number().over(within).cast("bigint"))
     return distributed_rank(df, order, scope, name)
 
 
@@ -101,7 +101,7 @@ def distributed_rank(
         tagged[s].eqNullSafe(offsets[f"_o_{i}"]) for i, s in enumerate(scope)
     ]
     ranked = tagged.join(offsets, on=cond, how="inner").withColumn(
-        name, (F.col("_before") + F.col("_row") - F.col("_first") + 1).cast("int")
+        name, F.col("_before") + F.col("_row") - F.col("_first") + 1
     )
     drop = ["_part", "_row", "_o_part", "_first", "_before"]
     drop += [f"_o_{i}" for i in range(len(scope))]

@@ -93,7 +93,7 @@ def _scorecard(ctes: str, summary: str, scope: str, max_pct: float, rule: str, o
     keys = f"{scope}, " if scope else ""
     return f"""WITH {ctes},{_scored(summary, scope).lstrip()}
 SELECT {keys}category, reviews, negatives, points, pct_negative, avg_reviews, avg_points,
-       CAST(row_number() OVER ({part}ORDER BY {order} DESC, category ASC NULLS FIRST) AS INTEGER) AS rank
+       CAST(row_number() OVER ({part}ORDER BY {order} DESC, category ASC NULLS FIRST) AS BIGINT) AS rank
 FROM scored
 WHERE reviews {op} avg_reviews AND pct_negative < {float(max_pct)!r}"""
 
