@@ -63,14 +63,17 @@ def summarize_windows(
     """
     w = parse_seconds(duration)
     s = parse_seconds(slide) if slide is not None else w
-    offset = f"{parse_seconds(start)} seconds"
     if w <= 0 or s <= 0:
         raise ValueError("window duration and slide must be positive")
     pane = math.gcd(w, s)
+    # F.window wants an offset below its slide; the same alignment modulo the
+    # pane (and modulo the slide) keeps panes inside windows.
+    offset = parse_seconds(start)
+    pane_offset, slide_offset = f"{offset % pane} seconds", f"{offset % s} seconds"
     timed = reviews.where(F.col(time_col).isNotNull())
     panes = summarize(
         timed.withColumn(
-            "_pane", F.window(time_col, f"{pane} seconds", startTime=offset).getField("start")
+            "_pane", F.window(time_col, f"{pane} seconds", startTime=pane_offset).getField("start")
         ),
         scope=["_pane"],
     )
@@ -79,7 +82,7 @@ def summarize_windows(
     else:
         # Latest window start at or before the pane, then the earlier ones
         # that still reach past it.
-        last_start = F.window("_pane", f"{s} seconds", startTime=offset).getField("start")
+        last_start = F.window("_pane", f"{s} seconds", startTime=slide_offset).getField("start")
         per_pane = math.ceil(w / s)
         expanded = (
             panes.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(per_pane - 1))))

@@ -101,7 +101,7 @@ def summarize_stream(
     w = parse_seconds(duration)
     s = parse_seconds(slide) if slide is not None else w
     d = parse_seconds(delay)
-    offset = f"{parse_seconds(start)} seconds"
+    offset = f"{parse_seconds(start) % s} seconds"  # F.window wants it below the slide
     ntz = isinstance(reviews.schema[time_col].dataType, T.TimestampNTZType)
     t = ntz_to_instant(F.col(time_col)) if ntz else F.col(time_col)
     timed = reviews.withColumn("_t", t).withWatermark("_t", f"{d} seconds")

@@ -51,6 +51,7 @@ def _brute(df, w, s, start):
         (6 * 3600, 4 * 3600, 0),  # sliding, pane = gcd = 2 h
         (86400, 2 * 86400, 0),  # sampling
         (3 * 86400, 86400, 3600),  # start offset
+        (6 * 3600, 4 * 3600, 3 * 3600),  # offset longer than the 2 h pane
     ],
 )
 @pytest.mark.parametrize("ntz", [True, False])
