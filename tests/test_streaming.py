@@ -277,3 +277,20 @@ def test_incremental_report_since(spark, scratch):
     assert later.count() == 4
     write_scorecard(later, report, scope=scope, partition_by_scope=True)
     assert spark.read.json(report).count() == 8  # earlier windows kept
+
+
+def test_console_sinks_run(spark, scratch, capsys):
+    from plaudit.operators import scorecard
+    from plaudit.sinks import show_scorecard
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    reviews = stream_reviews(spark, src, time="arrival")
+    query = start_summary_stream(summarize_stream(reviews, "1 minute"), None, os.path.join(scratch, "ck"), fmt="console")
+    query.awaitTermination()
+    assert query.exception() is None
+    batch = spark.read.schema("cuisine STRING, evaluation STRING, points STRING").json(src)
+    card = scorecard(batch.selectExpr("cuisine AS category", "evaluation", "CAST(points AS BIGINT) AS points"), max_pct_negative=50)
+    show_scorecard(card)
+    assert "rank" in capsys.readouterr().out
