@@ -54,6 +54,7 @@ def score_summary(
     volume_rule: str = "gt",
     order_by: str = "avg_points",
     materialize: bool = True,
+    rows_bound: int | None = None,
 ) -> DataFrame:
     """Scorecard from per-category measures ``(scope…, category, reviews,
     negatives, points)``.
@@ -63,10 +64,10 @@ def score_summary(
     unless the summary is already a stored table. The checkpoint job also
     counts the summary rows (an ``Observation``): no scope can keep more, so
     the count is the proven bound that lets the rank run in one task per
-    scope when it is small.
+    scope when it is small. A caller with a stored summary can pass its row
+    count as ``rows_bound`` instead.
     """
     scope = list(scope)
-    rows_bound = None
     if materialize:
         rows = Observation()
         summary = summary.observe(rows, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)

@@ -179,6 +179,8 @@ def score_closed_windows(
     summary = reader.parquet(summary_path)
     if since is not None:
         summary = summary.where(F.col("window_end") > F.lit(since))
+    # The stored table's row count bounds the rows any window can keep; the
+    # count reads no column data.
     return score_summary(
         summary,
         scope=list(WINDOW_COLUMNS),
@@ -186,6 +188,7 @@ def score_closed_windows(
         volume_rule=volume_rule,
         order_by=order_by,
         materialize=False,
+        rows_bound=summary.count(),
     )
 
 
