@@ -17,7 +17,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from plaudit.operators.scorecard import scorecard
 from plaudit.operators.windows import WINDOW_COLUMNS
@@ -47,7 +47,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("source")
     b.add_argument("output")
     b.add_argument("--order-by", choices=("points", "avg_points"), default="points")
-    b.add_argument("--lenient", action="store_true", help="route bad lines to OUTPUT/_rejects")
+    b.add_argument("--lenient", action="store_true", help="score the good lines, bad ones to OUTPUT/_rejects")
     _common(b)
 
     for name, help_text in (
@@ -78,13 +78,17 @@ def parser() -> argparse.ArgumentParser:
 def run(spark: SparkSession, args: Sequence[str]) -> None:
     opts = parser().parse_args(list(args))
     if opts.command == "batch":
+        rejected = Observation() if opts.lenient else None
         if opts.lenient:
-            reviews, rejects = read_reviews(spark, opts.source, "lenient")
-            rejects.write.mode("overwrite").json(f"{opts.output.rstrip('/')}/_rejects")
+            reviews, rejects = read_reviews(spark, opts.source, "lenient", rejected=rejected)
         else:
             reviews = read_reviews(spark, opts.source, "strict")
         card = scorecard(reviews, max_pct_negative=opts.max_pct, volume_rule=opts.volume_rule, order_by=opts.order_by)
         write_scorecard(card, opts.output, fmt=opts.fmt)
+        # The scoring pass counted the bad rows; read the input again only
+        # to write them out when there are any.
+        if rejected is not None and rejected.get["rejected"] > 0:
+            rejects.write.mode("overwrite").json(f"{opts.output.rstrip('/')}/_rejects")
         return
 
     window = opts.interval * (opts.window if opts.command == "windowed" else 1)

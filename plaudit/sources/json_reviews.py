@@ -16,7 +16,7 @@ form the null category.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -61,11 +61,15 @@ def read_reviews(
     path: str,
     mode: str = "strict",
     schema: T.StructType = REVIEW_JSON_SCHEMA,
+    rejected: Observation | None = None,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Reviews ``(category, evaluation, points, ts)`` from JSON lines.
 
     ``strict`` returns the reviews; ``lenient`` returns ``(reviews, rejects)``
     where ``rejects`` has the raw line (or parsed fields) and a ``reason``.
+    ``rejected`` (lenient) counts the rejected rows as ``rejected.get["rejected"]``
+    while the reviews are consumed, so a caller can skip a second scan for
+    the rejects when there are none.
     """
     if mode == "strict":
         raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
@@ -78,14 +82,18 @@ def read_reviews(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    return split_lenient(raw)
+    return split_lenient(raw, rejected)
 
 
-def split_lenient(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_lenient(
+    raw: DataFrame, rejected: Observation | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Parsed rows with a ``_corrupt_record`` column → ``(reviews, rejects)``."""
     points = lenient_points("points")
     reason = _reject_reason(points)
     tagged = raw.withColumn("_points", points).withColumn("reason", reason)
+    if rejected is not None:
+        tagged = tagged.observe(rejected, F.count_if(F.col("reason").isNotNull()).alias("rejected"))
     good = tagged.where(F.col("reason").isNull()).select(
         F.col("cuisine").alias("category"),
         "evaluation",

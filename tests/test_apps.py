@@ -42,3 +42,21 @@ def test_stream_program_scores_each_interval(spark, scratch):
     run(spark, ["stream", src, work, out, "--interval", "60", "--max-pct", "50"])
     got = sorted(r.reviews for r in spark.read.json(out).collect())
     assert got == [5, 6, 7, 8, 9, 10, 11, 12]
+
+
+def test_lenient_batch_writes_rejects_only_when_there_are_some(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    good = [("Donuts", "positive", 9)] * 15 + [("Donuts", "positive", 2)] + [("Bagels", "positive", 1)] * 4
+    with open(os.path.join(src, "part-0.json"), "w") as fh:
+        for cat, label, pts in good:
+            fh.write(f'{{"cuisine": "{cat}", "evaluation": "{label}", "points": {pts}}}\n')
+    clean_out = os.path.join(scratch, "clean")
+    run(spark, ["batch", src, clean_out, "--lenient"])
+    assert not os.path.exists(os.path.join(clean_out, "_rejects"))
+    with open(os.path.join(src, "part-1.json"), "w") as fh:
+        fh.write("{broken\n")
+    out = os.path.join(scratch, "out")
+    run(spark, ["batch", src, out, "--lenient"])
+    assert [r.reason for r in spark.read.json(os.path.join(out, "_rejects")).collect()] == ["malformed"]
+    assert [r.category for r in spark.read.json(out).collect()] == ["Donuts"]
