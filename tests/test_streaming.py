@@ -318,3 +318,50 @@ def test_s1_with_rocksdb_state(spark, scratch):
     state_files = [f for _, _, files in os.walk(os.path.join(ckpt, "state")) for f in files]
     assert any(f.endswith(".changelog") for f in state_files)  # RocksDB, not .delta files
     assert _scored_rows(spark, out) == [("22:12", 38, "a", 26, 8), ("22:16", 54, "a", 42, 12)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.integers(min_value=0, max_value=10_000), st.integers(min_value=1, max_value=6))
+def test_stream_equals_batch_for_any_file_split(spark, seed, n_files):
+    """Time-ordered files, one per trigger: the stream's closed windows score
+    exactly as the batch scorecard of the same rows."""
+    import random
+    import tempfile
+
+    from plaudit.operators import score_summary, summarize_windows
+
+    rnd = random.Random(seed)
+    base = datetime.datetime(2024, 3, 1, tzinfo=UTC)
+    rows = sorted(
+        (base + datetime.timedelta(seconds=rnd.randint(0, 3 * 3600)), rnd.choice("abcdef"),
+         rnd.choice(["positive", "negative", "meh"]), rnd.randint(0, 9))
+        for _ in range(300)
+    )
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    cuts = sorted(rnd.sample(range(1, len(rows)), n_files - 1)) if n_files > 1 else []
+    for i, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+        path = os.path.join(src, f"f{i:02d}.json")
+        with open(path, "w") as fh:
+            for ts, cat, ev, pts in rows[lo:hi]:
+                fh.write(json.dumps({"cuisine": cat, "evaluation": ev, "points": pts,
+                                     "ts": ts.strftime("%Y-%m-%dT%H:%M:%SZ")}) + "\n")
+        mtime = (base + datetime.timedelta(minutes=i)).timestamp()
+        os.utime(path, (mtime, mtime))
+    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+    card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
+                              "30 minutes", "10 minutes", max_pct_negative=50)
+    stream = {tuple(r) for r in card.collect()}
+    batch_rows = spark.createDataFrame(
+        [(cat, ev, pts, ts) for ts, cat, ev, pts in rows],
+        "category STRING, evaluation STRING, points BIGINT, ts TIMESTAMP")
+    last = max(ts for ts, *_ in rows).replace(microsecond=0)
+    batch = score_summary(summarize_windows(batch_rows, "ts", "30 minutes", "10 minutes"),
+                          ["window_start", "window_end"], max_pct_negative=50)
+    expected = {tuple(r) for r in batch.where(F.col("window_end") <= F.lit(last)).collect()}
+    assert stream == expected
