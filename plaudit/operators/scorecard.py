@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from plaudit.functions.measures import avg_points, pct_negative
-from plaudit.operators.filters import keep_popular_and_liked
+from plaudit.operators.filters import keep_popular_and_liked, popular
 from plaudit.operators.rank import ordinal_rank
 from plaudit.operators.summarize import summarize
 from plaudit.operators.totals import with_scope_totals
@@ -68,13 +68,15 @@ def score_summary(
     count as ``rows_bound`` instead.
     """
     scope = list(scope)
+    order = sort_order(order_by)  # check the arguments before any job runs
+    popular(volume_rule)
     if materialize:
         rows = Observation()
         summary = summary.observe(rows, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
         rows_bound = int(rows.get["rows"])
     scored = with_ratios(with_scope_totals(summary, scope))
     kept = keep_popular_and_liked(scored, max_pct_negative, volume_rule)
-    ranked = ordinal_rank(kept, sort_order(order_by), scope, rows_bound=rows_bound)
+    ranked = ordinal_rank(kept, order, scope, rows_bound=rows_bound)
     return ranked.select(*scope, *SCORECARD_COLUMNS)
 
 

@@ -212,3 +212,11 @@ def test_result_does_not_depend_on_partitioning(spark, partitions):
     base = {tuple(r) for r in scorecard(df.coalesce(1), ["b"], max_pct_negative=45).collect()}
     split = {tuple(r) for r in scorecard(df.repartition(partitions), ["b"], max_pct_negative=45).collect()}
     assert base == split and len(base) > 0
+
+
+def test_bad_arguments_fail_before_any_job(spark):
+    df = reviews_df(spark, F1)
+    with pytest.raises(ValueError, match="order_by"):
+        scorecard(df, order_by="reviews")
+    with pytest.raises(ValueError, match="volume_rule"):
+        scorecard(df, volume_rule="gte")
