@@ -35,7 +35,12 @@ def scope_totals(summary: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
 
 
 def with_scope_totals(summary: DataFrame, scope: Sequence[str] = ()) -> DataFrame:
-    """Every summary row plus ``scope_reviews``, ``scope_categories``, ``avg_reviews``."""
+    """Every summary row plus ``scope_reviews``, ``scope_categories``, ``avg_reviews``.
+
+    The summary is read twice (totals and rows); pass a stored one (a
+    checkpoint or table, as ``score_summary`` does) so the input behind it is
+    scanned once.
+    """
     totals = scope_totals(summary, scope)
     if not scope:
         one_row = totals.select(
