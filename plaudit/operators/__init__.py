@@ -11,7 +11,13 @@ from plaudit.operators.rank import distributed_rank, largest_scope_rows, ordinal
 from plaudit.operators.scorecard import score_summary, scorecard, sort_order, with_ratios
 from plaudit.operators.summarize import merge_summaries, summarize
 from plaudit.operators.totals import scope_totals, with_scope_totals
-from plaudit.operators.windows import parse_seconds, summarize_windows, with_day
+from plaudit.operators.windows import (
+    pane_seconds,
+    parse_seconds,
+    summarize_windows,
+    windows_from_panes,
+    with_day,
+)
 
 __all__ = [
     "distributed_rank",
@@ -22,6 +28,7 @@ __all__ = [
     "liked",
     "merge_summaries",
     "ordinal_rank",
+    "pane_seconds",
     "parse_seconds",
     "popular",
     "scope_totals",
@@ -30,6 +37,7 @@ __all__ = [
     "sort_order",
     "summarize",
     "summarize_windows",
+    "windows_from_panes",
     "with_day",
     "with_ratios",
     "with_scope_totals",

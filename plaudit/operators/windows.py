@@ -47,6 +47,15 @@ def with_day(reviews: DataFrame, time_col: str = "ts", name: str = "day") -> Dat
     return reviews.withColumn(name, F.to_date(F.col(time_col)))
 
 
+def pane_seconds(duration: int | str, slide: int | str | None = None) -> int:
+    """Length of the pane that tiles both the windows and their slide."""
+    w = parse_seconds(duration)
+    s = parse_seconds(slide) if slide is not None else w
+    if w <= 0 or s <= 0:
+        raise ValueError("window duration and slide must be positive")
+    return math.gcd(w, s)
+
+
 def summarize_windows(
     reviews: DataFrame,
     time_col: str,
@@ -61,33 +70,47 @@ def summarize_windows(
     review; ``slide > duration`` samples the first ``duration`` of every
     ``slide``.
     """
-    w = parse_seconds(duration)
-    s = parse_seconds(slide) if slide is not None else w
-    if w <= 0 or s <= 0:
-        raise ValueError("window duration and slide must be positive")
-    pane = math.gcd(w, s)
+    pane = pane_seconds(duration, slide)
     # F.window wants an offset below its slide; the same alignment modulo the
-    # pane (and modulo the slide) keeps panes inside windows.
-    offset = parse_seconds(start)
-    pane_offset, slide_offset = f"{offset % pane} seconds", f"{offset % s} seconds"
+    # pane keeps panes inside windows.
+    pane_offset = f"{parse_seconds(start) % pane} seconds"
     timed = reviews.where(F.col(time_col).isNotNull())
     panes = summarize(
         timed.withColumn(
-            "_pane", F.window(time_col, f"{pane} seconds", startTime=pane_offset).getField("start")
+            "pane_start", F.window(time_col, f"{pane} seconds", startTime=pane_offset).getField("start")
         ),
-        scope=["_pane"],
+        scope=["pane_start"],
     )
+    return windows_from_panes(panes, duration, slide, start)
+
+
+def windows_from_panes(
+    panes: DataFrame,
+    duration: int | str,
+    slide: int | str | None = None,
+    start: int | str = 0,
+) -> DataFrame:
+    """Per-window measures from per-pane ones ``(pane_start, category, …)``.
+
+    Panes must be ``pane_seconds(duration, slide)`` long and aligned like the
+    windows (same ``start``). Each pane row goes to the windows that contain
+    it and the measures are added up: the expansion is over pane summaries,
+    not reviews.
+    """
+    w = parse_seconds(duration)
+    s = parse_seconds(slide) if slide is not None else w
+    slide_offset = f"{parse_seconds(start) % s} seconds"
     if w == s:
-        windows = panes.withColumnRenamed("_pane", "window_start")
+        windows = panes.withColumnRenamed("pane_start", "window_start")
     else:
         # Latest window start at or before the pane, then the earlier ones
         # that still reach past it.
-        last_start = F.window("_pane", f"{s} seconds", startTime=slide_offset).getField("start")
+        last_start = F.window("pane_start", f"{s} seconds", startTime=slide_offset).getField("start")
         per_pane = math.ceil(w / s)
         expanded = (
             panes.withColumn("_k", F.explode(F.sequence(F.lit(0), F.lit(per_pane - 1))))
             .withColumn("window_start", F.timestamp_add("SECOND", F.col("_k") * (-s), last_start))
-            .where(F.col("_pane") < F.timestamp_add("SECOND", F.lit(w), F.col("window_start")))
+            .where(F.col("pane_start") < F.timestamp_add("SECOND", F.lit(w), F.col("window_start")))
         )
         windows = merge_summaries(expanded, scope=["window_start"])
     return windows.select(

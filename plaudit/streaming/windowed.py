@@ -26,7 +26,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -34,7 +34,7 @@ from pyspark.sql.streaming import StreamingQuery
 from plaudit.functions.time import instant_to_ntz, ntz_to_instant
 from plaudit.operators.scorecard import score_summary
 from plaudit.operators.summarize import summarize
-from plaudit.operators.windows import WINDOW_COLUMNS, parse_seconds
+from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds, parse_seconds, windows_from_panes
 from plaudit.schema import REVIEW_JSON_SCHEMA
 from plaudit.sources.json_reviews import CORRUPT, split_lenient, strict_rows, with_corrupt_column
 
@@ -158,6 +158,15 @@ def start_summary_stream(
     return writer.start()
 
 
+def _not_after(column: str, df: DataFrame, instant: str) -> Column:
+    """``column <= instant`` for an ISO-8601 UTC instant (``…Z``), for
+    TIMESTAMP and TIMESTAMP_NTZ columns alike, whatever the session zone."""
+    if isinstance(df.schema[column].dataType, T.TimestampNTZType):
+        wall = instant.rstrip("Z").replace("T", " ")
+        return F.col(column) <= F.lit(wall).cast("timestamp_ntz")
+    return F.col(column) <= F.lit(instant).cast("timestamp")
+
+
 def score_closed_windows(
     spark: SparkSession,
     summary_path: str,
@@ -166,6 +175,8 @@ def score_closed_windows(
     order_by: str = "avg_points",
     schema: T.StructType | None = None,
     since: datetime.datetime | None = None,
+    panes: tuple[int | str, int | str | None, int | str] | None = None,
+    closed_until: str | None = None,
 ) -> DataFrame:
     """Stage 2: the scorecard of every closed window written by stage 1.
 
@@ -174,13 +185,35 @@ def score_closed_windows(
     ``since`` scores only windows ending after it (an incremental report; the
     filter reaches the Parquet scan). Windows are whole, so this never splits
     one.
+
+    ``panes=(duration, slide, start)`` reads a stage-1 table of panes (see
+    ``windowed_scorecard(panes=True)``) and builds the windows from them; a
+    window is closed when it ends at or before ``closed_until``, the stage-1
+    query's last watermark (ISO-8601), else at or before the end of the
+    latest pane written (every pane ending by then has been written).
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     summary = reader.parquet(summary_path)
+    if panes is not None:
+        duration, slide, start = panes
+        pane_rows = summary.select(
+            F.col("window_start").alias("pane_start"), "category", "reviews", "negatives", "points"
+        )
+        summary = windows_from_panes(pane_rows, duration, slide, start)
+        if closed_until is not None:
+            summary = summary.where(_not_after("window_end", summary, closed_until))
+        else:
+            latest = reader.parquet(summary_path).agg(F.max("window_end").alias("_latest"))
+            summary = summary.where(F.col("window_end") <= latest.scalar())
     if since is not None:
         summary = summary.where(F.col("window_end") > F.lit(since))
-    # The stored table's row count bounds the rows any window can keep; the
-    # count reads no column data.
+    # The stored table's row count bounds the rows any window can keep (a
+    # pane feeds at most ceil(duration / slide) windows); the count reads no
+    # column data.
+    stored_rows = reader.parquet(summary_path).count()
+    if panes is not None:
+        w, s = parse_seconds(panes[0]), parse_seconds(panes[1] or panes[0])
+        stored_rows *= -(-w // s)
     return score_summary(
         summary,
         scope=list(WINDOW_COLUMNS),
@@ -188,7 +221,7 @@ def score_closed_windows(
         volume_rule=volume_rule,
         order_by=order_by,
         materialize=False,
-        rows_bound=summary.count(),
+        rows_bound=stored_rows,
     )
 
 
@@ -218,18 +251,44 @@ def windowed_scorecard(
     volume_rule: str = "gt",
     order_by: str = "avg_points",
     time_col: str = "ts",
+    panes: bool = False,
+    start: int | str = 0,
 ) -> DataFrame:
     """STR2/STR4 end to end for a backfill: drain the stream (availableNow)
     through stage 1, then return the stage-2 scorecard of its closed windows.
 
+    ``panes=True`` (sliding windows): stage 1 keeps one state row per
+    (pane, category) with panes of ``gcd(duration, slide)`` — ``duration /
+    slide`` times less state and work per review than ``F.window`` — and
+    stage 2 builds the windows. Same results for rows on time; a row behind
+    the watermark is then dropped from every window, where ``F.window``
+    still counts it in the windows not yet closed.
+
     For a live run use ``summarize_stream`` + ``start_summary_stream`` with a
     ``processing_time`` trigger and call ``score_closed_windows`` per report.
     """
-    summary = summarize_stream(reviews, duration, slide, delay, time_col)
+    w = parse_seconds(duration)
+    s = parse_seconds(slide) if slide is not None else w
+    use_panes = panes and s < w
+    if use_panes:
+        pane = pane_seconds(w, s)
+        summary = summarize_stream(reviews, pane, pane, delay, time_col, start)
+    else:
+        summary = summarize_stream(reviews, w, s, delay, time_col, start)
     query = start_summary_stream(summary, summary_path, checkpoint_path)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
+    watermark = None
+    if use_panes and query.lastProgress is not None:
+        watermark = query.lastProgress.get("eventTime", {}).get("watermark")
     return score_closed_windows(
-        reviews.sparkSession, summary_path, max_pct_negative, volume_rule, order_by, summary.schema
+        reviews.sparkSession,
+        summary_path,
+        max_pct_negative,
+        volume_rule,
+        order_by,
+        summary.schema,
+        panes=(w, s, start) if use_panes else None,
+        closed_until=watermark,
     )

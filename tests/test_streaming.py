@@ -221,24 +221,119 @@ def test_live_trigger_and_run_for(spark, scratch):
     assert spark.read.parquet(out).count() == 8 * 3
 
 
-def test_late_row_still_counts_in_sliding_windows(spark, scratch):
-    """A row behind the watermark is not dropped for sliding windows (Spark's
-    semantics, which pane-based stream state would change)."""
-    src = os.path.join(scratch, "in")
-    os.makedirs(src)
-    for i, hms in enumerate(["00:00:10", "00:09:00", "00:07:30", "00:20:00"]):
-        path = os.path.join(src, f"r{i}.json")
+LATE_SEQUENCE = ["00:00:10", "00:09:00", "00:09:10", "00:07:30", "00:20:00"]
+
+
+def _late_files(folder):
+    """Files in arrival order; 00:07:30 arrives when the watermark Spark uses
+    for late rows (two triggers back) is already 00:09."""
+    for i, hms in enumerate(LATE_SEQUENCE):
+        path = os.path.join(folder, f"r{i}.json")
         row = {"cuisine": "x", "evaluation": "positive", "points": 1, "ts": f"2024-01-01T{hms}Z"}
         with open(path, "w") as fh:
             fh.write(json.dumps(row) + "\n")
         mtime = datetime.datetime(2024, 1, 2, 0, i, tzinfo=UTC).timestamp()
         os.utime(path, (mtime, mtime))
+
+
+def test_late_row_still_counts_in_open_sliding_windows(spark, scratch):
+    """F.window drops a late row only from the windows that ended by the
+    late-row watermark; the open window containing it still counts it."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _late_files(src)
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
     reviews = stream_reviews(spark, src, max_files_per_trigger=1)
     query = start_summary_stream(summarize_stream(reviews, "4 minutes", "2 minutes"), out, ckpt)
     query.awaitTermination()
     got = sorted((r.window_start.strftime("%H:%M"), r.reviews) for r in spark.read.parquet(out).collect())
-    assert got == [("00:00", 1), ("00:04", 1), ("00:06", 2), ("00:08", 1), ("23:58", 1)]
+    assert got == [("00:00", 1), ("00:06", 3), ("00:08", 2), ("23:58", 1)]
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=3, deadline=None)
+@given(st.integers(min_value=0, max_value=10_000), st.integers(min_value=1, max_value=6))
+def test_stream_equals_batch_for_any_file_split(spark, seed, n_files):
+    """Time-ordered files, one per trigger: the stream's closed windows score
+    exactly as the batch scorecard of the same rows."""
+    import random
+    import tempfile
+
+    from plaudit.operators import score_summary, summarize_windows
+
+    rnd = random.Random(seed)
+    base = datetime.datetime(2024, 3, 1, tzinfo=UTC)
+    rows = sorted(
+        (base + datetime.timedelta(seconds=rnd.randint(0, 3 * 3600)), rnd.choice("abcdef"),
+         rnd.choice(["positive", "negative", "meh"]), rnd.randint(0, 9))
+        for _ in range(300)
+    )
+    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    cuts = sorted(rnd.sample(range(1, len(rows)), n_files - 1)) if n_files > 1 else []
+    for i, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
+        path = os.path.join(src, f"f{i:02d}.json")
+        with open(path, "w") as fh:
+            for ts, cat, ev, pts in rows[lo:hi]:
+                fh.write(json.dumps({"cuisine": cat, "evaluation": ev, "points": pts,
+                                     "ts": ts.strftime("%Y-%m-%dT%H:%M:%SZ")}) + "\n")
+        mtime = (base + datetime.timedelta(minutes=i)).timestamp()
+        os.utime(path, (mtime, mtime))
+    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+    card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
+                              "30 minutes", "10 minutes", max_pct_negative=50)
+    stream = {tuple(r) for r in card.collect()}
+    batch_rows = spark.createDataFrame(
+        [(cat, ev, pts, ts) for ts, cat, ev, pts in rows],
+        "category STRING, evaluation STRING, points BIGINT, ts TIMESTAMP")
+    last = max(ts for ts, *_ in rows).replace(microsecond=0)
+    batch = score_summary(summarize_windows(batch_rows, "ts", "30 minutes", "10 minutes"),
+                          ["window_start", "window_end"], max_pct_negative=50)
+    expected = {tuple(r) for r in batch.where(F.col("window_end") <= F.lit(last)).collect()}
+    assert stream == expected
+
+
+def test_pane_state_gives_the_same_sliding_windows(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    reviews = stream_reviews(spark, src, time="arrival", max_files_per_trigger=1)
+    card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
+                              "4 minutes", "2 minutes", max_pct_negative=50, panes=True)
+    got = sorted((r.window_start.strftime("%H:%M"), round(r.avg_reviews * 3), r.category, r.reviews, r.negatives)
+                 for r in card.collect())
+    assert got == [("22:10", 17, "a", 11, 4), ("22:12", 38, "a", 26, 8), ("22:14", 46, "a", 34, 10),
+                   ("22:16", 54, "a", 42, 12)]
+    panes = spark.read.parquet(os.path.join(scratch, "out"))
+    assert {(r.window_end - r.window_start).seconds for r in panes.collect()} == {120}
+
+
+def test_pane_state_matches_window_state_on_driver_events(spark, scratch):
+    from plaudit.plans.queries import stream_sliding
+
+    sf_dir = "/root/testdata/sf0.001"
+    schema = load_table(spark, sf_dir, "events").schema
+    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    card = windowed_scorecard(reviews_from_events(events), os.path.join(scratch, "out"),
+                              os.path.join(scratch, "ck"), "4 days", "1 day", max_pct_negative=20, panes=True)
+    assert {tuple(r) for r in card.collect()} == {tuple(r) for r in stream_sliding(spark, sf_dir).collect()}
+
+
+def test_pane_state_drops_a_late_row_from_every_window(spark, scratch):
+    """With pane state the same late row is dropped from its pane, so from
+    every window (00:06 counts 2, not 3): the documented difference."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _late_files(src)
+    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+    card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
+                              "4 minutes", "2 minutes", max_pct_negative=100, volume_rule="ge", panes=True)
+    got = sorted((r.window_start.strftime("%H:%M"), r.reviews) for r in card.collect())
+    assert got == [("00:00", 1), ("00:06", 2), ("00:08", 2), ("23:58", 1)]
 
 
 def test_lenient_stream_routes_rejects(spark, scratch):
@@ -318,50 +413,3 @@ def test_s1_with_rocksdb_state(spark, scratch):
     state_files = [f for _, _, files in os.walk(os.path.join(ckpt, "state")) for f in files]
     assert any(f.endswith(".changelog") for f in state_files)  # RocksDB, not .delta files
     assert _scored_rows(spark, out) == [("22:12", 38, "a", 26, 8), ("22:16", 54, "a", 42, 12)]
-
-
-from hypothesis import given, settings  # noqa: E402
-from hypothesis import strategies as st  # noqa: E402
-
-
-@settings(max_examples=3, deadline=None)
-@given(st.integers(min_value=0, max_value=10_000), st.integers(min_value=1, max_value=6))
-def test_stream_equals_batch_for_any_file_split(spark, seed, n_files):
-    """Time-ordered files, one per trigger: the stream's closed windows score
-    exactly as the batch scorecard of the same rows."""
-    import random
-    import tempfile
-
-    from plaudit.operators import score_summary, summarize_windows
-
-    rnd = random.Random(seed)
-    base = datetime.datetime(2024, 3, 1, tzinfo=UTC)
-    rows = sorted(
-        (base + datetime.timedelta(seconds=rnd.randint(0, 3 * 3600)), rnd.choice("abcdef"),
-         rnd.choice(["positive", "negative", "meh"]), rnd.randint(0, 9))
-        for _ in range(300)
-    )
-    scratch = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    src = os.path.join(scratch, "in")
-    os.makedirs(src)
-    cuts = sorted(rnd.sample(range(1, len(rows)), n_files - 1)) if n_files > 1 else []
-    for i, (lo, hi) in enumerate(zip([0, *cuts], [*cuts, len(rows)])):
-        path = os.path.join(src, f"f{i:02d}.json")
-        with open(path, "w") as fh:
-            for ts, cat, ev, pts in rows[lo:hi]:
-                fh.write(json.dumps({"cuisine": cat, "evaluation": ev, "points": pts,
-                                     "ts": ts.strftime("%Y-%m-%dT%H:%M:%SZ")}) + "\n")
-        mtime = (base + datetime.timedelta(minutes=i)).timestamp()
-        os.utime(path, (mtime, mtime))
-    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
-    card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
-                              "30 minutes", "10 minutes", max_pct_negative=50)
-    stream = {tuple(r) for r in card.collect()}
-    batch_rows = spark.createDataFrame(
-        [(cat, ev, pts, ts) for ts, cat, ev, pts in rows],
-        "category STRING, evaluation STRING, points BIGINT, ts TIMESTAMP")
-    last = max(ts for ts, *_ in rows).replace(microsecond=0)
-    batch = score_summary(summarize_windows(batch_rows, "ts", "30 minutes", "10 minutes"),
-                          ["window_start", "window_end"], max_pct_negative=50)
-    expected = {tuple(r) for r in batch.where(F.col("window_end") <= F.lit(last)).collect()}
-    assert stream == expected
