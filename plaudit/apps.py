@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Observation, SparkSession
 
 from plaudit.operators.scorecard import scorecard
-from plaudit.operators.windows import WINDOW_COLUMNS
+from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds
 from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.json_reviews import read_reviews
 from plaudit.streaming.windowed import (
@@ -71,6 +71,10 @@ def parser() -> argparse.ArgumentParser:
         if name == "windowed":
             s.add_argument("--window", type=int, default=4, help="window length, intervals")
             s.add_argument("--slide", type=int, default=4, help="slide, intervals")
+            s.add_argument(
+                "--panes", action="store_true",
+                help="keep state per pane, not per sliding window (late rows: see README)",
+            )
         _common(s)
     return p
 
@@ -93,9 +97,14 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
 
     window = opts.interval * (opts.window if opts.command == "windowed" else 1)
     slide = opts.interval * (opts.slide if opts.command == "windowed" else 1)
+    panes = getattr(opts, "panes", False) and slide < window
     time = opts.time_col
     reviews = stream_reviews(spark, opts.source, time=time, max_files_per_trigger=opts.files_per_trigger)
-    summary = summarize_stream(reviews, window, slide, opts.delay * opts.interval)
+    if panes:
+        pane = pane_seconds(window, slide)
+        summary = summarize_stream(reviews, pane, pane, opts.delay * opts.interval)
+    else:
+        summary = summarize_stream(reviews, window, slide, opts.delay * opts.interval)
     work = opts.work.rstrip("/")
     query = start_summary_stream(
         summary,
@@ -108,8 +117,12 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
         query.awaitTermination()
     else:
         run_for(query, opts.run_seconds)
+    watermark = None
+    if panes and query.lastProgress is not None:
+        watermark = query.lastProgress.get("eventTime", {}).get("watermark")
     card = score_closed_windows(
-        spark, f"{work}/summaries", opts.max_pct, opts.volume_rule, opts.order_by, summary.schema
+        spark, f"{work}/summaries", opts.max_pct, opts.volume_rule, opts.order_by, summary.schema,
+        panes=(window, slide, 0) if panes else None, closed_until=watermark,
     )
     write_scorecard(
         card, opts.output, fmt=opts.fmt, scope=list(WINDOW_COLUMNS), partition_by_scope=True

@@ -60,3 +60,14 @@ def test_lenient_batch_writes_rejects_only_when_there_are_some(spark, scratch):
     run(spark, ["batch", src, out, "--lenient"])
     assert [r.reason for r in spark.read.json(os.path.join(out, "_rejects")).collect()] == ["malformed"]
     assert [r.category for r in spark.read.json(out).collect()] == ["Donuts"]
+
+
+def test_windowed_program_with_pane_state(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    run(spark, ["windowed", src, work, out, "--interval", "60", "--window", "4", "--slide", "2",
+                "--max-pct", "50", "--panes"])
+    got = sorted((r.category, r.reviews, r.negatives) for r in spark.read.json(out).collect())
+    assert got == [("a", 11, 4), ("a", 26, 8), ("a", 34, 10), ("a", 42, 12)]
