@@ -260,9 +260,11 @@ def windowed_scorecard(
     ``panes=True`` (sliding windows): stage 1 keeps one state row per
     (pane, category) with panes of ``gcd(duration, slide)`` — ``duration /
     slide`` times less state and work per review than ``F.window`` — and
-    stage 2 builds the windows. Same results for rows on time; a row behind
-    the watermark is then dropped from every window, where ``F.window``
-    still counts it in the windows not yet closed.
+    stage 2 builds the windows. Same results for rows on time. Spark drops a
+    late row from a state key that ended by its late-row watermark (that of
+    the trigger before): with panes that is the row's pane, so every window
+    loses it; with ``F.window`` only the windows that ended lose it and the
+    open ones still count it.
 
     For a live run use ``summarize_stream`` + ``start_summary_stream`` with a
     ``processing_time`` trigger and call ``score_closed_windows`` per report.
