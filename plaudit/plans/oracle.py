@@ -230,4 +230,5 @@ SELECT category, reviews, negatives, points, pct_negative, avg_points FROM score
     "stream_per_day": _windowed_scorecard(86400, 86400, DAY_MAX_PCT, closed_only=True),
     "stream_tumbling": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT, closed_only=True),
     "stream_sliding": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT, closed_only=True),
+    "stream_sliding_panes": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT, closed_only=True),
 }

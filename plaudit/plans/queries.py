@@ -244,7 +244,9 @@ def scorecard_from_json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- streams (STR1-STR10, SRC3, SNK2) ----------------------------------------
 
 
-def _stream(spark: SparkSession, sf_dir: str, duration: int, slide: int, max_pct: float) -> DataFrame:
+def _stream(
+    spark: SparkSession, sf_dir: str, duration: int, slide: int, max_pct: float, panes: bool = False
+) -> DataFrame:
     """``events`` as a Structured Streaming source (availableNow) through
     stage 1, then the batch scorecard of its closed windows."""
     schema = load_table(spark, sf_dir, "events").schema
@@ -261,6 +263,7 @@ def _stream(spark: SparkSession, sf_dir: str, duration: int, slide: int, max_pct
         slide,
         STREAM_DELAY,
         max_pct_negative=max_pct,
+        panes=panes,
     )
 
 
@@ -279,6 +282,12 @@ def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream(spark, sf_dir, WINDOW, SLIDE, EVENTS_MAX_PCT)
 
 
+def stream_sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3/STR4 with pane state in stage 1 (one state row per day-pane and
+    user instead of four); equals ``stream_sliding`` for rows on time."""
+    return _stream(spark, sf_dir, WINDOW, SLIDE, EVENTS_MAX_PCT, panes=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_points": json_points,
     "review_measures": review_measures,
@@ -308,4 +317,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_per_day": stream_per_day,
     "stream_tumbling": stream_tumbling,
     "stream_sliding": stream_sliding,
+    "stream_sliding_panes": stream_sliding_panes,
 }
