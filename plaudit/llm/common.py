@@ -3,10 +3,14 @@ rows, gapless numbering and connected components."""
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.session import ensure_checkpoint_dir
+from plaudit.session import ensure_checkpoint_dir, scratch_path
 
 # The largest table, in rows, that these operators ship to every executor.
 BROADCAST_ROWS = 200_000
@@ -14,7 +18,25 @@ WORD = r"[^\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so that its
+    functions run where it isn't installed."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _shipped:
+        root = Path(__file__).resolve().parents[1]
+        bundle = Path(tempfile.mkdtemp(prefix="ship-")) / f"{root.name}.zip"
+        with zipfile.ZipFile(bundle, "w") as z:
+            for p in sorted(root.rglob("*.py")):
+                z.write(p, p.relative_to(root.parent))
+        sc.addPyFile(str(bundle))
+        _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -24,6 +46,16 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it again:
+    like :func:`cut`, but compressed and read by columns."""
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if its counted ``rows`` are within ``limit``;
     beyond it the join is left to the planner."""

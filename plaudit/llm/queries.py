@@ -4,19 +4,83 @@ parameters, the digest columns each query's contract asks for."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plaudit.llm.common import table
+from plaudit.llm.jaccard import jaccard_classes
+from plaudit.llm.lattice import near_vectors
 from plaudit.llm.mixing import mix_report
+from plaudit.llm.mtree import top_inner_products
+from plaudit.llm.packing import pack_documents
+from plaudit.llm.pii import span_report
+from plaudit.llm.quality import classify_quality
 from plaudit.llm.sharding import build_tree, shard_documents
+from plaudit.llm.toxicity import classify_toxicity
 
 
 def op1_hash_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"), build_tree(24))
 
 
+def op2_e8_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op3_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hash_tree_sharding, op3_pareto_mixing)}
-ORACLE_SQL: dict[str, str] = {}
+def op5_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_local_search_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
+def op7_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_report(table(spark, sf_dir, "documents"))
+
+
+def op8_jaccard_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"))
+
+
+def op9_additive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_hash_tree_sharding,
+        op2_e8_near_vectors,
+        op3_pareto_mixing,
+        op5_clause_toxicity,
+        op6_local_search_packing,
+        op7_disclosure_pii,
+        op8_jaccard_metric_join,
+        op9_additive_quality,
+        op10_mtree_topk,
+    )
+}
+ORACLE_SQL: dict[str, str] = {
+    "op10_mtree_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+}
