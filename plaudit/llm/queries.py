@@ -15,6 +15,7 @@ from plaudit.llm.packing import pack_documents
 from plaudit.llm.pii import span_report
 from plaudit.llm.quality import classify_quality
 from plaudit.llm.sharding import build_tree, shard_documents
+from plaudit.llm.suffixes import remove_repeats
 from plaudit.llm.toxicity import classify_toxicity
 
 
@@ -30,6 +31,10 @@ def op3_pareto_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_report(table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_grouping_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op5_clause_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -60,6 +65,7 @@ QUERIES = {
         op1_hash_tree_sharding,
         op2_e8_near_vectors,
         op3_pareto_mixing,
+        op4_suffix_grouping_dedup,
         op5_clause_toxicity,
         op6_local_search_packing,
         op7_disclosure_pii,
