@@ -1,17 +1,89 @@
-"""Corpus pipeline: stages over the documents table, each written and reread.
+"""Corpus pipeline: five stages over ``documents``, each written and read again.
 
-Stages are added as their operators are finished.
+quality classifier -> n-gram Jaccard join -> PII -> mixing -> best-fit packing.
+Every stage works on all rows its predecessor kept. All but the last return the
+columns of ``documents``; the last returns the packed pieces.
+
+Nulls and empty texts: a null or empty text is scored like any other by the classifier,
+is its own Jaccard class, has no personal data, adds no words to the mix and is a
+piece of one closing id. Rows with a null id are kept by the first stages. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from plaudit.llm.common import table
+from plaudit.llm.common import cut, table
+from plaudit.llm.jaccard import jaccard_classes
+from plaudit.llm.mixing import mix, word_count
+from plaudit.llm.packing import pack_documents
+from plaudit.llm.pii import sanitise
+from plaudit.llm.quality import fit_quality, quality_score
 from plaudit.session import ensure_checkpoint_dir, scratch_path
 
-STAGES: list = []
-# The classifier is fitted, which SQL cannot express.
+QUALITY_THRESHOLD = 0.3
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the additive model scores at least ``QUALITY_THRESHOLD``."""
+    model = fit_quality(docs, table(spark, sf_dir, "labels"))
+    return docs.where(quality_score(model, F.col("text")) >= QUALITY_THRESHOLD)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each Jaccard class: the one with the smallest id."""
+    classes = cut(jaccard_classes(docs))
+    gone = cut(
+        classes.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    )
+    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    return _first_of_repeated_rows(kept)
+
+
+def _first_of_repeated_rows(docs: DataFrame) -> DataFrame:
+    """Rows that repeat an id are copies of one document; one stays.
+
+    Only ids are counted; texts of ids that occur once are not moved.
+    """
+    again = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and doc_id is not null"))
+    if again.isEmpty():
+        return docs
+    more = docs.join(again.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
+    once = docs.join(again.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_anti")
+    return once.unionByName(more.dropDuplicates(["doc_id"]))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and disclosing terms masked; ``n_chars`` of the new text."""
+    masked = sanitise(docs)
+    length = F.when(F.col("text").isNotNull(), F.length("text").cast("long"))
+    return masked.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    sized = docs.withColumn("__words", word_count(F.col("text")))
+    mixed = mix(sized, "__words")
+    times = mixed.where(F.col("taken_copies") > 0)
+    return times.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("taken_copies")))).select(*docs.columns)
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens with their sequence and offset."""
+    return pack_documents(docs)
+
+
+STAGES = [
+    ("quality", keep_quality),
+    ("near_copies", drop_near_copies),
+    ("personal_data", hide_personal_data),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
+# The classifier is fitted and the tokens come from a vocabulary file: SQL cannot
+# express them. tests/llm/test_pipeline.py holds the stages against plain Python.
 ORACLE_SQL = None
 
 

@@ -1,0 +1,126 @@
+import random
+import zlib
+
+import numpy as np
+import pytest
+
+from plaudit.llm.quality import FEATURES, AdditiveModel, classify_quality, text_features
+from plaudit.llm.toxicity import NEGATION, OTHER, REPORT, TARGET, Scorer, classify_toxicity, grammar
+from tests.llm.cases import edge_documents, empty_documents, prose
+
+
+def auc(rows, truth):
+    scored = sorted((r.score, truth[r.doc_id]) for r in rows if r.doc_id in truth)
+    ranks = {}
+    for i, (s, _) in enumerate(scored):
+        ranks.setdefault(s, []).append(i + 1)
+    mean = {s: sum(v) / len(v) for s, v in ranks.items()}
+    ones = sum(t for _, t in scored)
+    return (sum(mean[s] for s, t in scored if t) - ones * (ones + 1) / 2) / (ones * (len(scored) - ones))
+
+
+def out(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
+@pytest.fixture(scope="module")
+def corpus(spark):
+    rng, docs, labels = random.Random(2), [], []
+    for i in range(700):
+        w = prose(i, rng.randint(20, 200)).split()
+        quality, toxic = int(i % 5 != 0), int(i % 6 == 0)
+        if not quality:
+            w = [x + rng.choice(["***", "$$$"]) for x in w] if i % 2 else [x.upper() + "!!" for x in w]
+        if toxic:
+            for _ in range(3):
+                w[rng.randrange(len(w))] = rng.choice(["snarkle", "gromph", "blurtan" + rng.choice("abcdef")])
+        docs.append((i, " ".join(w), "en", "a", 0))
+        if i % 10:
+            labels.append((i, quality, toxic))
+    docs = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string, n_chars long")
+    return docs, spark.createDataFrame(labels, "doc_id long, quality int, toxic int"), {i: (q, t) for i, q, t in labels}
+
+
+@pytest.mark.parametrize(("classify", "column", "threshold"), [(classify_quality, 0, 0.3), (classify_toxicity, 1, 0.5)])
+def test_held_out_accuracy_and_contract(corpus, classify, column, threshold):
+    docs, labels, truth = corpus
+    rows = classify(docs, labels).collect()
+    assert len(rows) == 700
+    for r in rows:
+        assert r.held_out == out(r.doc_id) and 0 <= r.score <= 1 and r.predicted == int(r.score >= threshold)
+    held = {i: t[column] for i, t in truth.items() if out(i)}
+    assert auc(rows, held) > 0.95
+    clean = [r for r in rows if r.doc_id in held and not held[r.doc_id]]
+    if column:
+        assert sum(r.predicted for r in clean) <= 2
+
+
+@pytest.mark.parametrize("classify", [classify_quality, classify_toxicity])
+def test_held_out_labels_do_not_matter(spark, corpus, classify):
+    docs, labels, _ = corpus
+    flipped = labels.selectExpr(
+        "doc_id",
+        "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - quality, quality) as quality",
+        "if(crc32(cast(doc_id as string)) % 5 = 0, 1 - toxic, toxic) as toxic",
+    )
+    a = {r.doc_id: round(r.score, 9) for r in classify(docs, labels).collect()}
+    b = {r.doc_id: round(r.score, 9) for r in classify(docs, flipped).collect()}
+    assert a == b
+
+
+@pytest.mark.parametrize("classify", [classify_quality, classify_toxicity])
+def test_edge_cases(spark, corpus, classify):
+    docs, labels = edge_documents(spark), corpus[1]
+    rows = classify(docs, labels).collect()
+    assert len(rows) == docs.count() and all(0 <= r.score <= 1 for r in rows)
+    empty = {r.score for r in rows if r.doc_id in (0, 1)}
+    assert len(empty) == 1
+    none = labels.limit(0)
+    assert {round(r.score, 6) for r in classify(docs, none).collect()} == {0.5}
+    assert classify(empty_documents(spark), labels).count() == 0
+
+
+def test_additive_model_learns_an_interaction():
+    rng = np.random.default_rng(0)
+    x = rng.uniform(-1, 1, size=(3000, 4))
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0)).astype(float)
+    model = AdditiveModel(pairs=2).fit(x[:2000], y[:2000])
+    assert (1, 0) in model.pairs
+    assert ((model.score(x[2000:]) > 0.5) == y[2000:]).mean() > 0.85
+    # Scoring is an addition of table entries.
+    row = x[:1]
+    f = model.intercept + sum(t[np.searchsorted(e, v, side="right")] for t, e, v in zip(model.tables, model.edges, row[0]))
+    for (i, j), t in zip(model.pairs, model.pair_tables):
+        a, b = (np.searchsorted(model.coarse[k], row[0, k], side="right") for k in (i, j))
+        f += t[a, b]
+    assert model.score(row)[0] == pytest.approx(1 / (1 + np.exp(-f)))
+
+
+def test_features_are_defined_for_any_text():
+    for t in (None, "", " ", "\n\n", "x", "漢字", "\0", "A" * 10_000):
+        f = text_features(t)
+        assert len(f) == len(FEATURES) and np.isfinite(f).all()
+
+
+def test_grammar_scores_clauses_in_context():
+    s = Scorer((("idiot", 4.0), ("grom*", 3.0)))
+    plain = s.clause("what an idiot this was")
+    assert s.clause("you are an idiot") > plain
+    assert s.clause("he said you are an idiot") < s.clause("you are an idiot")
+    assert s.clause("that is not an idiot at all") < plain
+    assert s.clause("not today or tomorrow or ever an idiot") == plain  # too far away
+    assert s.clause("idiots gromble") == pytest.approx(3.0)  # a beginning matches, a longer word does not
+    assert s.clause("kill time") < s.clause("i will kill you kill you")
+    # Words of one clause do not change another.
+    best, total = s.features("He said so. What an idiot this was!")
+    assert best == pytest.approx(plain) and total == pytest.approx(np.log1p(plain))
+    assert s.features("videos and programs") == (0.0, 0.0)
+
+
+def test_composition_is_a_product_of_states():
+    m = grammar()
+    assert len(m.arcs) == 2 * 2 * 4 * 2
+    state = 0
+    for symbol in (TARGET, OTHER, NEGATION, REPORT):
+        state, factor = m.arcs[state][symbol]
+        assert factor == 0.0

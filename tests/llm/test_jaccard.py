@@ -1,0 +1,85 @@
+import itertools
+import random
+
+import pytest
+
+from plaudit.llm import jaccard
+from plaudit.llm.jaccard import jaccard_classes, shingle_sets
+from tests.llm.cases import documents, edge_documents, empty_documents, prose
+
+
+def shingles(text, k=5):
+    low = bytes((text or ""), "utf-8").translate(bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123))))
+    w = low.split()
+    if len(w) < k:
+        return frozenset([tuple(w)]) if w else frozenset()
+    return frozenset(tuple(w[i : i + k]) for i in range(len(w) - k + 1))
+
+
+def brute(texts):
+    sets = [shingles(t) for t in texts]
+    comp = list(range(len(texts)))
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[a] & sets[b])
+        if sets[a] and sets[b] and 100 * both >= 80 * (len(sets[a]) + len(sets[b]) - both):
+            low, high = sorted((comp[a], comp[b]))
+            comp = [low if c == high else c for c in comp]
+    return [len(s) for s in sets], comp
+
+
+def corpus():
+    rng, out = random.Random(4), []
+    passage = prose(99, 60)
+    for g in range(12):
+        base = prose(g, rng.choice([4, 5, 9, 40, 120, 300])).split()
+        out.append(" ".join(base))
+        for _ in range(rng.randint(0, 9)):
+            w = list(out[-1].split() if rng.random() < 0.5 else base)  # chains and stars
+            for _ in range(rng.randint(0, max(1, len(w) // 30))):
+                w[rng.randrange(len(w))] = "edit%d" % rng.randrange(99)
+            if rng.random() < 0.2:
+                w = w[: int(len(w) * rng.uniform(0.7, 1))]
+            out.append(" ".join(w))
+    out += [prose(200 + i, 30) + " " + passage + " " + prose(300 + i, 30) for i in range(25)]
+    rng.shuffle(out)
+    return out + [out[0].upper(), out[1].replace(" ", "\n\t ")]
+
+
+@pytest.mark.parametrize("task_pairs", [800, 3])
+def test_same_as_brute_force(spark, monkeypatch, task_pairs):
+    monkeypatch.setattr(jaccard, "TASK_PAIRS", task_pairs)
+    texts = corpus()
+    sizes, comp = brute(texts)
+    assert len(set(comp)) < len(comp) - 20
+    rows = {r.doc_id: r for r in jaccard_classes(documents(spark, texts).repartition(7)).collect()}
+    assert [rows[i].n_shingles for i in range(len(texts))] == sizes
+    assert [rows[i].component_id for i in range(len(texts))] == comp
+
+
+def test_common_shingles_go_last(spark, monkeypatch):
+    """A passage in every document: ranked last, it makes no links by itself."""
+    monkeypatch.setattr(jaccard, "LEAST_COMMON", 3)
+    passage = prose(50, 40)
+    texts = [passage + " " + prose(60 + i, 40) for i in range(30)] + [passage] * 2
+    sizes, comp = brute(texts)
+    rows = {r.doc_id: r.component_id for r in jaccard_classes(documents(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == comp
+
+
+def test_shingle_sets_in_parts():
+    texts = [prose(i, n) for i, n in enumerate([0, 1, 4, 5, 6, 50])] + [None, "  ", "A b C d e f"]
+    whole, parts = shingle_sets(texts), shingle_sets(texts, chars=1)
+    assert [a.tolist() for a in whole] == [b.tolist() for b in parts]
+    assert [len(s) for s in whole] == [len(shingles(t)) for t in texts]
+
+
+def test_edge_cases(spark):
+    docs = edge_documents(spark)
+    rows = jaccard_classes(docs).collect()
+    assert len(rows) == docs.count()
+    got = {r.doc_id: r for r in rows}
+    for i in (0, 1, 2):
+        assert (got[i].n_shingles, got[i].component_id) == (0, i)
+    assert got[6].component_id == got[8].component_id == got[7].component_id == 5
+    assert (got[11].n_shingles, got[10].n_shingles) == (1, 1)
+    assert jaccard_classes(empty_documents(spark)).count() == 0
