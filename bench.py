@@ -33,8 +33,13 @@ HEADLINE = {
     "scorecard_tumbling": "events",  # windowed scope
     "scorecard_sliding": "events",  # sliding windows from panes
     "scorecard_from_json": "events",  # JSON-lines source, strict (incl. writing it)
+    "scorecard_from_json_lenient": "events",  # JSON-lines source, lenient
+    "scorecard_sampling": "events",  # the first day of every second day
+    "scorecard_brands_per_month": "lineitem",  # many scopes, aggregate before the join
     "stream_per_day": "events",  # Structured Streaming backfill, per batch
+    "stream_tumbling": "events",  # Structured Streaming backfill, tumbling windows
     "stream_sliding": "events",  # Structured Streaming backfill, sliding windows
+    "stream_sliding_panes": "events",  # the same from pane state
 }
 
 

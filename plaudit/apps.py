@@ -9,15 +9,24 @@ micro-batch interval of arriving files on its own; ``windowed`` scores windows
 of ``--window`` intervals every ``--slide`` intervals. Both streams use the
 files' arrival (modification) time unless ``--time-col`` names an event time,
 keep their state and progress under ``WORK`` (restartable), and write one
-folder per batch / window under ``OUT``.
+folder per batch / window under ``OUT``, which the first report of a run clears.
+
+With ``--run-seconds`` the stream runs live: every interval the windows closed
+since the last report are scored and written. Without it the input is drained
+and the windows still open are scored too. Rows later than the horizon
+(``--delay``) are counted and printed; without ``--lenient`` they fail the run.
 """
 
 from __future__ import annotations
 
 import argparse
+import datetime
+import time
 from collections.abc import Sequence
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from plaudit.operators.scorecard import scorecard
 from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds
@@ -25,7 +34,10 @@ from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.json_reviews import read_reviews
 from plaudit.streaming.windowed import (
     ARRIVAL,
-    run_for,
+    HORIZON,
+    late_rows,
+    open_summary,
+    read_summary,
     score_closed_windows,
     start_summary_stream,
     stream_reviews,
@@ -60,9 +72,14 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("output")
         s.add_argument("--interval", type=int, required=True, help="batch interval, seconds")
         s.add_argument("--order-by", choices=("points", "avg_points"), default="avg_points")
-        s.add_argument("--delay", type=int, default=0, help="watermark delay, intervals")
+        s.add_argument("--delay", type=int, default=HORIZON, help="how late a row may be, intervals")
         s.add_argument("--time-col", default=ARRIVAL, help="event-time column, or 'arrival'")
-        s.add_argument("--files-per-trigger", type=int, default=1)
+        s.add_argument("--start", type=int, default=0, help="offset of the windows, seconds")
+        s.add_argument("--lenient", action="store_true", help="bad lines to OUTPUT/_rejects; late rows only counted")
+        s.add_argument("--files-per-trigger", type=int, default=None)
+        s.add_argument("--bytes-per-trigger", type=int, default=256 << 30, help="bytes of a micro-batch, unless files are given")
+        s.add_argument("--files-per-batch", type=int, default=None, help="files a closing batch writes")
+        s.add_argument("--retention", default=None, help="age of files in the summaries' file list, e.g. '7 days'")
         s.add_argument("--large-state", action="store_true", help="RocksDB state store (many keys)")
         s.add_argument(
             "--run-seconds", type=float, default=None,
@@ -98,35 +115,100 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
     window = opts.interval * (opts.window if opts.command == "windowed" else 1)
     slide = opts.interval * (opts.slide if opts.command == "windowed" else 1)
     panes = getattr(opts, "panes", False) and slide < window
-    time = opts.time_col
-    reviews = stream_reviews(spark, opts.source, time=time, max_files_per_trigger=opts.files_per_trigger)
-    if panes:
-        pane = pane_seconds(window, slide)
-        summary = summarize_stream(reviews, pane, pane, opts.delay * opts.interval)
-    else:
-        summary = summarize_stream(reviews, window, slide, opts.delay * opts.interval)
-    work = opts.work.rstrip("/")
+    length = pane_seconds(window, slide) if panes else window
+    bounds = {} if opts.files_per_trigger else {"maxBytesPerTrigger": str(opts.bytes_per_trigger)}
+    reviews = stream_reviews(
+        spark, opts.source, time=opts.time_col, max_files_per_trigger=opts.files_per_trigger,
+        mode="lenient" if opts.lenient else "strict", options=bounds,
+    )
+    work, queries = opts.work.rstrip("/"), []
+    live = f"{opts.interval} seconds" if opts.run_seconds is not None else None
+    if opts.lenient:
+        reviews, rejects = reviews
+        queries.append(
+            start_summary_stream(
+                rejects, f"{work}/rejects", f"{work}/checkpoint-rejects", live is None, live, fmt="json"
+            )
+        )
+    delay = opts.delay * opts.interval
+    summary = summarize_stream(reviews, length, length if panes else slide, delay, start=opts.start)
     query = start_summary_stream(
-        summary,
-        f"{work}/summaries",
-        f"{work}/checkpoint",
-        available_now=opts.run_seconds is None,
-        processing_time=f"{opts.interval} seconds" if opts.run_seconds is not None else None,
-    )
-    if opts.run_seconds is None:
-        query.awaitTermination()
+        summary, f"{work}/summaries", f"{work}/checkpoint", live is None, live,
+        files_per_batch=opts.files_per_batch, retention=opts.retention,
+    )
+    report = Report(spark, opts, f"{work}/summaries", summary.schema, (window, slide, opts.start) if panes else None)
+    if live is None:
+        for q in [query, *queries]:
+            q.awaitTermination()
+        for q in [query, *queries]:
+            _raise_for(q)
+        still_open = None
+        if query.lastProgress is not None:
+            still_open = open_summary(spark, f"{work}/checkpoint", summary.schema, length)
+        report.write(query, still_open)
     else:
-        run_for(query, opts.run_seconds)
-    watermark = None
-    if panes and query.lastProgress is not None:
-        watermark = query.lastProgress.get("eventTime", {}).get("watermark")
-    card = score_closed_windows(
-        spark, f"{work}/summaries", opts.max_pct, opts.volume_rule, opts.order_by, summary.schema,
-        panes=(window, slide, 0) if panes else None, closed_until=watermark,
-    )
-    write_scorecard(
-        card, opts.output, fmt=opts.fmt, scope=list(WINDOW_COLUMNS), partition_by_scope=True
-    )
+        end = time.monotonic() + opts.run_seconds
+        while time.monotonic() < end and not query.awaitTermination(min(opts.interval, max(0.1, end - time.monotonic()))):
+            report.write(query)
+        for q in [query, *queries]:
+            q.stop()
+            _raise_for(q)
+        report.write(query)
+    report.late(query)
+    if report.dropped:
+        print(f"{report.dropped} rows came later than {opts.delay} intervals and were dropped")
+        if not opts.lenient:
+            raise RuntimeError(f"{report.dropped} late rows were dropped; raise --delay or run with --lenient")
+
+
+def _raise_for(query: StreamingQuery) -> None:
+    if query.exception() is not None:
+        raise RuntimeError(f"stream {query.name or query.id} failed: {query.exception()}")
+
+
+class Report:
+    """Scores and writes the windows closed since the last report of this run.
+
+    The first one covers all stored windows and replaces the output; windows that
+    close later end after all of them, so the following ones add folders only.
+    """
+
+    def __init__(self, spark, opts, path: str, schema, panes):
+        self.spark, self.opts, self.path, self.schema, self.panes = spark, opts, path, schema, panes
+        self.since, self.first, self.dropped, self.batch = None, True, 0, -1
+
+    def late(self, query: StreamingQuery) -> None:
+        """Add up the rows dropped in batches not seen yet."""
+        seen = [p["batchId"] for p in query.recentProgress]
+        if seen and max(seen) > self.batch:
+            self.dropped += late_rows(query, self.batch)
+            self.batch = max(seen)
+
+    def write(self, query: StreamingQuery, open_rows: DataFrame | None = None) -> None:
+        self.late(query)
+        last = query.lastProgress
+        if last is None:  # no batch has run, there is no table
+            return
+        stored = read_summary(self.spark, self.path, self.schema)
+        # Up to here windows are closed: with panes by the batch's watermark,
+        # otherwise the stored ones are.
+        watermark = last["eventTime"].get("watermark") if self.panes else None
+        if watermark is not None:
+            limit = datetime.datetime.fromisoformat(watermark)
+        else:
+            limit = stored.agg(F.max("window_end")).first()[0]
+        if open_rows is None and not self.first and limit in (None, self.since):
+            return
+        opts = self.opts
+        card = score_closed_windows(
+            self.spark, self.path, opts.max_pct, opts.volume_rule, opts.order_by, self.schema, since=self.since,
+            panes=self.panes, closed_until=watermark, open_rows=open_rows, summary=stored,
+        )
+        write_scorecard(
+            card, opts.output, fmt=opts.fmt, scope=list(WINDOW_COLUMNS), partition_by_scope=True,
+            incremental=not self.first,
+        )
+        self.first, self.since = False, limit
 
 
 def main(argv: Sequence[str] | None = None) -> None:

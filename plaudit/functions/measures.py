@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 NEGATIVE_LABEL = "negative"
 POSITIVE_LABEL = "positive"
 
+# A decimal number; Java's own parser would also take a suffix, as in "7d".
+NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -60,8 +63,14 @@ def strict_points(points: Column | str = "points") -> Column:
 
 
 def lenient_points(points: Column | str = "points") -> Column:
-    """Integer points truncated toward zero; null for text that is no number."""
-    return _col(points).try_cast("double").try_cast("bigint")
+    """Integer points truncated toward zero; null for text that is no number.
+
+    Whole numbers never pass through a double, which holds them exactly only up
+    to 2^53; the double path takes only what is written as a decimal number.
+    """
+    p = _col(points)
+    number = F.rlike(F.trim(p.cast("string")), F.lit(NUMBER))
+    return F.coalesce(p.try_cast("bigint"), F.when(number, p.try_cast("double").try_cast("bigint")))
 
 
 def pct_negative(

@@ -1,12 +1,9 @@
 """SRT1/SRT2: a dense 1..n rank per scope without one task per scope.
 
 ``row_number()`` over ``Window.orderBy(...)`` (whole data set) or
-``Window.partitionBy(scope)`` moves every row of a scope into one task. That
-is used only behind a checked bound: when no scope can hold more than
-``SINGLE_TASK_ROWS`` rows (the caller passes a proven bound, or one job
-measures the largest scope). Beyond it — the kept categories of a scope are
-not bounded in general — the rank is computed the way ``RDD.zipWithIndex``
-does it, in DataFrame form:
+``Window.partitionBy(scope)`` moves every row of a scope into one task, and
+the kept categories of a scope are not bounded. The rank is computed the way
+``RDD.zipWithIndex`` does it, in DataFrame form, whatever the size:
 
 1. ``orderBy(scope…, keys…, category)`` — a range-partitioned global sort;
    the key is a total order, so the result does not depend on partitioning;
@@ -31,52 +28,18 @@ from pyspark.sql import functions as F
 
 from plaudit.session import checkpoint_dir
 
-# A scope with at most this many rows is ranked by row_number() in one task:
-# bounded memory (the window spills) and at most seconds of sorting.
-SINGLE_TASK_ROWS = 1_000_000
-
-
-def largest_scope_rows(df: DataFrame, scope: Sequence[str] = ()) -> int:
-    """Rows of the largest scope (one aggregate job; only a number reaches the driver)."""
-    if not scope:
-        return df.count()
-    top = df.groupBy(*scope).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
-
 
 def ordinal_rank(
     df: DataFrame,
     order: Sequence[Column],
     scope: Sequence[str] = (),
     name: str = "rank",
-    rows_bound: int | None = None,
-    single_task_rows: int | None = None,
 ) -> DataFrame:
     """Add ``name`` (BIGINT, 1-based) ranking rows of each scope by ``order``.
 
     ``order`` must make the order total within a scope (end it with a unique
     column such as ``category``); ties would otherwise be ranked arbitrarily.
-    ``rows_bound`` is a known upper bound of the rows in any scope (e.g. the
-    row count of the summary the rows come from); without it one job
-    measures the largest scope. Both paths give the same ranks.
-    ``single_task_rows`` defaults to ``SINGLE_TASK_ROWS``.
     """
-    limit = SINGLE_TASK_ROWS if single_task_rows is None else single_task_rows
-    if rows_bound is None:
-        rows_bound = largest_scope_rows(df, scope)
-    if rows_bound <= limit:
-        within = Window.partitionBy(*scope).orderBy(*order)
-        return df.withColumn(name, F.row_number().over(within).cast("bigint"))
-    return distributed_rank(df, order, scope, name)
-
-
-def distributed_rank(
-    df: DataFrame,
-    order: Sequence[Column],
-    scope: Sequence[str] = (),
-    name: str = "rank",
-) -> DataFrame:
-    """``ordinal_rank`` for scopes of any size (range sort + partition offsets)."""
     checkpoint_dir(df.sparkSession)  # fail early without a shared folder
     keys = [F.col(s).asc_nulls_first() for s in scope] + list(order)
     tagged = (

@@ -8,19 +8,17 @@ and categories compete: ``[]`` for the whole data set (the batch program),
 Plan, per scope S:
 
     summarize  (partial + final HashAggregate on S, category)
-    checkpoint (reliable; the summary feeds both the totals and the rows;
-                the same job counts the summary rows)
+    checkpoint (reliable; the summary feeds both the totals and the rows)
     totals     (partial aggregate of the summary; scalar subquery or AQE join)
     ratios, filter
-    rank       (row_number per scope under a proven row bound, else range
-                sort + partition offsets; see ``rank.py``)
+    rank       (range sort + partition offsets; see ``rank.py``)
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plaudit.functions.measures import avg_points, pct_negative
@@ -54,29 +52,22 @@ def score_summary(
     volume_rule: str = "gt",
     order_by: str = "avg_points",
     materialize: bool = True,
-    rows_bound: int | None = None,
 ) -> DataFrame:
     """Scorecard from per-category measures ``(scope…, category, reviews,
     negatives, points)``.
 
     ``materialize`` checkpoints the summary so that the totals and the rows
     read it once instead of re-running the scan and aggregation; leave it on
-    unless the summary is already a stored table. The checkpoint job also
-    counts the summary rows (an ``Observation``): no scope can keep more, so
-    the count is the proven bound that lets the rank run in one task per
-    scope when it is small. A caller with a stored summary can pass its row
-    count as ``rows_bound`` instead.
+    unless the summary is already a stored table.
     """
     scope = list(scope)
     order = sort_order(order_by)  # check the arguments before any job runs
     popular(volume_rule)
     if materialize:
-        rows = Observation()
-        summary = summary.observe(rows, F.count(F.lit(1)).alias("rows")).checkpoint(eager=True)
-        rows_bound = int(rows.get["rows"])
+        summary = summary.checkpoint(eager=True)
     scored = with_ratios(with_scope_totals(summary, scope))
     kept = keep_popular_and_liked(scored, max_pct_negative, volume_rule)
-    ranked = ordinal_rank(kept, order, scope, rows_bound=rows_bound)
+    ranked = ordinal_rank(kept, order, scope)
     return ranked.select(*scope, *SCORECARD_COLUMNS)
 
 

@@ -6,11 +6,13 @@ summary (partial per partition, so tiny before the shuffle):
 
 * whole data set: the one-row totals become a scalar subquery — no join, and
   the value that reaches the driver is exactly one row by construction;
-* per scope: an equi-join on the scope columns without a hint. AQE measures
-  the materialised totals at runtime and broadcasts them when they are under
-  ``spark.sql.adaptive.autoBroadcastJoinThreshold``; beyond that it keeps the
-  sort-merge join and splits a hot scope (skew join), so the category rows are
-  never funnelled into one task per scope.
+* per scope: an equi-join on the scope columns without a hint. The planner
+  broadcasts the totals when its estimate of them is under
+  ``spark.sql.autoBroadcastJoinThreshold`` (small inputs); with a larger estimate
+  it plans a sort-merge join, which AQE turns into a broadcast if the measured
+  totals are under ``spark.sql.adaptive.autoBroadcastJoinThreshold`` and whose hot
+  scopes it splits otherwise (skew join), so the category rows are never
+  funnelled into one task per scope.
 """
 
 from __future__ import annotations

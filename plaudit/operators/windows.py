@@ -9,7 +9,8 @@ the windows that contain them and added up ("panes": Li et al., SIGMOD Record
 2005). Window alignment is Spark's own (``F.window``: epoch-aligned, plus an
 optional ``start`` offset), for TIMESTAMP and TIMESTAMP_NTZ alike.
 
-Rows without a time belong to no window.
+Rows without a time belong to no window: they fail the job, or are dropped where
+the caller says so (``missing_time="drop"``).
 """
 
 from __future__ import annotations
@@ -62,6 +63,7 @@ def summarize_windows(
     duration: int | str,
     slide: int | str | None = None,
     start: int | str = 0,
+    missing_time: str = "fail",
 ) -> DataFrame:
     """AGG1 per ``(window_start, window_end, category)``.
 
@@ -74,7 +76,14 @@ def summarize_windows(
     # F.window wants an offset below its slide; the same alignment modulo the
     # pane keeps panes inside windows.
     pane_offset = f"{parse_seconds(start) % pane} seconds"
-    timed = reviews.where(F.col(time_col).isNotNull())
+    if missing_time not in ("fail", "drop"):
+        raise ValueError(f"missing_time must be 'fail' or 'drop', got {missing_time!r}")
+    time = F.col(time_col)
+    if missing_time == "fail":
+        # In the column itself: a filter before F.window could be moved behind
+        # the one for nulls that F.window brings along.
+        time = F.when(time.isNull(), F.raise_error(F.lit("review without a time"))).otherwise(time)
+    timed = reviews.withColumn(time_col, time).where(F.col(time_col).isNotNull())
     panes = summarize(
         timed.withColumn(
             "pane_start", F.window(time_col, f"{pane} seconds", startTime=pane_offset).getField("start")

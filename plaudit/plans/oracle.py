@@ -15,8 +15,8 @@ from plaudit.plans.queries import (
     SAMPLE_EVERY,
     SAMPLE_LENGTH,
     SLIDE,
-    STREAM_DELAY,
     WINDOW,
+    WINDOW_START,
 )
 
 US = 1_000_000  # microseconds per second
@@ -98,45 +98,40 @@ FROM scored
 WHERE reviews {op} avg_reviews AND pct_negative < {float(max_pct)!r}"""
 
 
-def _ts_window(step_s: int) -> str:
-    return f"(epoch_us(ts) // {step_s * US}) * {step_s * US}"
+def _ts_window(step_s: int, start_s: int = 0) -> str:
+    shift = start_s * US
+    return f"((epoch_us(ts) - {shift}) // {step_s * US}) * {step_s * US} + {shift}"
 
 
-def _window_reviews(duration: int, slide: int, closed_only: bool) -> str:
+def _window_reviews(duration: int, slide: int, start: int = 0) -> str:
     """A1 reviews with ``window_start``/``window_end`` (TIMESTAMP)."""
     if slide == duration:
         body = f"""
-  SELECT {_ts_window(slide)} AS ws_us, category, evaluation, points, ts FROM event_reviews"""
+  SELECT {_ts_window(slide, start)} AS ws_us, category, evaluation, points, ts FROM event_reviews"""
     elif slide < duration:
         per_row = -(-duration // slide)
         body = f"""
   SELECT ws_us, category, evaluation, points, ts FROM (
-    SELECT {_ts_window(slide)} - k * {slide * US} AS ws_us, category, evaluation, points, ts
+    SELECT {_ts_window(slide, start)} - k * {slide * US} AS ws_us, category, evaluation, points, ts
     FROM (SELECT *, unnest(range({per_row})) AS k FROM event_reviews)
   ) WHERE epoch_us(ts) < ws_us + {duration * US}"""
     else:
         body = f"""
   SELECT ws_us, category, evaluation, points, ts FROM (
-    SELECT {_ts_window(slide)} AS ws_us, category, evaluation, points, ts FROM event_reviews
+    SELECT {_ts_window(slide, start)} AS ws_us, category, evaluation, points, ts FROM event_reviews
   ) WHERE epoch_us(ts) < ws_us + {duration * US}"""
-    closed = ""
-    if closed_only:
-        # A window is emitted once the watermark (max event time, ms, minus
-        # the delay) reaches its end.
-        closed = f"""
-  WHERE ws_us + {duration * US} <= (SELECT (epoch_ms(max(ts)) - {STREAM_DELAY * 1000}) * 1000 FROM events)"""
     return f"""
 windowed AS (
   SELECT make_timestamp(ws_us) AS window_start,
          make_timestamp(ws_us + {duration * US}) AS window_end,
          category, evaluation, points
   FROM ({body}
-  ){closed}
+  )
 )"""
 
 
-def _windowed_scorecard(duration: int, slide: int, max_pct: float, closed_only: bool = False) -> str:
-    ctes = EVENT_REVIEWS + "," + _window_reviews(duration, slide, closed_only) + "," + _summary(
+def _windowed_scorecard(duration: int, slide: int, max_pct: float, start: int = 0) -> str:
+    ctes = EVENT_REVIEWS + "," + _window_reviews(duration, slide, start) + "," + _summary(
         "summary", "windowed", "window_start, window_end"
     )
     return _scorecard(ctes, "summary", "window_start, window_end", max_pct, "gt", "avg_points")
@@ -160,6 +155,12 @@ brand_month_reviews AS (
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
 ),""" + _summary("summary", "brand_month_reviews", "month")
 
+NATION_SUMMARY = """
+nation_reviews AS (
+  SELECT CAST(n_regionkey AS VARCHAR) AS category, 'positive' AS evaluation,
+         CAST(n_nationkey AS BIGINT) AS points
+  FROM nation
+),""" + _summary("summary", "nation_reviews")
 EVENT_SUMMARY = EVENT_REVIEWS + "," + _summary("summary", "event_reviews")
 BRAND_SUMMARY = BRAND_REVIEWS + "," + _summary("summary", "brand_reviews")
 
@@ -227,8 +228,19 @@ SELECT category, reviews, negatives, points, pct_negative, avg_points FROM score
     "scorecard_sampling": _windowed_scorecard(SAMPLE_LENGTH, SAMPLE_EVERY, EVENTS_MAX_PCT),
     "scorecard_from_json": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
     "scorecard_from_json_lenient": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
-    "stream_per_day": _windowed_scorecard(86400, 86400, DAY_MAX_PCT, closed_only=True),
-    "stream_tumbling": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT, closed_only=True),
-    "stream_sliding": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT, closed_only=True),
-    "stream_sliding_panes": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT, closed_only=True),
+    "stream_per_day": _windowed_scorecard(86400, 86400, DAY_MAX_PCT),
+    "stream_tumbling": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT),
+    "stream_sliding": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT),
+    "stream_sliding_panes": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT),
+    "stream_sampling": _windowed_scorecard(SAMPLE_LENGTH, SAMPLE_EVERY, EVENTS_MAX_PCT),
+    "stream_offset": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT, WINDOW_START),
+    "stream_json_arrival": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "avg_points"),
+    "volume_rule_gt": _scorecard(NATION_SUMMARY, "summary", "", 10.0, "gt", "avg_points"),
+    "volume_rule_ge": _scorecard(NATION_SUMMARY, "summary", "", 10.0, "ge", "avg_points"),
+    "written_json": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
+    "written_per_day": _day_scorecard(DAY_MAX_PCT),
+    "json_times": f"""WITH {EVENT_REVIEWS}
+SELECT category, CASE WHEN evaluation = 'negative' THEN 'bad time' ELSE 'good' END AS fate,
+       CAST(count(*) AS BIGINT) AS reviews
+FROM event_reviews GROUP BY ALL""",
 }

@@ -18,7 +18,8 @@ from plaudit.operators.scorecard import score_summary, scorecard, with_ratios
 from plaudit.operators.summarize import summarize
 from plaudit.operators.totals import scope_totals, with_scope_totals
 from plaudit.operators.windows import summarize_windows, with_day
-from plaudit.session import scratch_path
+from plaudit.session import LARGE_STATE_CONF, scratch_path, session_conf
+from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.adapters import (
     brand_summary,
     event_evaluation,
@@ -26,8 +27,8 @@ from plaudit.sources.adapters import (
     ship_month,
 )
 from plaudit.sources.json_reviews import parse_json_column, read_reviews
-from plaudit.sources.tables import load_table
-from plaudit.streaming.windowed import windowed_scorecard
+from plaudit.sources.tables import load_table, stream_table
+from plaudit.streaming.windowed import ARRIVAL, HORIZON, stream_reviews, windowed_scorecard
 
 # Parameters of the driver queries (shared with the SQL oracle).
 EVENTS_MAX_PCT = 20.0  # A1: share of error events allowed, in percent
@@ -37,7 +38,10 @@ WINDOW = 4 * 86400  # 4-day windows
 SLIDE = 86400  # sliding every day
 SAMPLE_EVERY = 2 * 86400  # sampling: the first day of every 2 days
 SAMPLE_LENGTH = 86400
-STREAM_DELAY = 0  # watermark delay of the stream queries, seconds
+WINDOW_START = 86400 + 6 * 3600  # offset of the shifted windows
+STREAM_HORIZON = HORIZON  # how many slides a streamed row may be late
+STREAM_OPTIONS = {"maxBytesPerTrigger": str(256 << 30)}  # bytes of a stream batch
+CENTURY = 100 * 365 * 86400
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,40 +249,49 @@ def scorecard_from_json_lenient(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream(
-    spark: SparkSession, sf_dir: str, duration: int, slide: int, max_pct: float, panes: bool = False
+    spark: SparkSession,
+    sf_dir: str,
+    duration: int,
+    slide: int,
+    max_pct: float,
+    panes: bool = False,
+    start: int = 0,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """``events`` as a Structured Streaming source (availableNow) through
-    stage 1, then the batch scorecard of its closed windows."""
-    schema = load_table(spark, sf_dir, "events").schema
-    events = (
-        spark.readStream.schema(schema)
-        .option("pathGlobFilter", "events.parquet")
-        .parquet(sf_dir)
-    )
-    return windowed_scorecard(
-        reviews_from_events(events),
-        scratch_path(spark, "stream-out"),
-        scratch_path(spark, "stream-checkpoint"),
-        duration,
-        slide,
-        STREAM_DELAY,
-        max_pct_negative=max_pct,
-        panes=panes,
-    )
+    stage 1, then the batch scorecard of all its windows.
+
+    Batches are bounded in bytes and the state is kept in RocksDB, so a
+    backfill of any size fits; a row later than the horizon fails the query.
+    """
+    events = stream_table(spark, sf_dir, "events", STREAM_OPTIONS | (options or {}))
+    with session_conf(spark, LARGE_STATE_CONF):
+        return windowed_scorecard(
+            reviews_from_events(events),
+            scratch_path(spark, "stream-out"),
+            scratch_path(spark, "stream-checkpoint"),
+            duration,
+            slide,
+            STREAM_HORIZON * slide,
+            max_pct_negative=max_pct,
+            panes=panes,
+            start=start,
+            late="fail",
+        )
 
 
 def stream_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR2: each day-long batch scored alone (stateless twin), closed days."""
+    """STR2: each day-long batch scored alone (stateless twin)."""
     return _stream(spark, sf_dir, 86400, 86400, DAY_MAX_PCT)
 
 
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR4: 4-day tumbling windows, closed windows."""
+    """STR4: 4-day tumbling windows."""
     return _stream(spark, sf_dir, WINDOW, WINDOW, EVENTS_MAX_PCT)
 
 
 def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """STR3/STR4: 4-day windows sliding by a day, closed windows."""
+    """STR3/STR4: 4-day windows sliding by a day."""
     return _stream(spark, sf_dir, WINDOW, SLIDE, EVENTS_MAX_PCT)
 
 
@@ -288,6 +301,96 @@ def stream_sliding_panes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stream(spark, sf_dir, WINDOW, SLIDE, EVENTS_MAX_PCT, panes=True)
 
 
+def stream_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3 with slide > length: the first day of every second day."""
+    return _stream(spark, sf_dir, SAMPLE_LENGTH, SAMPLE_EVERY, EVENTS_MAX_PCT)
+
+
+def stream_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR10: 4-day tumbling windows that start a day and six hours late."""
+    return _stream(spark, sf_dir, WINDOW, WINDOW, EVENTS_MAX_PCT, start=WINDOW_START)
+
+
+def stream_json_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC3: A1 as JSON lines, streamed by the arrival of their files.
+
+    All files arrive within this run, so windows of a century hold them all
+    and the scorecard is the whole data set's; the bounds are left out.
+    """
+    path = _review_json(spark, sf_dir, points_as_text=False)
+    reviews = stream_reviews(spark, path, time=ARRIVAL, options=STREAM_OPTIONS)
+    with session_conf(spark, LARGE_STATE_CONF):
+        card = windowed_scorecard(
+            reviews,
+            scratch_path(spark, "stream-out"),
+            scratch_path(spark, "stream-checkpoint"),
+            CENTURY,
+            delay=0,
+            max_pct_negative=EVENTS_MAX_PCT,
+            late="fail",
+        )
+    return card.drop("window_start", "window_end")
+
+
+# -- rules, sinks, rejects ----------------------------------------------------
+
+
+def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nations as reviews of their region: every region has as many, so ``>``
+    keeps none and ``>=`` keeps all."""
+    return load_table(spark, sf_dir, "nation").select(
+        F.col("n_regionkey").cast("string").alias("category"),
+        F.lit("positive").alias("evaluation"),
+        F.col("n_nationkey").cast("bigint").alias("points"),
+    )
+
+
+def volume_rule_gt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT1 ``gt`` where every category has the average volume."""
+    return scorecard(_nations(spark, sf_dir), volume_rule="gt")
+
+
+def volume_rule_ge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT1 ``ge`` where every category has the average volume."""
+    return scorecard(_nations(spark, sf_dir), volume_rule="ge")
+
+
+def _written(spark: SparkSession, card: DataFrame, fmt: str, scope: tuple[str, ...] = ()) -> DataFrame:
+    path = scratch_path(spark, f"scorecard-{fmt}")
+    write_scorecard(card, path, fmt=fmt, scope=scope, partition_by_scope=bool(scope))
+    reader = spark.read.schema(card.schema).format(fmt)
+    return (reader.option("header", "true") if fmt == "csv" else reader).load(path).select(*card.columns)
+
+
+def written_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK1/SNK4: Q1 on A1 written as JSON and read back."""
+    return _written(spark, scorecard_by_points_events(spark, sf_dir), "json")
+
+
+def written_per_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK2: the per-day scorecards, one folder per day, read back."""
+    return _written(spark, scorecard_per_day(spark, sf_dir), "parquet", ("day",))
+
+
+def json_times(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SRC2 lenient with times: A1 as JSON lines in which times of errors are
+    unreadable; the good and the rejected rows per category."""
+    events = load_table(spark, sf_dir, "events")
+    evaluation = event_evaluation(F.col("event_type"))
+    path = scratch_path(spark, "reviews-times")
+    events.select(
+        F.col("user_id").cast("string").alias("cuisine"),
+        evaluation.alias("evaluation"),
+        F.col("value").cast("bigint").alias("points"),
+        F.when(evaluation == "negative", F.lit("no time")).otherwise(F.col("ts").cast("string")).alias("ts"),
+    ).write.json(path)
+    good, rejects = read_reviews(spark, path, "lenient", needs_time=True)
+    both = good.select("category", F.lit("good").alias("fate")).unionByName(
+        rejects.select(F.col("cuisine").alias("category"), F.col("reason").alias("fate"))
+    )
+    return both.groupBy("category", "fate").agg(F.count(F.lit(1)).alias("reviews"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_points": json_points,
     "review_measures": review_measures,
@@ -318,4 +421,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_tumbling": stream_tumbling,
     "stream_sliding": stream_sliding,
     "stream_sliding_panes": stream_sliding_panes,
+    "stream_sampling": stream_sampling,
+    "stream_offset": stream_offset,
+    "stream_json_arrival": stream_json_arrival,
+    "volume_rule_gt": volume_rule_gt,
+    "volume_rule_ge": volume_rule_ge,
+    "written_json": written_json,
+    "written_per_day": written_per_day,
+    "json_times": json_times,
 }

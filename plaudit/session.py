@@ -4,13 +4,18 @@ Everything that cuts lineage (``DataFrame.checkpoint``) or writes an
 intermediate table goes below the folder the cluster names in
 ``spark.checkpoint.dir``. The library never invents one on a cluster;
 only :func:`ensure_checkpoint_dir` (used by tests, the bench and the local
-driver entry) sets a scratch folder, and only when none is configured.
+driver entry) sets a scratch folder, only when none is configured and only
+where the master is local. Written tables live in one folder per application
+below it, which goes when the application ends.
 """
 
 from __future__ import annotations
 
+import contextlib
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +32,7 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # Remove checkpoint files once the DataFrames that use them are gone.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
 }
 
 
@@ -70,6 +76,22 @@ def build_session(
     return spark
 
 
+@contextlib.contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]) -> Iterator[None]:
+    """Run-time settings for a block; what was set before comes back after it."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of this session; error if none is set."""
     try:
@@ -95,16 +117,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def ensure_checkpoint_dir(spark: SparkSession, parent: str = "/tmp") -> str:
     """Use the configured checkpoint folder; set a scratch one only if unset.
 
-    For tests and single-machine runs. On a cluster ``spark.checkpoint.dir``
-    is set and this returns it unchanged.
+    For tests and single-machine runs. A scratch folder is local to a machine,
+    so on any other master than ``local`` a missing setting is an error.
     """
     try:
         return checkpoint_dir(spark)
     except RuntimeError:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir=parent))
         return spark.sparkContext.getCheckpointDir()
 
 
+_roots: dict[tuple[str, str], str] = {}
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint folder for a written table."""
-    return f"{checkpoint_dir(spark).rstrip('/')}/plaudit-{name}-{uuid.uuid4().hex}"
+    """A fresh folder below the shared checkpoint folder for a written table.
+
+    All of an application's are below one folder, which the file system client
+    deletes when the driver's JVM ends.
+    """
+    base = checkpoint_dir(spark).rstrip("/")
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's folder, cleared there
+        return f"{base}/plaudit-{name}-{uuid.uuid4().hex}"
+    key = (sc.applicationId, base)
+    if key not in _roots:
+        root = f"{base}/plaudit-{uuid.uuid4().hex}"
+        path = sc._jvm.org.apache.hadoop.fs.Path(root)
+        fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _roots[key] = root
+    return f"{_roots[key]}/{name}-{uuid.uuid4().hex}"

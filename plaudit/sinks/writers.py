@@ -23,20 +23,29 @@ def write_scorecard(
     scope: Sequence[str] = (),
     partition_by_scope: bool = False,
     ordered: bool = True,
+    incremental: bool = False,
 ) -> None:
     """Write a scorecard; ``mode="overwrite"`` replaces an earlier result (SNK4).
 
     ``partition_by_scope`` writes one folder per batch / window, the layout of
-    one output directory per interval; overwriting then replaces only the
-    folders of the scopes being written (dynamic partition overwrite), so
-    incremental reports leave earlier windows alone.
+    one output directory per interval. A full report replaces the whole output,
+    so folders of an earlier run do not stay behind. ``incremental`` replaces
+    only the folders of the scopes being written (dynamic partition overwrite):
+    for reports of scopes that were not reported before. Rows go to tasks by
+    ranges of scope and rank, which splits a large scope and keeps its files in
+    rank order.
     """
     if fmt not in FORMATS:
         raise ValueError(f"fmt must be one of {FORMATS}, got {fmt!r}")
-    out = df.orderBy(*[F.col(s).asc_nulls_first() for s in scope], "rank") if ordered else df
+    keys = [F.col(s).asc_nulls_first() for s in scope] + [F.col("rank")]
+    out = df
+    if ordered:
+        out = df.repartitionByRange(*keys).sortWithinPartitions(*keys) if scope else df.orderBy(*keys)
     writer = out.write.mode(mode).format(fmt)
     if partition_by_scope and scope:
-        writer = writer.partitionBy(*scope).option("partitionOverwriteMode", "dynamic")
+        writer = writer.partitionBy(*scope).option(
+            "partitionOverwriteMode", "dynamic" if incremental else "static"
+        )
     if fmt == "csv":
         writer = writer.option("header", "true")
     writer.save(path)

@@ -2,7 +2,7 @@
 
 from plaudit.sources.adapters import brand_summary, reviews_from_events, reviews_from_lineitem
 from plaudit.sources.json_reviews import parse_json_column, read_reviews, split_lenient
-from plaudit.sources.tables import load_table
+from plaudit.sources.tables import load_table, stream_table
 
 __all__ = [
     "brand_summary",
@@ -12,4 +12,5 @@ __all__ = [
     "reviews_from_events",
     "reviews_from_lineitem",
     "split_lenient",
+    "stream_table",
 ]

@@ -10,6 +10,11 @@ Two modes:
   toward zero (``3.7`` → 3, ``" 7 "`` → 7); text that is no number is
   rejected.
 
+Times are read as text and parsed here, and every check is a filter over all
+columns it concerns, so a row's fate does not depend on which columns the
+consumer reads. A time that is there but unreadable is a bad row; one that is
+missing is, too, where ``needs_time`` asks for it.
+
 A missing ``cuisine`` and a JSON ``null`` are the same to the reader: both
 form the null category.
 """
@@ -32,27 +37,51 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
     return T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
 
 
-def strict_rows(raw: DataFrame) -> DataFrame:
-    """Parsed JSON → reviews; a missing evaluation or points fails the job."""
-    evaluation = F.when(
-        F.col("evaluation").isNull(), F.raise_error(F.lit("review without evaluation"))
-    ).otherwise(F.col("evaluation"))
-    points = F.when(
-        F.col("points").isNull(), F.raise_error(F.lit("review without points"))
-    ).otherwise(strict_points("points"))
-    return raw.select(
-        F.col("cuisine").alias("category"),
-        evaluation.alias("evaluation"),
-        points.alias("points"),
-        "ts",
+def times_as_text(schema: T.StructType, *more: str) -> T.StructType:
+    """``schema`` with its timestamp columns, and the columns ``more``, as text."""
+    return T.StructType(
+        [
+            T.StructField(f.name, T.StringType(), True)
+            if isinstance(f.dataType, T.TimestampType) or f.name in more
+            else f
+            for f in schema.fields
+        ]
+    )
+
+
+def _time(raw: DataFrame) -> Column:
+    """``ts`` as a timestamp, null where it is unreadable."""
+    if isinstance(raw.schema["ts"].dataType, T.StringType):
+        return F.col("ts").try_cast("timestamp")
+    return F.col("ts")
+
+
+def _bad_time(raw: DataFrame, needs_time: bool) -> Column:
+    unreadable = _time(raw).isNull()
+    return unreadable if needs_time else unreadable & F.col("ts").isNotNull()
+
+
+def strict_rows(raw: DataFrame, needs_time: bool = False) -> DataFrame:
+    """Parsed JSON → reviews; a missing evaluation, points or (``needs_time``)
+    time, or an unreadable value, fails the job."""
+    fail = lambda text: F.raise_error(F.lit(text)).cast("boolean")
+    checked = (
+        F.when(F.col("evaluation").isNull(), fail("review without evaluation"))
+        .when(F.col("points").isNull(), fail("review without points"))
+        .when(_bad_time(raw, needs_time), fail("review without a readable time"))
+        .otherwise(strict_points("points").isNotNull())
+    )
+    return raw.where(checked).select(
+        F.col("cuisine").alias("category"), "evaluation", strict_points("points").alias("points"), _time(raw).alias("ts")
     )
 
 
-def _reject_reason(points: Column) -> Column:
+def _reject_reason(raw: DataFrame, points: Column, needs_time: bool) -> Column:
     return (
         F.when(F.col(CORRUPT).isNotNull(), F.lit("malformed"))
         .when(F.col("evaluation").isNull(), F.lit("no evaluation"))
         .when(points.isNull(), F.lit("bad points"))
+        .when(_bad_time(raw, needs_time), F.lit("bad time"))
     )
 
 
@@ -62,6 +91,7 @@ def read_reviews(
     mode: str = "strict",
     schema: T.StructType = REVIEW_JSON_SCHEMA,
     rejected: Observation | None = None,
+    needs_time: bool = False,
 ) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Reviews ``(category, evaluation, points, ts)`` from JSON lines.
 
@@ -71,9 +101,10 @@ def read_reviews(
     while the reviews are consumed, so a caller can skip a second scan for
     the rejects when there are none.
     """
+    schema = times_as_text(schema)
     if mode == "strict":
         raw = spark.read.schema(schema).option("mode", "FAILFAST").json(path)
-        return strict_rows(raw)
+        return strict_rows(raw, needs_time)
     if mode != "lenient":
         raise ValueError(f"mode must be one of {MODES}, got {mode!r}")
     raw = (
@@ -82,15 +113,15 @@ def read_reviews(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    return split_lenient(raw, rejected)
+    return split_lenient(raw, rejected, needs_time)
 
 
 def split_lenient(
-    raw: DataFrame, rejected: Observation | None = None
+    raw: DataFrame, rejected: Observation | None = None, needs_time: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Parsed rows with a ``_corrupt_record`` column → ``(reviews, rejects)``."""
     points = lenient_points("points")
-    reason = _reject_reason(points)
+    reason = _reject_reason(raw, points, needs_time)
     tagged = raw.withColumn("_points", points).withColumn("reason", reason)
     if rejected is not None:
         tagged = tagged.observe(rejected, F.count_if(F.col("reason").isNotNull()).alias("rejected"))
@@ -98,10 +129,10 @@ def split_lenient(
         F.col("cuisine").alias("category"),
         "evaluation",
         F.col("_points").alias("points"),
-        "ts",
+        _time(raw).alias("ts"),
     )
     rejects = tagged.where(F.col("reason").isNotNull()).select(
-        F.col(CORRUPT).alias("line"), "cuisine", "evaluation", "points", "reason"
+        F.col(CORRUPT).alias("line"), "cuisine", "evaluation", "points", "ts", "reason"
     )
     return good, rejects
 

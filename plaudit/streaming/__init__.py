@@ -1,6 +1,9 @@
 """Structured Streaming: stage-1 windowed summaries, stage-2 scoring."""
 
 from plaudit.streaming.windowed import (
+    late_rows,
+    open_summary,
+    read_summary,
     run_for,
     score_closed_windows,
     start_summary_stream,
@@ -10,6 +13,9 @@ from plaudit.streaming.windowed import (
 )
 
 __all__ = [
+    "late_rows",
+    "open_summary",
+    "read_summary",
     "run_for",
     "score_closed_windows",
     "start_summary_stream",

@@ -17,6 +17,12 @@ the one point where its output is complete:
 * **stage 2** (batch): ``score_summary`` with ``scope = window`` over the
   stage-1 table: the same distributed plan as any batch scorecard.
 
+A drained backfill has no later rows, so its open windows are final too: their
+rows are read from the state store and scored with the stored ones.
+
+Rows later than the watermark's horizon are dropped by Spark; they are counted
+(``late_rows``) and fail a strict backfill. Rows without a time fail.
+
 Time is the review's event time, or its arrival time taken as the source
 file's modification time (``_metadata.file_modification_time``), which is
 replayable where wall-clock arrival is not.
@@ -26,6 +32,7 @@ from __future__ import annotations
 
 import datetime
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -36,9 +43,12 @@ from plaudit.operators.scorecard import score_summary
 from plaudit.operators.summarize import summarize
 from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds, parse_seconds, windows_from_panes
 from plaudit.schema import REVIEW_JSON_SCHEMA
-from plaudit.sources.json_reviews import CORRUPT, split_lenient, strict_rows, with_corrupt_column
+from plaudit.sources.json_reviews import CORRUPT, split_lenient, strict_rows, times_as_text, with_corrupt_column
 
 ARRIVAL = "arrival"
+# How many intervals a row may be late by default.
+HORIZON = 17
+LATE = ("fail", "count")
 
 
 def stream_reviews(
@@ -57,11 +67,16 @@ def stream_reviews(
     time column. ``strict``: a bad line fails the query. ``lenient``: returns
     ``(reviews, rejects)``; start a query on each (every query reads the new
     files itself). ``options`` go to the file source as they are, e.g.
-    ``{"cleanSource": "archive", "sourceArchiveDir": …}`` or ``maxFileAge`` to
-    keep a long-running source's file log bounded.
+    ``{"cleanSource": "archive", "sourceArchiveDir": …}``, ``maxFileAge`` to
+    keep a long-running source's file log bounded, or ``maxBytesPerTrigger``.
+    An event-time column that ``schema`` lacks is added to it as text and read
+    like ``ts``; a review without a readable event time fails or is rejected.
     """
     if mode not in ("strict", "lenient"):
         raise ValueError(f"mode must be 'strict' or 'lenient', got {mode!r}")
+    if time not in (ARRIVAL, *schema.names):
+        schema = T.StructType([*schema.fields, T.StructField(time, T.StringType(), True)])
+    schema = times_as_text(schema, time)
     reader = spark.readStream
     if mode == "strict":
         reader = reader.schema(schema).option("mode", "FAILFAST")
@@ -79,20 +94,23 @@ def stream_reviews(
     if time == ARRIVAL:
         raw = raw.withColumn("ts", F.col("_metadata.file_modification_time"))
     elif time != "ts":
-        raw = raw.withColumn("ts", F.col(time))
-    return strict_rows(raw) if mode == "strict" else split_lenient(raw)
+        raw = raw.drop("ts").withColumn("ts", F.col(time))
+    needs_time = time != ARRIVAL
+    return strict_rows(raw, needs_time) if mode == "strict" else split_lenient(raw, needs_time=needs_time)
 
 
 def summarize_stream(
     reviews: DataFrame,
     duration: int | str,
     slide: int | str | None = None,
-    delay: int | str = 0,
+    delay: int | str | None = None,
     time_col: str = "ts",
     start: int | str = 0,
 ) -> DataFrame:
     """Stage 1: per-(window, category) measures of a review stream, append mode.
 
+    ``delay`` is how late a row may be; ``HORIZON`` slides by default.
+
     TIMESTAMP_NTZ times are read as UTC wall clock (``withWatermark`` needs
     TIMESTAMP) and the window bounds are given back as TIMESTAMP_NTZ.
     ``slide > duration`` keeps the first ``duration`` of every
@@ -100,10 +118,11 @@ def summarize_stream(
     """
     w = parse_seconds(duration)
     s = parse_seconds(slide) if slide is not None else w
-    d = parse_seconds(delay)
+    d = parse_seconds(delay) if delay is not None else HORIZON * s
     offset = f"{parse_seconds(start) % s} seconds"  # F.window wants it below the slide
     ntz = isinstance(reviews.schema[time_col].dataType, T.TimestampNTZType)
     t = ntz_to_instant(F.col(time_col)) if ntz else F.col(time_col)
+    t = F.when(t.isNull(), F.raise_error(F.lit("review without a time"))).otherwise(t)
     timed = reviews.withColumn("_t", t).withWatermark("_t", f"{d} seconds")
     if s <= w:
         timed = timed.withColumn("_window", F.window("_t", f"{w} seconds", f"{s} seconds", offset))
@@ -111,7 +130,11 @@ def summarize_stream(
         timed = timed.withColumn("_window", F.window("_t", f"{s} seconds", startTime=offset)).where(
             F.col("_t") < F.col("_window.start") + F.expr(f"INTERVAL {w} SECONDS")
         )
-    grouped = summarize(timed, scope=["_window"])
+    return _window_rows(summarize(timed, scope=["_window"]), w, ntz)
+
+
+def _window_rows(grouped: DataFrame, w: int, ntz: bool) -> DataFrame:
+    """Grouped rows with the bounds of their ``_window``."""
     begin = F.col("_window.start")
     end = begin + F.expr(f"INTERVAL {w} SECONDS")
     if ntz:
@@ -126,6 +149,37 @@ def summarize_stream(
     )
 
 
+def open_summary(spark: SparkSession, checkpoint_path: str, schema: T.StructType, duration: int | str) -> DataFrame:
+    """The rows of windows that the last committed batch left open, from the
+    state store; ``schema`` and ``duration`` are stage 1's.
+
+    Windows in the state are not in the stage-1 table and the other way round.
+    Before the first batch there are none.
+    """
+    ntz = isinstance(schema["window_start"].dataType, T.TimestampNTZType)
+    try:
+        state = spark.read.format("statestore").load(checkpoint_path)
+    except PySparkException as e:
+        if e.getCondition() != "STDS_COMMITTED_BATCH_UNAVAILABLE":
+            raise
+        return spark.createDataFrame([], schema)
+    # The buffers of ``summarize``'s three aggregates, by position.
+    measures = F.col("value").cast("struct<reviews:bigint,negatives:bigint,points:bigint>")
+    rows = state.select("key.*", measures.alias("m")).select("_window", "category", "m.*")
+    return _window_rows(rows, parse_seconds(duration), ntz)
+
+
+def late_rows(query: StreamingQuery, after_batch: int = -1) -> int:
+    """Rows (summed per key and task) that the watermark has dropped in batches
+    after ``after_batch``, as far back as the query keeps its progress."""
+    return sum(
+        op["numRowsDroppedByWatermark"]
+        for p in query.recentProgress
+        if p["batchId"] > after_batch
+        for op in p["stateOperators"]
+    )
+
+
 def start_summary_stream(
     summary_stream: DataFrame,
     output_path: str | None,
@@ -134,14 +188,22 @@ def start_summary_stream(
     processing_time: str | None = None,
     query_name: str | None = None,
     fmt: str = "parquet",
+    files_per_batch: int | None = None,
+    retention: str | None = None,
 ) -> StreamingQuery:
     """STR1/STR7/SNK2: write stage 1 to files with a checkpoint.
 
+    ``files_per_batch`` bounds the files a closing batch writes (one per state
+    partition otherwise), ``retention`` (``"7 days"``) drops older files from
+    the sink's file list.
+
     ``available_now`` drains what is there and stops (backfill, tests);
     ``processing_time`` (e.g. ``"6 seconds"``) runs live. Restarting on the
     same checkpoint resumes where it stopped and writes nothing twice.
     ``fmt="console"`` prints each micro-batch instead (SNK3; no path).
     """
+    if files_per_batch:
+        summary_stream = summary_stream.coalesce(files_per_batch)
     writer = (
         summary_stream.writeStream.format(fmt)
         .outputMode("append")
@@ -149,6 +211,8 @@ def start_summary_stream(
     )
     if output_path is not None:
         writer = writer.option("path", output_path)
+    if retention:
+        writer = writer.option("retention", retention)
     if query_name:
         writer = writer.queryName(query_name)
     if processing_time:
@@ -177,6 +241,8 @@ def score_closed_windows(
     since: datetime.datetime | None = None,
     panes: tuple[int | str, int | str | None, int | str] | None = None,
     closed_until: str | None = None,
+    open_rows: DataFrame | None = None,
+    summary: DataFrame | None = None,
 ) -> DataFrame:
     """Stage 2: the scorecard of every closed window written by stage 1.
 
@@ -191,29 +257,31 @@ def score_closed_windows(
     window is closed when it ends at or before ``closed_until``, the stage-1
     query's last watermark (ISO-8601), else at or before the end of the
     latest pane written (every pane ending by then has been written).
+
+    ``open_rows`` (``open_summary`` of a drained query) are scored too: all
+    windows are final then. ``summary`` is the stage-1 table as one frame, read
+    here if not given: its files are those committed when it was made, so all
+    of a report comes from one state of the table.
     """
-    reader = spark.read.schema(schema) if schema is not None else spark.read
-    summary = reader.parquet(summary_path)
+    if summary is None:
+        summary = read_summary(spark, summary_path, schema)
+    if open_rows is not None:
+        summary = summary.unionByName(open_rows)
     if panes is not None:
         duration, slide, start = panes
         pane_rows = summary.select(
             F.col("window_start").alias("pane_start"), "category", "reviews", "negatives", "points"
         )
+        latest = summary.agg(F.max("window_end").alias("_latest"))
         summary = windows_from_panes(pane_rows, duration, slide, start)
-        if closed_until is not None:
+        if open_rows is not None:
+            pass
+        elif closed_until is not None:
             summary = summary.where(_not_after("window_end", summary, closed_until))
         else:
-            latest = reader.parquet(summary_path).agg(F.max("window_end").alias("_latest"))
             summary = summary.where(F.col("window_end") <= latest.scalar())
     if since is not None:
         summary = summary.where(F.col("window_end") > F.lit(since))
-    # The stored table's row count bounds the rows any window can keep (a
-    # pane feeds at most ceil(duration / slide) windows); the count reads no
-    # column data.
-    stored_rows = reader.parquet(summary_path).count()
-    if panes is not None:
-        w, s = parse_seconds(panes[0]), parse_seconds(panes[1] or panes[0])
-        stored_rows *= -(-w // s)
     return score_summary(
         summary,
         scope=list(WINDOW_COLUMNS),
@@ -221,10 +289,15 @@ def score_closed_windows(
         volume_rule=volume_rule,
         order_by=order_by,
         materialize=False,
-        rows_bound=stored_rows,
     )
 
 
+def read_summary(spark: SparkSession, summary_path: str, schema: T.StructType | None = None) -> DataFrame:
+    """The stage-1 table as committed now."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(summary_path)
+
+
 def run_for(query: StreamingQuery, seconds: float) -> bool:
     """STR8: wait up to ``seconds`` for a live query, then stop it.
 
@@ -246,16 +319,21 @@ def windowed_scorecard(
     checkpoint_path: str,
     duration: int | str,
     slide: int | str | None = None,
-    delay: int | str = 0,
+    delay: int | str | None = None,
     max_pct_negative: float = 10.0,
     volume_rule: str = "gt",
     order_by: str = "avg_points",
     time_col: str = "ts",
     panes: bool = False,
     start: int | str = 0,
+    open_windows: bool = True,
+    late: str = "count",
 ) -> DataFrame:
     """STR2/STR4 end to end for a backfill: drain the stream (availableNow)
-    through stage 1, then return the stage-2 scorecard of its closed windows.
+    through stage 1, then return the stage-2 scorecard of its windows.
+
+    ``open_windows=False`` scores only those the watermark has closed.
+    ``late="fail"`` fails if the watermark dropped rows (``late_rows``).
 
     ``panes=True`` (sliding windows): stage 1 keeps one state row per
     (pane, category) with panes of ``gcd(duration, slide)`` — ``duration /
@@ -269,21 +347,28 @@ def windowed_scorecard(
     For a live run use ``summarize_stream`` + ``start_summary_stream`` with a
     ``processing_time`` trigger and call ``score_closed_windows`` per report.
     """
+    if late not in LATE:
+        raise ValueError(f"late must be one of {LATE}, got {late!r}")
     w = parse_seconds(duration)
     s = parse_seconds(slide) if slide is not None else w
     use_panes = panes and s < w
-    if use_panes:
-        pane = pane_seconds(w, s)
-        summary = summarize_stream(reviews, pane, pane, delay, time_col, start)
-    else:
-        summary = summarize_stream(reviews, w, s, delay, time_col, start)
+    length = pane_seconds(w, s) if use_panes else w
+    if delay is None:
+        delay = HORIZON * s
+    summary = summarize_stream(reviews, length, length if use_panes else s, delay, time_col, start)
     query = start_summary_stream(summary, summary_path, checkpoint_path)
     query.awaitTermination()
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
-    watermark = None
-    if use_panes and query.lastProgress is not None:
-        watermark = query.lastProgress.get("eventTime", {}).get("watermark")
+    dropped = late_rows(query)
+    if dropped and late == "fail":
+        raise RuntimeError(f"{dropped} rows came later than the horizon of {delay} and were dropped")
+    watermark, last = None, query.lastProgress
+    if use_panes and last is not None:
+        watermark = last.get("eventTime", {}).get("watermark")
+    still_open = None
+    if open_windows and last is not None:
+        still_open = open_summary(reviews.sparkSession, checkpoint_path, summary.schema, length)
     return score_closed_windows(
         reviews.sparkSession,
         summary_path,
@@ -293,4 +378,5 @@ def windowed_scorecard(
         summary.schema,
         panes=(w, s, start) if use_panes else None,
         closed_until=watermark,
+        open_rows=still_open,
     )

@@ -17,7 +17,6 @@ from pyspark import TaskContext  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 from pyspark.sql import types as T  # noqa: E402
 
-import plaudit.operators.rank as rank  # noqa: E402
 from plaudit.operators import scorecard  # noqa: E402
 from plaudit.session import build_session, ensure_checkpoint_dir  # noqa: E402
 from plaudit.sources import load_table, reviews_from_events  # noqa: E402
@@ -27,7 +26,6 @@ def main() -> None:
     sf_dir, flaky = sys.argv[1], sys.argv[2] == "flaky"
     spark = build_session("local[4,3]", shuffle_partitions=4)
     ensure_checkpoint_dir(spark)
-    rank.SINGLE_TASK_ROWS = 0  # take the distributed rank path
 
     @F.udf(T.LongType())
     def fail_first_attempt(value):

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import os
+import threading
+import time
+
+import pytest
 
 from plaudit.apps import run
 from tests.test_streaming import _s1_files
@@ -29,9 +34,9 @@ def test_windowed_program_writes_a_folder_per_window(spark, scratch):
     work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
     run(spark, ["windowed", src, work, out, "--interval", "60", "--window", "4", "--slide", "4", "--max-pct", "50"])
     folders = sorted(d for d in os.listdir(out) if d.startswith("window_start="))
-    assert len(folders) == 2
+    assert len(folders) == 3
     got = sorted((r.category, r.reviews, r.negatives) for r in spark.read.json(out).collect())
-    assert got == [("a", 26, 8), ("a", 42, 12)]
+    assert got == [("a", 13, 4), ("a", 26, 8), ("a", 42, 12)]
 
 
 def test_stream_program_scores_each_interval(spark, scratch):
@@ -41,7 +46,7 @@ def test_stream_program_scores_each_interval(spark, scratch):
     work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
     run(spark, ["stream", src, work, out, "--interval", "60", "--max-pct", "50"])
     got = sorted(r.reviews for r in spark.read.json(out).collect())
-    assert got == [5, 6, 7, 8, 9, 10, 11, 12]
+    assert got == [5, 6, 7, 8, 9, 10, 11, 12, 13]
 
 
 def test_lenient_batch_writes_rejects_only_when_there_are_some(spark, scratch):
@@ -70,4 +75,95 @@ def test_windowed_program_with_pane_state(spark, scratch):
     run(spark, ["windowed", src, work, out, "--interval", "60", "--window", "4", "--slide", "2",
                 "--max-pct", "50", "--panes"])
     got = sorted((r.category, r.reviews, r.negatives) for r in spark.read.json(out).collect())
-    assert got == [("a", 11, 4), ("a", 26, 8), ("a", 34, 10), ("a", 42, 12)]
+    assert got == [("a", 11, 4), ("a", 13, 4), ("a", 26, 8), ("a", 34, 10), ("a", 36, 10), ("a", 42, 12)]
+
+
+def _lines(folder, rows, name="part-0.json"):
+    with open(os.path.join(folder, name), "w") as fh:
+        fh.writelines(json.dumps(r) + "\n" for r in rows)
+
+
+def _review(cat, label="positive", points=1, **more):
+    return {"cuisine": cat, "evaluation": label, "points": points} | more
+
+
+def test_four_intervals_give_four_folders(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _lines(src, [_review(c, created=f"2024-01-01T00:0{m}:30Z") for m in range(4) for c in "aab"])
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    run(spark, ["stream", src, work, out, "--interval", "60", "--time-col", "created"])
+    assert len([d for d in os.listdir(out) if d.startswith("window_start=")]) == 4
+
+
+def test_a_full_report_clears_the_target(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    out = os.path.join(scratch, "out")
+    args = ["--interval", "60", "--window", "4", "--slide", "4"]
+    run(spark, ["windowed", src, os.path.join(scratch, "w1"), out, *args, "--max-pct", "50"])
+    run(spark, ["windowed", src, os.path.join(scratch, "w2"), out, *args, "--max-pct", "30"])
+    kept = {r.reviews for r in spark.read.json(out).collect()}
+    assert len([d for d in os.listdir(out) if d.startswith("window_start=")]) == len(kept) < 3
+
+
+def test_start_offset_and_lenient_stream(spark, scratch, capsys):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    rows = [_review(c, ts=f"2024-01-01T00:0{m}:30Z") for m in range(4) for c in "aab"]
+    rows += [_review("a", ts="no time"), _review("a"), _review("a", points="7d", ts="2024-01-01T00:00:30Z")]
+    _lines(src, rows)
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    run(spark, ["windowed", src, work, out, "--interval", "60", "--window", "2", "--slide", "2", "--time-col", "ts",
+                "--start", "60", "--lenient"])
+    got = sorted(r.reviews for r in spark.read.json(out).collect())
+    assert got == [2, 2, 4]  # windows begin at odd minutes
+    rejects = spark.read.json(os.path.join(work, "rejects"))
+    assert sorted(r.reason for r in rejects.collect()) == ["bad points", "bad time", "bad time"]
+    with pytest.raises(Exception):
+        run(spark, ["windowed", src, work + "2", out + "2", "--interval", "60", "--time-col", "ts"])
+
+
+def test_late_rows_fail_a_strict_run_and_are_printed(spark, scratch, capsys):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    for i in range(5):
+        _lines(src, [_review("a", ts=f"2024-01-01T0{9 - i}:00:00Z")], f"f{i}.json")
+        os.utime(os.path.join(src, f"f{i}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+    args = ["--interval", "60", "--time-col", "ts", "--files-per-trigger", "1", "--delay", "0"]
+    with pytest.raises(RuntimeError, match="late rows"):
+        run(spark, ["stream", src, os.path.join(scratch, "w1"), os.path.join(scratch, "o1"), *args])
+    run(spark, ["stream", src, os.path.join(scratch, "w2"), os.path.join(scratch, "o2"), *args, "--lenient"])
+    assert "were dropped" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize("panes", [[], ["--panes"]])
+def test_live_run_writes_while_it_runs(spark, scratch, panes):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_files(src)
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    os.makedirs(os.path.join(out, "window_start=old"))
+    seen, ended = [], threading.Event()
+
+    def watch():
+        while not ended.is_set():
+            seen.append(len([d for d in os.listdir(out) if d.startswith("window_start=2")]) if os.path.isdir(out) else 0)
+            time.sleep(0.2)
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    slide = ["--window", "2", "--slide", "1"]
+    try:
+        run(spark, ["windowed", src, work, out, "--interval", "2", "--run-seconds", "40", "--delay", "0", *slide,
+                    "--files-per-trigger", "1", "--max-pct", "50", *panes])
+    finally:
+        ended.set()
+        watcher.join()
+    assert len({n for n in seen if n}) > 1  # folders came one report after the other
+    assert "window_start=old" not in os.listdir(out)  # the first report cleared the target
+    got = [r.reviews for r in spark.read.json(out).collect()]
+    assert len(got) == len(set(os.listdir(out)) - {"_SUCCESS"} - {d for d in os.listdir(out) if d.startswith(".")})
+    # 2-second windows: each file alone, in two windows, but for the last
+    assert sorted(got) == [n for i in range(5, 13) for n in (i, i)]

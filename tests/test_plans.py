@@ -6,7 +6,7 @@ import contextlib
 import io
 
 from plaudit.operators import (
-    distributed_rank,
+    ordinal_rank,
     scorecard,
     sort_order,
     summarize,
@@ -50,7 +50,7 @@ def test_totals_use_no_window_and_no_cartesian_product(spark):
 
 def test_rank_windows_only_the_offsets(spark):
     kept = summarize(reviews_from_events(load_table(spark, SF_SMALL, "events")))
-    plan = _plan(distributed_rank(kept.withColumn("avg_points", kept["points"] / kept["reviews"]), sort_order()))
+    plan = _plan(ordinal_rank(kept.withColumn("avg_points", kept["points"] / kept["reviews"]), sort_order()))
     tree = plan.split("\n\n")[0]
     lines = tree.splitlines()
     window = next(i for i, line in enumerate(lines) if "Window" in line)

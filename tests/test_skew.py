@@ -5,8 +5,6 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
-import pytest
-
 from plaudit.operators import scorecard
 from tests.conftest import reviews_df
 
@@ -55,12 +53,7 @@ def _skewed(seed=5, n=6000):
     return rows
 
 
-@pytest.mark.parametrize("single_task", [True, False])
-def test_skewed_scorecard_matches_brute_force(spark, single_task, monkeypatch):
-    import plaudit.operators.rank as rank
-
-    if not single_task:
-        monkeypatch.setattr(rank, "SINGLE_TASK_ROWS", 0)
+def test_skewed_scorecard_matches_brute_force(spark):
     rows = _skewed()
     df = spark.createDataFrame(rows, "b INT, category STRING, evaluation STRING, points BIGINT")
     got = {tuple(r) for r in scorecard(df, ["b"], max_pct_negative=45).collect()}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import pytest
@@ -33,6 +34,10 @@ def test_point_casts(spark):
     df = spark.createDataFrame([("7",), (" 7 ",), ("3.7",), ("-3.7",), ("x",), (None,)], "p STRING")
     got = [r.v for r in df.select(lenient_points("p").alias("v")).collect()]
     assert got == [7, 7, 3, -3, None, None]
+    odd = ["9007199254740993", "-9223372036854775808", "7d", "7f", "0x7", "1e2", ".5", "5.", "+3", "NaN", "Infinity", "", "--1"]
+    df = spark.createDataFrame([(p,) for p in odd], "p STRING")
+    got = [r.v for r in df.select(lenient_points("p").alias("v")).collect()]
+    assert got == [9007199254740993, -9223372036854775808, None, None, None, 100, 0, 5, 3, None, None, None, None]
     clean = spark.createDataFrame([("7",), (" 7 ",), ("-2",)], "p STRING")
     assert [r.v for r in clean.select(strict_points("p").alias("v")).collect()] == [7, 7, -2]
     with pytest.raises(Exception):
@@ -122,3 +127,49 @@ def test_strict_points_fail_without_ansi_too(spark, ansi):
             spark.createDataFrame([("3.5",)], "p STRING").select(strict_points("p")).collect()
     finally:
         spark.conf.set("spark.sql.ansi.enabled", old)
+
+
+TIMED = [
+    {"cuisine": "a", "evaluation": "positive", "points": 1, "ts": "2024-01-01T00:00:00Z"},
+    {"cuisine": "b", "evaluation": "positive", "points": 1, "ts": "yesterday"},
+    {"cuisine": "c", "evaluation": "positive", "points": 1},
+]
+
+
+@pytest.mark.parametrize("needs_time", [False, True])
+def test_bad_times_do_not_depend_on_the_columns_read(spark, scratch, needs_time):
+    _write(scratch, "a.json", "\n".join(json.dumps(r) for r in TIMED) + "\n")
+    good, rejects = read_reviews(spark, scratch, "lenient", needs_time=needs_time)
+    want = {"a"} if needs_time else {"a", "c"}
+    for columns in (["category"], ["category", "ts"], ["category", "points", "evaluation", "ts"]):
+        assert {r.category for r in good.select(*columns).collect()} == want
+    assert good.count() == len(want)
+    for columns in (["cuisine"], ["cuisine", "ts", "reason"]):
+        assert {r.cuisine for r in rejects.select(*columns).collect()} == {"a", "b", "c"} - want
+    strict = read_reviews(spark, scratch, "strict", needs_time=needs_time)
+    for columns in (["category"], ["ts"]):
+        with pytest.raises(Exception, match="readable time"):
+            strict.select(*columns).collect()
+
+
+def test_windows_fail_on_a_missing_time_or_drop_it_when_told(spark):
+    from plaudit.operators import summarize_windows
+
+    df = spark.createDataFrame(
+        [("a", "positive", 1, "2024-01-01 00:00:00"), ("a", "positive", 1, None)],
+        "category STRING, evaluation STRING, points BIGINT, t STRING",
+    ).withColumn("ts", F.to_timestamp("t"))
+    with pytest.raises(Exception, match="without a time"):
+        summarize_windows(df, "ts", "1 day").collect()
+    assert [r.reviews for r in summarize_windows(df, "ts", "1 day", missing_time="drop").collect()] == [1]
+
+
+def test_stream_table_reads_a_file_or_a_folder(spark, scratch):
+    from plaudit.sources import load_table, stream_table
+
+    load_table(spark, "/root/testdata/sf0.001", "nation").repartition(3).write.parquet(f"{scratch}/nation.parquet")
+    for i, folder in enumerate(["/root/testdata/sf0.001", scratch]):
+        q = stream_table(spark, folder, "nation").writeStream.format("parquet").option(
+            "checkpointLocation", f"{scratch}/c{i}").option("path", f"{scratch}/o{i}").trigger(availableNow=True).start()
+        q.awaitTermination()
+        assert spark.read.parquet(f"{scratch}/o{i}").count() == 25

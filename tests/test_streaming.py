@@ -142,7 +142,7 @@ def test_s6_driver_events_stream(spark, scratch):
     sf_dir = "/root/testdata/sf0.01"
     schema = load_table(spark, sf_dir, "events").schema
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
-    summary = summarize_stream(reviews_from_events(events), "4 days")
+    summary = summarize_stream(reviews_from_events(events), "4 days", delay=0)
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
     query = start_summary_stream(summary, out, ckpt)
     query.awaitTermination()
@@ -176,19 +176,24 @@ def test_s2_event_time_windows(spark, scratch):
     reviews = stream_reviews(spark, src, max_files_per_trigger=1)
     card = windowed_scorecard(
         reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ckpt"), "4 minutes",
-        max_pct_negative=50,
+        delay=0, max_pct_negative=50, open_windows=False,
     )
     got = sorted((r.window_start.strftime("%H:%M"), r.category, r.reviews, r.negatives) for r in card.collect())
     assert got == [("22:12", "a", 26, 8), ("22:16", "a", 42, 12)]
+    # The default: all windows of a drained backfill, whatever the horizon.
+    whole = windowed_scorecard(
+        reviews, os.path.join(scratch, "out2"), os.path.join(scratch, "ckpt2"), "4 minutes", max_pct_negative=50
+    )
+    got = sorted((r.window_start.strftime("%H:%M"), r.category, r.reviews, r.negatives) for r in whole.collect())
+    assert got == [("22:12", "a", 26, 8), ("22:16", "a", 42, 12), ("22:20", "a", 13, 4)]
 
 
-def test_s5_stream_equals_batch_on_closed_windows(spark):
+def test_s5_stream_equals_batch(spark):
     from plaudit.plans.queries import scorecard_sliding, stream_sliding
 
     sf_dir = "/root/testdata/sf0.001"
     stream = {tuple(r) for r in stream_sliding(spark, sf_dir).collect()}
-    last = load_table(spark, sf_dir, "events").agg(F.max("ts")).first()[0]
-    batch = {tuple(r) for r in scorecard_sliding(spark, sf_dir).where(F.col("window_end") <= last).collect()}
+    batch = {tuple(r) for r in scorecard_sliding(spark, sf_dir).collect()}
     assert stream == batch and len(stream) > 0
 
 
@@ -209,7 +214,7 @@ def test_live_trigger_and_run_for(spark, scratch):
     reviews = stream_reviews(spark, src, time="arrival", max_files_per_trigger=1)
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
     query = start_summary_stream(
-        summarize_stream(reviews, "1 minute"), out, ckpt, processing_time="1 second"
+        summarize_stream(reviews, "1 minute", delay=0), out, ckpt, processing_time="1 second"
     )
     deadline = datetime.datetime.now() + datetime.timedelta(seconds=90)
     while datetime.datetime.now() < deadline:
@@ -244,7 +249,7 @@ def test_late_row_still_counts_in_open_sliding_windows(spark, scratch):
     _late_files(src)
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
     reviews = stream_reviews(spark, src, max_files_per_trigger=1)
-    query = start_summary_stream(summarize_stream(reviews, "4 minutes", "2 minutes"), out, ckpt)
+    query = start_summary_stream(summarize_stream(reviews, "4 minutes", "2 minutes", delay=0), out, ckpt)
     query.awaitTermination()
     got = sorted((r.window_start.strftime("%H:%M"), r.reviews) for r in spark.read.parquet(out).collect())
     assert got == [("00:00", 1), ("00:06", 3), ("00:08", 2), ("23:58", 1)]
@@ -257,8 +262,8 @@ from hypothesis import strategies as st  # noqa: E402
 @settings(max_examples=3, deadline=None)
 @given(st.integers(min_value=0, max_value=10_000), st.integers(min_value=1, max_value=6))
 def test_stream_equals_batch_for_any_file_split(spark, seed, n_files):
-    """Time-ordered files, one per trigger: the stream's closed windows score
-    exactly as the batch scorecard of the same rows."""
+    """Time-ordered files, one per trigger: the drained stream scores exactly
+    as the batch scorecard of the same rows."""
     import random
     import tempfile
 
@@ -285,15 +290,14 @@ def test_stream_equals_batch_for_any_file_split(spark, seed, n_files):
         os.utime(path, (mtime, mtime))
     reviews = stream_reviews(spark, src, max_files_per_trigger=1)
     card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
-                              "30 minutes", "10 minutes", max_pct_negative=50)
+                              "30 minutes", "10 minutes", delay=0, max_pct_negative=50, late="fail")
     stream = {tuple(r) for r in card.collect()}
     batch_rows = spark.createDataFrame(
         [(cat, ev, pts, ts) for ts, cat, ev, pts in rows],
         "category STRING, evaluation STRING, points BIGINT, ts TIMESTAMP")
-    last = max(ts for ts, *_ in rows).replace(microsecond=0)
     batch = score_summary(summarize_windows(batch_rows, "ts", "30 minutes", "10 minutes"),
                           ["window_start", "window_end"], max_pct_negative=50)
-    expected = {tuple(r) for r in batch.where(F.col("window_end") <= F.lit(last)).collect()}
+    expected = {tuple(r) for r in batch.collect()}
     assert stream == expected
 
 
@@ -303,7 +307,7 @@ def test_pane_state_gives_the_same_sliding_windows(spark, scratch):
     _s1_files(src)
     reviews = stream_reviews(spark, src, time="arrival", max_files_per_trigger=1)
     card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
-                              "4 minutes", "2 minutes", max_pct_negative=50, panes=True)
+                              "4 minutes", "2 minutes", delay=0, max_pct_negative=50, panes=True, open_windows=False)
     got = sorted((r.window_start.strftime("%H:%M"), round(r.avg_reviews * 3), r.category, r.reviews, r.negatives)
                  for r in card.collect())
     assert got == [("22:10", 17, "a", 11, 4), ("22:12", 38, "a", 26, 8), ("22:14", 46, "a", 34, 10),
@@ -331,7 +335,8 @@ def test_pane_state_drops_a_late_row_from_every_window(spark, scratch):
     _late_files(src)
     reviews = stream_reviews(spark, src, max_files_per_trigger=1)
     card = windowed_scorecard(reviews, os.path.join(scratch, "out"), os.path.join(scratch, "ck"),
-                              "4 minutes", "2 minutes", max_pct_negative=100, volume_rule="ge", panes=True)
+                              "4 minutes", "2 minutes", delay=0, max_pct_negative=100, volume_rule="ge", panes=True,
+                              open_windows=False)
     got = sorted((r.window_start.strftime("%H:%M"), r.reviews) for r in card.collect())
     assert got == [("00:00", 1), ("00:06", 2), ("00:08", 2), ("23:58", 1)]
 
@@ -350,7 +355,7 @@ def test_lenient_stream_routes_rejects(spark, scratch):
     rq.awaitTermination()
     assert sorted(r.reason for r in spark.read.json(os.path.join(scratch, "rejects")).collect()) == [
         "bad points", "malformed"]
-    card = windowed_scorecard(good, os.path.join(scratch, "out"), os.path.join(scratch, "ck"), "4 minutes")
+    card = windowed_scorecard(good, os.path.join(scratch, "out"), os.path.join(scratch, "ck"), "4 minutes", delay=0)
     summary = spark.read.parquet(os.path.join(scratch, "out")).collect()
     assert [(r.reviews, r.points) for r in summary] == [(1, 3)]
     assert card.collect() == []  # one category per window is never above the average
@@ -370,7 +375,7 @@ def test_incremental_report_since(spark, scratch):
     write_scorecard(first, report, scope=scope, partition_by_scope=True)
     later = score_closed_windows(spark, out, 50, since=datetime.datetime(2024, 5, 1, 22, 16, tzinfo=UTC))
     assert later.count() == 4
-    write_scorecard(later, report, scope=scope, partition_by_scope=True)
+    write_scorecard(later, report, scope=scope, partition_by_scope=True, incremental=True)
     assert spark.read.json(report).count() == 8  # earlier windows kept
 
 
@@ -382,7 +387,7 @@ def test_console_sinks_run(spark, scratch, capsys):
     os.makedirs(src)
     _s1_files(src)
     reviews = stream_reviews(spark, src, time="arrival")
-    query = start_summary_stream(summarize_stream(reviews, "1 minute"), None, os.path.join(scratch, "ck"), fmt="console")
+    query = start_summary_stream(summarize_stream(reviews, "1 minute", delay=0), None, os.path.join(scratch, "ck"), fmt="console")
     query.awaitTermination()
     assert query.exception() is None
     batch = spark.read.schema("cuisine STRING, evaluation STRING, points STRING").json(src)
@@ -423,7 +428,7 @@ def test_stop_midway_then_resume_is_exactly_once(spark, scratch):
     _s1_files(src)
     out, ckpt = os.path.join(scratch, "out"), os.path.join(scratch, "ckpt")
     reviews = stream_reviews(spark, src, time="arrival", max_files_per_trigger=1)
-    live = start_summary_stream(summarize_stream(reviews, "1 minute"), out, ckpt, processing_time="1 second")
+    live = start_summary_stream(summarize_stream(reviews, "1 minute", delay=0), out, ckpt, processing_time="1 second")
     deadline = datetime.datetime.now() + datetime.timedelta(seconds=60)
     while datetime.datetime.now() < deadline:
         if live.lastProgress and live.lastProgress["batchId"] >= 3:
@@ -435,3 +440,90 @@ def test_stop_midway_then_resume_is_exactly_once(spark, scratch):
     _run_arrival(spark, src, out, ckpt, "1 minute")  # resume, drain
     assert spark.read.parquet(out).count() == 8 * 3
     assert _scored_rows(spark, out)[0] == ("22:12", 8, "a", 5, 2)
+
+
+def _event_files(folder, rows):
+    for i, (hms, *more) in enumerate(rows):
+        path = os.path.join(folder, f"r{i:02d}.json")
+        row = {"cuisine": "x", "evaluation": "positive", "points": 1, "ts": hms and f"2024-01-01T{hms}Z"} | dict(more)
+        with open(path, "w") as fh:
+            fh.write(json.dumps(row) + "\n")
+        mtime = datetime.datetime(2024, 1, 2, 0, i, tzinfo=UTC).timestamp()
+        os.utime(path, (mtime, mtime))
+
+
+def test_late_rows_are_counted_and_fail_a_strict_run(spark, scratch):
+    from plaudit.streaming import late_rows
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    falling = [(f"{10 - i:02d}:00:00",) for i in range(6)]
+    _event_files(src, falling)
+    reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+    with pytest.raises(RuntimeError, match="later than the horizon"):
+        windowed_scorecard(reviews, os.path.join(scratch, "o1"), os.path.join(scratch, "c1"), "1 minute",
+                           delay=0, late="fail")
+    # Within the horizon nothing is lost: every row is in its window.
+    card = windowed_scorecard(reviews, os.path.join(scratch, "o2"), os.path.join(scratch, "c2"), "1 hour",
+                              volume_rule="ge", late="fail")
+    assert card.agg(F.sum("reviews")).first()[0] == 6
+    query = start_summary_stream(summarize_stream(reviews, "1 minute", delay=0), os.path.join(scratch, "o3"),
+                                 os.path.join(scratch, "c3"))
+    query.awaitTermination()
+    assert late_rows(query) > 0 and late_rows(query, after_batch=10**6) == 0
+
+
+def test_a_review_without_a_time_fails(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _event_files(src, [("00:00:10",), (None,)])
+    query = start_summary_stream(summarize_stream(stream_reviews(spark, src), "1 minute"),
+                                 os.path.join(scratch, "o"), os.path.join(scratch, "c"))
+    with pytest.raises(Exception, match="readable time"):
+        query.awaitTermination()
+
+
+def test_open_windows_of_panes_and_offsets(spark, scratch):
+    from plaudit.operators import score_summary, summarize_windows
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _s1_with_event_time(src)
+    batch = spark.read.schema("cuisine STRING, evaluation STRING, points BIGINT, ts TIMESTAMP").json(src)
+    batch = batch.withColumnRenamed("cuisine", "category")
+    for i, (panes, start) in enumerate([(True, 0), (False, 60), (True, 60)]):
+        reviews = stream_reviews(spark, src, max_files_per_trigger=2)
+        card = windowed_scorecard(reviews, os.path.join(scratch, f"o{i}"), os.path.join(scratch, f"c{i}"), "4 minutes",
+                                  "2 minutes", delay=0, max_pct_negative=50, panes=panes, start=start)
+        windows = summarize_windows(batch, "ts", "4 minutes", "2 minutes", start)
+        want = score_summary(windows, ["window_start", "window_end"], max_pct_negative=50)
+        assert {tuple(r) for r in card.collect()} == {tuple(r) for r in want.collect()}
+
+
+def _events_folder(spark, scratch, files):
+    """``events`` as a folder of part files instead of one file."""
+    load_table(spark, "/root/testdata/sf0.001", "events").repartition(files).write.parquet(f"{scratch}/events.parquet")
+    return scratch
+
+
+@pytest.mark.parametrize("name", ["stream_per_day", "stream_tumbling", "stream_sliding", "stream_sliding_panes"])
+def test_stream_queries_read_a_folder_table(spark, scratch, name):
+    from plaudit.plans.queries import QUERIES
+
+    folder = _events_folder(spark, scratch, 3)
+    got = {tuple(r) for r in QUERIES[name](spark, folder).collect()}
+    assert got == {tuple(r) for r in QUERIES[name](spark, "/root/testdata/sf0.001").collect()} and got
+
+
+def test_backfill_in_many_bounded_batches_equals_the_batch_scorecard(spark, scratch):
+    from plaudit.plans import queries
+
+    folder = f"{scratch}/events.parquet"
+    load_table(spark, "/root/testdata/sf0.001", "events").repartitionByRange(6, "ts").write.parquet(folder)
+    for i, name in enumerate(sorted(f for f in os.listdir(folder) if f.endswith(".parquet"))):
+        os.utime(os.path.join(folder, name), (1_700_000_000 + i, 1_700_000_000 + i))
+    folder = scratch
+    stream = queries._stream(spark, folder, queries.WINDOW, queries.SLIDE, queries.EVENTS_MAX_PCT,
+                             options={"maxBytesPerTrigger": "1"})
+    assert {tuple(r) for r in stream.collect()} == {
+        tuple(r) for r in queries.scorecard_sliding(spark, "/root/testdata/sf0.001").collect()}
