@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.llm.common import cut, table
+from plaudit.llm.common import cut, small, table
 from plaudit.llm.jaccard import jaccard_classes
 from plaudit.llm.mixing import mix, word_count
 from plaudit.llm.packing import pack_documents
@@ -38,7 +38,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     gone = cut(
         classes.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
     )
-    kept = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
+    kept = docs.join(small(gone, gone.count()), F.col("doc_id") == F.col("__gone"), "left_anti")
     return _first_of_repeated_rows(kept)
 
 
@@ -50,8 +50,9 @@ def _first_of_repeated_rows(docs: DataFrame) -> DataFrame:
     again = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and doc_id is not null"))
     if again.isEmpty():
         return docs
-    more = docs.join(again.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_semi")
-    once = docs.join(again.select(F.col("doc_id").alias("__id")), F.col("doc_id") == F.col("__id"), "left_anti")
+    ids = small(again.select(F.col("doc_id").alias("__id")), again.count())
+    more = docs.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
+    once = docs.join(ids, F.col("doc_id") == F.col("__id"), "left_anti")
     return once.unionByName(more.dropDuplicates(["doc_id"]))
 
 

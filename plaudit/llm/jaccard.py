@@ -3,25 +3,30 @@
 ``d = 1 - Jaccard`` is a metric, and linked documents lie within
 ``eps = 1 - threshold``. Documents with equal sets are one point.
 
-1. Regions. In one global order of shingles (rare before common, then by hash) two
-   linked sets share a shingle of their first ``n - ceil(threshold * n) + 1``.
-   Every shingle of those prefixes makes a region of the points that hold it.
-   The order puts shingles that many documents share last, so that a shared
-   passage makes no large region of unlike documents; any order gives the same
-   links. Only shingles seen often within a batch are ranked as common: at most
-   ``COMMON`` of them, since each takes its share of all occurrences.
-2. Pivots. Each region's pivot is its smallest point; its distance to every
-   point of the region is computed exactly. Points within ``eps`` are linked to
-   it: these are the Voronoi cells, and copies by the thousand join by one
-   distance each.
-3. Recursion. A region whose points lie in one component needs nothing more. In
-   the others, points of different components are joined again, by the triangle
-   inequality only where their distances to the pivot differ by at most ``eps``:
-   points go to bands of that width and are replicated to the next one.
-
-Sets travel as texts of the points concerned, in tasks of bounded size; a large
-cell is split by hash, its pivot replicated. Sizes prune by
-``threshold * n <= m <= n / threshold``.
+1. Regions. In one global order of shingles two linked sets share a shingle of their
+   first ``n - ceil(threshold * n) + 1``. Every shingle of those prefixes makes a
+   region of the points that hold it. The order begins with shingles whose documents
+   are counted, rare ones first, so that a shared passage makes no large region of
+   unlike documents, and those that one document holds make none. A first pass counts
+   a part of all shingles, chosen by hash; a second one, among the points that have
+   come into regions, counts all, which leaves out points whose other texts differ.
+   Bitmaps of bounded size carry the counts; an error there changes the order for
+   all documents alike, and any order gives the same links.
+2. Pivots. Each region's pivot is its smallest point; its distance to every point of
+   the region is computed exactly. Points within ``eps`` are linked to it: these
+   are the Voronoi cells, and copies by the thousand join by one distance each.
+3. Recursion. A region whose points lie in one component needs nothing more. The
+   others take new pivots, round by round, for the points outside the pivot's
+   component, while that saves comparisons. In what is left, points of different
+   components are joined, by the triangle inequality only where their distances to the
+   first pivot differ by at most ``eps``: points go to bands of that width and are
+   replicated to the next one.
+
+Sets travel as compressed texts of the points concerned, in tasks of bounded size;
+a large cell is split by hash, its pivot replicated. Before that, sizes prune by
+``threshold * n <= m <= n / threshold`` and small sketches by an upper bound of the
+intersection; points that these keep apart from their pivot have no distance to it and
+meet all bands.
 
 Null, empty and blank texts have empty sets, link with nothing and are their own
 component. Fewer words than a shingle make one shorter shingle. Repeated rows and
@@ -31,19 +36,24 @@ their set. An empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.functions import pandas_udf
 
 from plaudit.llm.common import components, cut, store
+from plaudit.llm.marks import Marks
 
 SHINGLE_WORDS = 5
 PERCENT = 80
-COMMON = 1 << 20
-LEAST_COMMON = 16
+COUNTED = 4
+LEVELS = (2, 8, 64)
+ROUNDS = 2
+LEAF_PAIRS = 64
 TASK_PAIRS = 800
-FILTER_BITS = 1 << 23
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, *range(9, 14)]] = True
@@ -113,122 +123,163 @@ def _signature(s: np.ndarray) -> int:
         return int(mix64(mix64(s ^ np.uint64(0x5851F42D4C957F2D)).sum(keepdims=True, dtype=np.uint64) + np.uint64(len(s))).view(np.int64)[0])
 
 
+def sketch(s: np.ndarray) -> bytes:
+    """Counts of a set's hashes in about a quarter as many cells, 255 for more."""
+    bits = max(1, min(16, int(np.log2(max(len(s), 8) / 4))))
+    cell = (mix64(s ^ np.uint64(0x2545F4914F6CDD1D)) >> np.uint64(64 - bits)).astype(np.int64)
+    return np.minimum(np.bincount(cell, minlength=1 << bits), 255).astype(np.uint8).tobytes()
+
+
+def most_common(a: bytes, b: bytes) -> int:
+    """An upper bound of the intersection size: the sum over cells of the smaller
+    count. The finer sketch is folded to the other's cells."""
+    x, y = (np.frombuffer(z, np.uint8).astype(np.int64) for z in (a, b))
+    x, y = (np.where(z == 255, 1 << 40, z) for z in (x, y))
+    if len(x) < len(y):
+        x, y = y, x
+    return int(np.minimum(x.reshape(len(y), -1).sum(1), y).sum())
+
+
 def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
 def _survey(k: int):
-    """Per document: id, signature and size; per batch: its frequent shingles."""
+    """Per document: id, signature, size and sketch."""
 
     def run(batches):
         for pdf in batches:
             sets = shingle_sets(pdf["text"].tolist(), k)
             yield pd.DataFrame(
                 {
-                    "kind": np.zeros(len(pdf), np.int8),
                     "id": pd.array(pdf["id"], dtype="Int64"),
-                    "a": [_signature(s) if len(s) else 0 for s in sets],
+                    "sig": pd.array([_signature(s) if len(s) else None for s in sets], dtype="Int64"),
                     "n": [len(s) for s in sets],
-                }
-            )
-            every = np.concatenate(sets) if sets else np.zeros(0, np.uint64)
-            seen, times = np.unique(every, return_counts=True)
-            often = times >= 3
-            yield pd.DataFrame(
-                {
-                    "kind": np.ones(int(often.sum()), np.int8),
-                    "id": pd.array([None] * int(often.sum()), dtype="Int64"),
-                    "a": seen[often].view(np.int64),
-                    "n": times[often].astype(np.int64),
+                    "sketch": [sketch(s) for s in sets],
                 }
             )
 
     return run
 
 
-def _postings(k: int, percent: int, common: np.ndarray, level: np.ndarray):
-    def run(batches):
-        seen: set[int] = set()
-        for pdf in batches:
-            hs, ids, ns = [], [], []
-            for s in shingle_sets(pdf["text"].tolist(), k):
-                sig = _signature(s) if len(s) else 0
-                if not len(s) or sig in seen:
-                    continue
+def _counted(h: np.ndarray, part: int) -> np.ndarray:
+    return (h >> np.uint64(7)) % np.uint64(part) == 0
+
+
+def _distinct_sets(batches, k: int, among: Marks | None):
+    """Signatures and sets of a task's texts, each set once, only of ids in ``among``
+    if that is given."""
+    seen: set[int] = set()
+    for pdf in batches:
+        if among is not None:
+            pdf = pdf.loc[among.has(pdf["bit"].to_numpy(np.int64))]
+        found = []
+        for s in shingle_sets(pdf["text"].tolist(), k):
+            sig = _signature(s) if len(s) else 0
+            if len(s) and sig not in seen:
                 seen.add(sig)
-                p = prefix_length(len(s), percent)
-                if len(common):
-                    at = np.minimum(np.searchsorted(common, s), len(common) - 1)
-                    rank = np.where(common[at] == s, level[at], 0)
-                    s = s[np.argsort(rank, kind="stable")]
-                hs.append(s[:p])
-                ids.append(np.full(p, sig, np.int64))
-                ns.append(np.full(p, len(s), np.int64))
+                found.append((sig, s))
+        yield found
+
+
+def _count_shingles(k: int, part: int, among: Marks | None):
+    """``(h, n)``: how many sets of a batch hold each counted shingle."""
+
+    def run(batches):
+        for found in _distinct_sets(batches, k, among):
+            if found:
+                every = np.concatenate([s[_counted(s, part)] for _, s in found])
+                seen, times = np.unique(every, return_counts=True)
+                yield pd.DataFrame({"h": seen.view(np.int64), "n": times.astype(np.int64)})
+
+    return run
+
+
+def _postings(k: int, percent: int, levels: list[Marks], part: int, among: Marks | None):
+    """``(h, sig)`` of all prefixes, without shingles that only one set holds."""
+
+    def has(marks: Marks, h: np.ndarray) -> np.ndarray:
+        return marks.has((h >> np.uint64(1)).astype(np.int64) % marks.bits)
+
+    def run(batches):
+        for found in _distinct_sets(batches, k, among):
+            hs, ids = [], []
+            for sig, s in found:
+                level = np.zeros(len(s), np.int8)
+                for marks in levels:
+                    level += has(marks, s)
+                # The uncounted come before the most common of the counted.
+                counted = _counted(s, part)
+                rank = np.where(counted, level * 2, 2 * len(levels) - 1)
+                first = np.argsort(rank, kind="stable")[: prefix_length(len(s), percent)]
+                s = s[first][(level[first] > 0) | ~counted[first]]
+                hs.append(s)
+                ids.append(np.full(len(s), sig, np.int64))
             if hs:
-                yield pd.DataFrame(
-                    {"h": np.concatenate(hs).view(np.int64), "sig": np.concatenate(ids), "n": np.concatenate(ns)}
-                )
+                yield pd.DataFrame({"h": np.concatenate(hs).view(np.int64), "sig": np.concatenate(ids)})
 
     return run
 
 
 def _overlaps(pdf: pd.DataFrame, k: int) -> pd.DataFrame:
     """Exact intersection sizes of the points of one task with their pivots."""
-    sets = shingle_sets(pdf["text"].tolist(), k)
-    pivot = {(p, s): i for i, (p, s, r) in enumerate(zip(pdf["pivot"], pdf["salt"], pdf["role"], strict=True)) if r == 0}
+    sets = shingle_sets([zlib.decompress(z).decode("utf-8", "surrogatepass") for z in pdf["body"]], k)
+    keys = list(zip(pdf["pivot"].tolist(), pdf["salt"].tolist(), strict=True))
+    pivot = {key: i for i, (key, r) in enumerate(zip(keys, pdf["role"], strict=True)) if r == 0}
     rows = []
-    for i, (sig, p, s, r) in enumerate(zip(pdf["sig"], pdf["pivot"], pdf["salt"], pdf["role"], strict=True)):
-        if r == 1 and (p, s) in pivot:
-            a, b = sets[i], sets[pivot[p, s]]
+    for i, (sig, key, r) in enumerate(zip(pdf["sig"].tolist(), keys, pdf["role"], strict=True)):
+        if r == 1 and key in pivot:
+            a, b = sets[i], sets[pivot[key]]
             small, large = (a, b) if len(a) < len(b) else (b, a)
             at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-            rows.append((sig, p, int((large[at] == small).sum())))
+            rows.append((sig, key[0], int((large[at] == small).sum())))
     return pd.DataFrame(rows, columns=["sig", "pivot", "both"]).astype("int64")
 
 
-def overlaps(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
-    """``both``, the intersection size, of every pair ``(sig, pivot)``.
+def overlaps(pairs: DataFrame, docs: DataFrame, reps: DataFrame, k: int = SHINGLE_WORDS) -> DataFrame:
+    """``both``, the intersection size, of every stored pair ``(sig, pivot)``.
 
     A pivot's points are dealt to tasks of about ``TASK_PAIRS`` pairs, the pivot's
-    text to each of them.
+    text to each of them. ``reps(id, sig)`` names a document for each point; of
+    ``docs(id, text)`` only texts that a bitmap of those ids lets pass are shuffled.
     """
-    per = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TASK_PAIRS).alias("parts"))
-    salted = store(
-        pairs.join(per, "pivot").select("sig", "pivot", F.pmod(F.xxhash64("sig"), F.col("parts")).alias("salt")),
-        "pairs",
-    )
-    tasks = max(1, -(-salted.count() // TASK_PAIRS))
+    per = cut(pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / TASK_PAIRS).alias("parts")))
+    salted = pairs.join(per, "pivot").select("sig", "pivot", F.pmod(F.xxhash64("sig"), F.col("parts")).alias("salt"))
+    n = pairs.count()
+    tasks = max(1, -(-n // TASK_PAIRS))
     points = salted.select("sig", "pivot", "salt", F.lit(1).alias("role"))
     pivots = salted.select(F.col("pivot").alias("sig"), "pivot", "salt", F.lit(0).alias("role")).distinct()
-    rows = points.union(pivots).join(texts, "sig")
-    rows = rows.withColumn("task", F.pmod(F.xxhash64("pivot", "salt"), F.lit(tasks)))
-    return rows.groupBy("task").applyInPandas(
-        lambda pdf: _overlaps(pdf, k), "sig long, pivot long, both long"
-    )
+    roles = store(points.union(pivots).join(reps.select("id", "sig"), "sig"), "roles")
+    marks = Marks(roles.select("id").distinct(), F.xxhash64("id"), 2 * n)
 
+    def keep(batches):
+        for pdf in batches:
+            pdf = pdf.loc[marks.has(pdf["bit"].to_numpy(np.int64))]
+            packed = [zlib.compress(t.encode("utf-8", "surrogatepass"), 6) for t in pdf["text"]]
+            yield pd.DataFrame({"id": pdf["id"], "body": packed})
 
-def _texts_of(docs: DataFrame, reps: DataFrame, key: str, text: str) -> DataFrame:
-    """``(sig, text)`` of the points in ``reps(id, sig)``.
+    seen = docs.where("id is not null and text is not null").withColumn("bit", marks.bit(F.xxhash64("id")))
+    rows = seen.mapInPandas(keep, "id long, body binary").join(roles, "id")
+    rows = rows.withColumn("task", F.pmod(F.xxhash64("pivot", "salt"), F.lit(tasks)))
+    found = rows.groupBy("task").applyInPandas(lambda pdf: _overlaps(pdf, k), "sig long, pivot long, both long")
+    return store(found.distinct(), "overlaps")
 
-    A bitmap of ``FILTER_BITS`` bits over the ids, the same size for any input,
-    keeps most other texts out of the shuffle; the join decides.
-    """
-    bits = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
-    marks = reps.select(bits.alias("bit")).distinct().select(
-        F.shiftright("bit", 5).alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("one")
-    )
-    words = marks.groupBy("word").agg(F.sum("one").alias("ones")).toPandas()
-    bitmap = np.zeros(FILTER_BITS // 32, np.uint32)
-    bitmap[words["word"].to_numpy(np.int64)] = words["ones"].to_numpy(np.int64).astype(np.uint32)
 
-    def keep(batches):
-        for pdf in batches:
-            bit = pdf["bit"].to_numpy(np.int64)
-            yield pdf.loc[(bitmap[bit >> 5] >> (bit & 31).astype(np.uint32)) & 1 == 1, ["id", "text"]]
+def plausible(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``(sig, pivot, n, m)`` whose sizes and sketches allow a link. Both
+    bounds are exact: no link is lost, and few other texts have to travel."""
 
-    rows = docs.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(text).alias("text"))
-    near = rows.withColumn("bit", bits).mapInPandas(keep, "id long, text string")
-    return store(near.join(reps, "id").select("sig", "text").dropDuplicates(["sig"]), "texts")
+    @pandas_udf("boolean")
+    def may_link(x: pd.Series, y: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+        rows = zip(x, y, n.tolist(), m.tolist(), strict=True)
+        return pd.Series([100 * c >= percent * (i + j - c) for c, i, j in ((most_common(a, b), i, j) for a, b, i, j in rows)])
+
+    left = reps.select("sig", "n", "sketch")
+    right = reps.select(F.col("sig").alias("pivot"), F.col("n").alias("m"), F.col("sketch").alias("sketch2"))
+    sized = pairs.join(reps.select("sig", "n"), "sig").join(right.drop("sketch2"), "pivot")
+    sized = sized.where(f"100 * least(n, m) >= {percent} * greatest(n, m)").select("sig", "pivot")
+    both = sized.join(left, "sig").join(right, "pivot")
+    return both.where(may_link("sketch", "sketch2", "n", "m")).select("sig", "pivot", "n", "m")
 
 
 def jaccard_classes(
@@ -237,70 +288,109 @@ def jaccard_classes(
     """``(doc_id, n_shingles, component_id)`` of every document."""
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    seen = store(rows.mapInPandas(_survey(k), "kind byte, id long, a long, n long"), "survey")
-    points = seen.where("kind = 0").select("id", F.when(F.col("n") > 0, F.col("a")).alias("sig"), "n")
-    reps = points.where("sig is not null").groupBy("sig").agg(F.min("id").alias("id"), F.first("n").alias("n"))
-
-    total = points.agg(F.sum("n")).first()[0] or 0
-    least = max(LEAST_COMMON, -(-total // COMMON))
-    often = seen.where("kind = 1").groupBy("a").agg(F.sum("n").alias("n")).where(F.col("n") >= least).toPandas()
-    common = often["a"].to_numpy(np.int64).view(np.uint64)
-    by = np.argsort(common)
-    common, level = common[by], np.log2(often["n"].to_numpy(np.float64)[by] + 1).astype(np.int8)
-
-    postings = rows.select("text").mapInPandas(_postings(k, percent, common, level), "h long, sig long, n long")
-    pivots = postings.groupBy("h").agg(F.min("sig").alias("pivot"), F.max("sig").alias("top"))
-    regions = store(postings.join(pivots.where("pivot <> top").drop("top"), "h"), "regions")
-    size = regions.select("sig", "n").distinct()
-    pairs = store(regions.where("sig <> pivot").select("sig", "pivot").distinct(), "cells")
-    held = pairs.select("sig").union(pairs.select("pivot")).distinct()
-    texts = _texts_of(docs, reps.join(held, "sig").where("id is not null").select("id", "sig"), key, text)
-    near = store(overlaps(pairs, texts, k), "distances")
-    near = near.join(size, "sig").join(size.select(F.col("sig").alias("pivot"), F.col("n").alias("m")), "pivot")
-    linked = F.expr(f"100 * both >= {percent} * (n + m - both)")
-    links = store(near.where(linked).select(F.col("sig").alias("a"), F.col("pivot").alias("b")), "links")
+    points = store(rows.mapInPandas(_survey(k), "id long, sig long, n long, sketch binary"), "survey")
+    reps = points.where("sig is not null").groupBy("sig").agg(
+        F.min("id").alias("id"), F.max("n").alias("n"), F.max("sketch").alias("sketch")
+    )
+    reps = store(reps, "reps")
+
+    def find_regions(part: int, among: Marks | None) -> DataFrame:
+        """``(h, sig, pivot)`` of all regions with several points."""
+        seen = rows.select("text")
+        if among is not None:
+            seen = rows.where("id is not null").select("text", among.bit(F.xxhash64("id")).alias("bit"))
+        counts = seen.mapInPandas(_count_shingles(k, part, among), "h long, n long")
+        counts = store(counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEVELS[0]), "counts")
+        levels = []
+        for least in LEVELS:
+            some = counts.where(F.col("n") >= least)
+            levels.append(Marks(some, F.shiftrightunsigned("h", 1), some.count()))
+        found = seen.mapInPandas(_postings(k, percent, levels, part, among), "h long, sig long")
+        postings = store(found, "postings")
+        pivots = postings.groupBy("h").agg(F.min("sig").alias("pivot"), F.max("sig").alias("top"))
+        pivots = cut(pivots.where("pivot <> top").select("h", "pivot"))
+        return store(postings.join(pivots, "h").distinct(), "regions")
+
+    regions = find_regions(COUNTED, None)
+    some = cut(regions.select("sig").distinct().join(reps, "sig").select("id"))
+    regions = find_regions(1, Marks(some, F.xxhash64("id"), some.count()))
+    linked = f"100 * both >= {percent} * (n + m - both)"
+    size = reps.select("sig", "n")
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        """Stored exact intersections of the pairs that may link."""
+        pairs = store(plausible(pairs, reps, percent), "pairs")
+        found = overlaps(pairs.select("sig", "pivot"), rows, reps, k).join(pairs, ["sig", "pivot"])
+        return cut(found)
+
+    def edges(found: DataFrame) -> DataFrame:
+        return found.where(linked).select(F.col("sig").alias("a"), F.col("pivot").alias("b"))
+
+    near = compared(regions.where("sig <> pivot").select("sig", "pivot").distinct())
+    links = edges(near)
     found = cut(components(spark, links))
 
-    # Regions that hold points of more than one component.
-    member = regions.join(found.withColumnRenamed("node", "sig"), "sig", "left").select(
-        "h", "sig", "pivot", "n", F.coalesce("component", "sig").alias("c")
-    )
-    parted = member.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+    def parts() -> DataFrame:
+        """Region members with their components, of regions with several."""
+        member = regions.join(found.withColumnRenamed("node", "sig"), "sig", "left").select(
+            "h", "sig", "pivot", F.coalesce("component", "sig").alias("c")
+        )
+        parted = member.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
+        return store(member.join(cut(parted.select("h")), "h"), "parted")
+
+    member = parts()
+    n_points = reps.count()
+    for turn in range(ROUNDS):
+        per = member.groupBy("h", "c").agg(F.count(F.lit(1)).alias("x"))
+        per = per.groupBy("h").agg((F.sum("x") * F.sum("x") - F.sum(F.col("x") * F.col("x"))).alias("y"))
+        left_over = (per.agg(F.sum("y")).first()[0] or 0) // 2
+        if left_over <= LEAF_PAIRS * n_points:
+            break
+        by = F.xxhash64(F.lit(turn), "sig")
+        new = cut(member.groupBy("h").agg(F.min_by("sig", by).alias("next"), F.min_by("c", by).alias("nc")))
+        again = member.join(new, "h").where("c <> nc")
+        again = again.select(F.least("sig", "next").alias("sig"), F.greatest("sig", "next").alias("pivot")).distinct()
+        links = cut(links.union(edges(compared(again))).distinct())
+        found = cut(components(spark, links))
+        member = parts()
+
     away = near.select("sig", "pivot", (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("d"))
     eps = (100 - percent) / 100
+    bands = F.sequence(F.lit(0), F.lit(int(1 / eps) + 1))
+    # Points that sizes or sketches keep apart from their pivot have no distance:
+    # any band.
     open_ = store(
-        member.join(parted.select("h"), "h")
+        member.where("sig <> pivot")
         .join(away, ["sig", "pivot"], "left")
-        .withColumn("d", F.coalesce("d", F.lit(0.0)))
-        .withColumn("band", F.floor(F.col("d") / eps)),
+        .join(size, "sig")
+        .withColumn("band", F.floor(F.col("d") / eps).cast("int")),
         "open",
     )
-    left = open_.select("h", "sig", "n", "c", "d", "band", F.col("pivot").alias("p"))
+    left = open_.select(
+        "h", "sig", "n", "c", "d", F.explode(F.when(F.col("d").isNull(), bands).otherwise(F.array("band"))).alias("band")
+    )
+    around = F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)
     right = open_.select(
         "h",
         F.col("sig").alias("sig2"),
         F.col("n").alias("m"),
         F.col("c").alias("c2"),
         F.col("d").alias("d2"),
-        F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"),
+        F.explode(F.when(F.col("d").isNull(), bands).otherwise(around)).alias("band"),
     )
     again = (
         left.join(right, ["h", "band"])
-        .where((F.col("c") < F.col("c2")) & (F.abs(F.col("d") - F.col("d2")) <= eps + 1e-9))
-        .where((F.col("sig") != F.col("p")) & (F.col("sig2") != F.col("p")))
+        .where(F.col("c") < F.col("c2"))
+        .where(F.coalesce(F.abs(F.col("d") - F.col("d2")) <= eps + 1e-9, F.lit(True)))
         .where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
         .select(F.least("sig", "sig2").alias("sig"), F.greatest("sig", "sig2").alias("pivot"))
         .distinct()
     )
-    again = store(again, "again")
-    if not again.isEmpty():
-        more = overlaps(again, texts, k).join(size, "sig").join(
-            size.select(F.col("sig").alias("pivot"), F.col("n").alias("m")), "pivot"
-        )
-        more = more.where(linked).select(F.col("sig").alias("a"), F.col("pivot").alias("b"))
-        found = cut(components(spark, store(links.union(more), "links")))
+    more = edges(compared(again))
+    if not more.isEmpty():
+        found = cut(components(spark, links.union(more)))
 
-    whole = points.join(found.withColumnRenamed("node", "sig"), "sig", "left").select(
+    whole = points.drop("sketch").join(found.withColumnRenamed("node", "sig"), "sig", "left").select(
         "id", "n", "sig", F.coalesce("component", "sig").alias("c")
     )
     low = whole.where("c is not null").groupBy("c").agg(F.min("id").alias("component_id"))

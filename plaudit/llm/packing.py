@@ -94,7 +94,7 @@ class ChunkEncoder:
     """Token ids of many texts, each distinct chunk encoded once.
 
     Chunks are told apart by a 64-bit multilinear hash of their code points and
-    their length. The store holds at most ``limit`` chunks and starts anew beyond.
+    their length. The store starts anew where it would outgrow ``limit`` chunks.
     """
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
@@ -109,8 +109,6 @@ class ChunkEncoder:
         self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
 
     def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
-        if len(self.keys) + len(keys) > self.limit:
-            self._clear()
         lists = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
         size = np.fromiter(map(len, lists), np.int64, len(lists))
         new = np.fromiter((t for x in lists for t in x), np.uint32, int(size.sum()))
@@ -141,16 +139,13 @@ class ChunkEncoder:
         inside = known < len(self.keys)
         have[inside] = self.keys[known[inside]] == unique[inside]
         if not have.all():
-            before = len(self.keys)
-            new = unique[~have]
-            self._learn(new, [joined[s : s + w] for s, w in zip(starts[first[~have]], width[first[~have]], strict=True)])
-            if len(self.keys) < before + len(new):  # the store was started anew
-                rest = have
-                if rest.any():
-                    self._learn(
-                        unique[rest],
-                        [joined[s : s + w] for s, w in zip(starts[first[rest]], width[first[rest]], strict=True)],
-                    )
+            if len(self.keys) + int((~have).sum()) > self.limit:  # start anew with this batch
+                self._clear()
+                have[:] = False
+            new = first[~have]
+            self._learn(
+                unique[~have], [joined[s : s + w] for s, w in zip(starts[new].tolist(), width[new].tolist(), strict=True)]
+            )
             known = np.searchsorted(self.keys, unique)
         at, size = self.at[known][back], self.size[known][back]
         ends = np.cumsum(size)

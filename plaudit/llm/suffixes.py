@@ -46,7 +46,7 @@ LENGTH = 50
 GRAM = 24
 STRING_CONTEXTS = 12
 TASK_CONTEXTS = 30_000
-HOT = 4_096
+HOT = 1 << 16
 HOT_ANCHORS = 1 << 20
 CHUNK_BYTES = 2_000_000
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -65,17 +65,30 @@ class Grams:
     def __init__(self):
         self.up = self.back = np.zeros(0, np.uint64)
 
-    def hashes(self, b: np.ndarray, k: int) -> np.ndarray:
-        if len(self.up) < len(b):
-            self.up, self.back = _powers(_STEP, len(b)), _powers(_BACK, len(b))
+    def sums(self, b: np.ndarray) -> np.ndarray:
+        if len(self.up) <= len(b):
+            self.up, self.back = _powers(_STEP, len(b) + 1), _powers(_BACK, len(b) + 1)
         total = np.zeros(len(b) + 1, np.uint64)
         np.cumsum((b + np.uint64(1)) * self.up[: len(b)], out=total[1:])
-        return mix64((total[k:] - total[:-k]) * self.back[: len(b) - k + 1])
+        return total
+
+    def hashes(self, total: np.ndarray, k: int) -> np.ndarray:
+        """Of all strings of length ``k``."""
+        return mix64((total[k:] - total[:-k]) * self.back[: len(total) - k])
+
+    def spans(self, total: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Of the strings from ``begin`` to ``end``."""
+        size = (end - begin).astype(np.uint64)
+        return mix64((total[end] - total[begin]) * self.back[begin] ^ mix64(size))
 
 
 _grams = Grams()
 
 
+def _span_hashes(total: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return _grams.spans(total, begin, end)
+
+
 def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
     """``best`` (minimum or maximum) of every ``w`` neighbours."""
     out, have = x, 1
@@ -86,14 +99,15 @@ def _sliding(x: np.ndarray, w: int, best) -> np.ndarray:
     return out
 
 
-def anchors(raws: list[bytes], length: int = LENGTH, k: int = GRAM):
+def anchors(raws: list[bytes], length: int = LENGTH, k: int = GRAM, total: np.ndarray | None = None):
     """``(text number, position, hash)`` of all anchors of some texts."""
     sizes = np.array([len(r) for r in raws], np.int64)
-    b = np.frombuffer(b"".join(raws), np.uint8)
-    if len(b) < length:
+    if int(sizes.sum()) < length:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
+    if total is None:
+        total = _grams.sums(np.frombuffer(b"".join(raws), np.uint8))
     starts = np.cumsum(sizes) - sizes
-    h = _grams.hashes(b, k) | np.uint64(1)
+    h = _grams.hashes(total, k) | np.uint64(1)
     w = length - k + 1
     low = _sliding(h, w, np.minimum)  # of the window that starts here
     text = np.repeat(np.arange(len(raws)), sizes)
@@ -150,13 +164,15 @@ def _anchor_number(h):
 
 
 def _shared_anchors(pdf: pd.DataFrame, firsts: Marks, shared: Marks):
-    """Ids, encoded texts, text numbers, places and hashes, chunk by chunk."""
+    """Ids, encoded texts, their prefix sums, text numbers, places and hashes, chunk
+    by chunk."""
     pdf = pdf.loc[firsts.has(pdf["bit"].to_numpy(np.int64))]
     ids = pdf["id"].to_numpy(np.int64)
     for first, part in _chunks(pdf["text"].tolist()):
-        text, at, h = anchors(part)
+        total = _grams.sums(np.frombuffer(b"".join(part), np.uint8))
+        text, at, h = anchors(part, total=total)
         keep = shared.has(_anchor_number(h) % shared.bits)
-        yield ids[first : first + len(part)], part, text[keep], at[keep], h[keep]
+        yield ids[first : first + len(part)], part, total, text[keep], at[keep], h[keep]
 
 
 def _is_hot(h: np.ndarray, hot: np.ndarray) -> np.ndarray:
@@ -171,28 +187,39 @@ def _contexts(firsts: Marks, shared: Marks, hot: np.ndarray):
 
     def run(batches):
         for pdf in batches:
-            seen: set[tuple[int, int]] = set()
-            for ids, part, text, at, h in _shared_anchors(pdf, firsts, shared):
+            seen: set[int] = set()
+            for ids, part, total, text, at, h in _shared_anchors(pdf, firsts, shared):
                 cool = ~_is_hot(h, hot)
-                rows: dict[tuple[int, int, int, int], list[int]] = {}
-                body: dict[tuple[int, int], bytes] = {}
-                key = h[cool].view(np.int64).tolist()
-                for t, p, k in zip(text[cool].tolist(), at[cool].tolist(), key, strict=True):
-                    low = max(0, p - (LENGTH - GRAM))
-                    b = part[t][low : p + LENGTH]
-                    c = _digest(b)
-                    if (k, c) not in seen:
-                        seen.add((k, c))
-                        body[k, c] = b
-                    rows.setdefault((k, c, t, p - low), []).append(low)
+                text, at, h = text[cool], at[cool], h[cool]
+                if not len(h):
+                    continue
+                sizes = np.array([len(r) for r in part], np.int64)
+                starts = np.cumsum(sizes) - sizes
+                low = np.maximum(0, at - (LENGTH - GRAM))
+                high = np.minimum(at + LENGTH, sizes[text])
+                ctx = _span_hashes(total, starts[text] + low, starts[text] + high) ^ mix64((at - low).astype(np.uint64))
+                by = np.lexsort((low, text, ctx, h))
+                text, at, h, low, high, ctx = text[by], at[by], h[by], low[by], high[by], ctx[by]
+                other = (h[1:] != h[:-1]) | (ctx[1:] != ctx[:-1])
+                first = np.flatnonzero(np.concatenate([[True], other | (text[1:] != text[:-1])]))
+                fresh = np.concatenate([[True], other])[first]
+                ends = np.append(first[1:], len(h))
+                places = low.astype(np.int32).tobytes()
+                names = mix64(h[first] ^ mix64(ctx[first])).tolist()
+                body: list[bytes | None] = [None] * len(first)
+                for i in np.flatnonzero(fresh).tolist():
+                    if names[i] not in seen:
+                        seen.add(names[i])
+                        j = first[i]
+                        body[i] = part[text[j]][low[j] : high[j]]
                 yield pd.DataFrame(
                     {
-                        "h": np.array([k for k, _, _, _ in rows], np.int64),
-                        "ctx": np.array([c for _, c, _, _ in rows], np.int64),
-                        "doc": ids[np.array([t for _, _, t, _ in rows], np.int64)],
-                        "anchor": np.array([a for _, _, _, a in rows], np.int32),
-                        "places": [np.array(x, np.int32).tobytes() for x in rows.values()],
-                        "body": [body.pop((k, c), None) for k, c, _, _ in rows],
+                        "h": h[first].view(np.int64),
+                        "ctx": ctx[first].view(np.int64),
+                        "doc": ids[text[first]],
+                        "anchor": (at - low)[first].astype(np.int32),
+                        "places": [places[4 * i : 4 * j] for i, j in zip(first.tolist(), ends.tolist(), strict=True)],
+                        "body": body,
                     }
                 )
 
@@ -204,7 +231,7 @@ def _hot_windows(firsts: Marks, shared: Marks, hot: np.ndarray):
 
     def run(batches):
         for pdf in batches:
-            for ids, part, text, at, h in _shared_anchors(pdf, firsts, shared):
+            for ids, part, _, text, at, h in _shared_anchors(pdf, firsts, shared):
                 warm = _is_hot(h, hot)
                 rows: set[tuple[int, int]] = set()
                 for t, p in zip(text[warm].tolist(), at[warm].tolist(), strict=True):
@@ -296,8 +323,14 @@ def smallest_documents(bodies: list[bytes], anchor: np.ndarray, group: np.ndarra
     owners: list[tuple[int, int, int]] = []
     ends: list[int] = []
     at = 0
+    alone: list[tuple[int, int, int, int]] = []
     for items in strings:
         number: dict[bytes, int] = {}
+        c, s, e = items[0]
+        if all(bodies[d][x:y] == bodies[c][s:e] for d, x, y in items[1:]):
+            lowest = min(int(doc[d]) for d, _, _ in items)
+            alone += [(d, x, y - x - LENGTH + 1, lowest) for d, x, y in items]
+            continue
         for c, s, e in items:
             b = bodies[c][s:e]
             if b not in number:
@@ -309,6 +342,12 @@ def smallest_documents(bodies: list[bytes], anchor: np.ndarray, group: np.ndarra
         pieces.append(b"")
         ends.append(at)
         at += 1
+    if alone:  # one slice for all contexts: no order is needed
+        rows = np.array(alone, np.int64)
+        n_alone = rows[:, 2]
+        shift = np.arange(int(n_alone.sum())) - np.repeat(np.cumsum(n_alone) - n_alone, n_alone)
+        places = (np.repeat(rows[:, 0], n_alone), np.repeat(rows[:, 1], n_alone) + shift)
+        np.minimum.at(least, places, np.repeat(rows[:, 3], n_alone))
     if not starts:
         return least
     text = np.frombuffer(b"\0".join(pieces) + b"\0", np.uint8).astype(np.int32) + 2

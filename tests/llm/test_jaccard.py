@@ -1,10 +1,11 @@
 import itertools
 import random
 
+import numpy as np
 import pytest
 
 from plaudit.llm import jaccard
-from plaudit.llm.jaccard import jaccard_classes, shingle_sets
+from plaudit.llm.jaccard import jaccard_classes, most_common, shingle_sets, sketch
 from tests.llm.cases import documents, edge_documents, empty_documents, prose
 
 
@@ -45,9 +46,11 @@ def corpus():
     return out + [out[0].upper(), out[1].replace(" ", "\n\t ")]
 
 
-@pytest.mark.parametrize("task_pairs", [800, 3])
-def test_same_as_brute_force(spark, monkeypatch, task_pairs):
+@pytest.mark.parametrize(("task_pairs", "rounds"), [(800, 0), (3, 2)])
+def test_same_as_brute_force(spark, monkeypatch, task_pairs, rounds):
     monkeypatch.setattr(jaccard, "TASK_PAIRS", task_pairs)
+    monkeypatch.setattr(jaccard, "LEAF_PAIRS", 0 if rounds else 2)  # new pivots always
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
     texts = corpus()
     sizes, comp = brute(texts)
     assert len(set(comp)) < len(comp) - 20
@@ -56,9 +59,8 @@ def test_same_as_brute_force(spark, monkeypatch, task_pairs):
     assert [rows[i].component_id for i in range(len(texts))] == comp
 
 
-def test_common_shingles_go_last(spark, monkeypatch):
+def test_common_shingles_go_last(spark):
     """A passage in every document: ranked last, it makes no links by itself."""
-    monkeypatch.setattr(jaccard, "LEAST_COMMON", 3)
     passage = prose(50, 40)
     texts = [passage + " " + prose(60 + i, 40) for i in range(30)] + [passage] * 2
     sizes, comp = brute(texts)
@@ -83,3 +85,15 @@ def test_edge_cases(spark):
     assert got[6].component_id == got[8].component_id == got[7].component_id == 5
     assert (got[11].n_shingles, got[10].n_shingles) == (1, 1)
     assert jaccard_classes(empty_documents(spark)).count() == 0
+
+
+def test_sketches_bound_the_intersection():
+    rng = np.random.default_rng(3)
+    kept = 0
+    for n, m, both in [(10, 12, 9), (500, 520, 400), (500, 480, 0), (3000, 200, 200), (5000, 5000, 4700), (1, 1, 1)]:
+        pool = rng.integers(1, 1 << 63, size=n + m, dtype=np.int64).astype(np.uint64)
+        a, b = np.sort(pool[:n]), np.sort(np.concatenate([pool[:both], pool[n : n + m - both]]))
+        bound = most_common(sketch(a), sketch(b))
+        assert both <= bound <= min(n, m)
+        kept += 100 * bound >= 80 * (n + m - bound)
+    assert kept == 3  # unlike sets of like size are told apart
