@@ -198,7 +198,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, rows: int, k
         .orderBy(F.xxhash64("__id"), "__id")
         .limit(rows)
     )
-    return docs.join(F.broadcast(chosen), F.col(key) == F.col("__id")).select("__label", "__id", "text")
+    texts = docs.select(F.col(key).alias("__key"), "text")
+    return texts.join(F.broadcast(chosen), F.col("__key") == F.col("__id")).select("__label", "__id", "text")
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int = SAMPLE_ROWS) -> AdditiveModel:
