@@ -13,8 +13,8 @@ source ends within about its smallest document there of its target.
 
 DataFrame operations only. Null texts have size 0, get odds of a one-word
 document and add no words; null sources form a source of their own, the last;
-an empty table gives an empty result; repeated rows share their hash and stand
-side by side in the ranking; the input's other columns pass through, except
+an empty table gives an empty result; rows of a source that repeat a key share their hash
+and are taken together; the input's other columns pass through, except
 that names starting with ``__mix`` and the three output names are overwritten.
 """
 
@@ -130,14 +130,14 @@ def mix(
             F.struct((acc["left"] - x[size]).alias("left"), F.concat(acc["ids"], F.array(x[key])).alias("ids")),
         ).otherwise(acc),
     )["ids"]
-    picked = cut(last.select(F.explode(picked).alias("__mix_key")).distinct())
-    near = rows.where(inside).join(picked, F.col(key) == F.col("__mix_key"), "left").withColumn(
-        "__mix_extra", F.col("__mix_key").isNotNull().cast("int")
-    )
-    far = rows.where(~inside).withColumn("__mix_key", F.lit(None).cast(_type(docs, key))).withColumn(
+    picked = last.select(F.col("__mix_source").alias("__mix_of"), F.explode(picked).alias("__mix_key"))
+    picked = cut(picked.distinct().withColumn("__mix_in", F.lit(1)))
+    same = F.col("__mix_source").eqNullSafe(F.col("__mix_of")) & F.col(key).eqNullSafe(F.col("__mix_key"))
+    near = rows.where(inside).join(picked, same, "left").withColumn("__mix_extra", F.coalesce("__mix_in", F.lit(0)))
+    far = rows.where(~inside).withColumn(
         "__mix_extra", (F.coalesce(F.col("__mix_bucket") < F.col("__mix_end"), F.col("__mix_want") > 0)).cast("int")
     )
-    out = far.unionByName(near).withColumn("taken_copies", F.col("__mix_whole") + F.col("__mix_extra"))
+    out = far.unionByName(near.drop("__mix_of", "__mix_key", "__mix_in")).withColumn("taken_copies", F.col("__mix_whole") + F.col("__mix_extra"))
     return out.select(*docs.columns, "source_size", "target", "taken_copies")
 
 
