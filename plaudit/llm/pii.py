@@ -251,12 +251,15 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     told = disclosures(found, docs, found.count(), text)
     terms = cut(_term_spans(found, told, [key, "body"]).withColumnsRenamed({key: "__key", "body": "__body"}))
     rows = with_candidates(with_base_spans(docs, text, "__base"), text, "__base", "__near")
+    # Filters on a column that is not deterministic are not moved under the spans,
+    # which would search the texts again for every span.
+    rows = rows.withColumn("__row", F.monotonically_increasing_id())
     none = F.array().cast(SPAN)
-    plain = rows.where(F.size("__near") == 0).withColumn("__spans", F.col("__base")).withColumn(
+    plain = rows.where((F.size("__near") == 0) & (F.col("__row") >= 0)).withColumn("__spans", F.col("__base")).withColumn(
         "__gone", F.array().cast("array<int>")
     )
     met = (
-        rows.where(F.size("__near") > 0)
+        rows.where((F.size("__near") > 0) & (F.col("__row") >= 0))
         .join(terms, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__body")), "left")
         .withColumn("__spans", F.array_sort(F.concat("__base", F.coalesce("terms", none))))
         .withColumn("__gone", F.coalesce("gone", F.array().cast("array<int>")))
