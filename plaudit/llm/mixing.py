@@ -8,8 +8,9 @@ documents are ranked by ``odds(u) / inclusion odds`` with ``u`` a uniform hash
 of the document, and the sample is the ranking's head, of a fixed size in
 words. The ranking is never sorted as a whole: documents fall into rank buckets
 of about ``BUCKET_ROWS`` rows, the buckets' word sums say which bucket holds
-the end of the sample, and only that bucket is sorted and filled greedily, so a
-source ends within about its smallest document there of its target.
+the end of the sample, and only that bucket is sorted and filled greedily. What is
+then left, where a document is too long for it, is filled in the same way from the
+later buckets, so no document that was left out would fit a source's target.
 
 DataFrame operations only. Null texts have size 0, get odds of a one-word
 document and add no words; null sources form a source of their own, the last;
@@ -78,8 +79,8 @@ def mix(
 ) -> DataFrame:
     """``docs`` with ``source_size``, ``target`` and ``taken_copies``.
 
-    ``taken_copies`` is how often the mix holds the row. ``docs`` is read three
-    times (sizes, bucket sums, result), so pass a written table if its columns
+    ``taken_copies`` is how often the mix holds the row. ``docs`` is read four
+    times (sizes, ranks, result by two paths), so pass a written table if its columns
     are costly.
     """
     docs = docs.drop("source_size", "target", "taken_copies")
@@ -101,46 +102,128 @@ def mix(
     rows = rows.withColumn(
         "__mix_bucket", F.least(F.floor(F.col("__mix_rank") * buckets), buckets - 1).cast("long")
     )
-    sums = rows.groupBy("__mix_source", "__mix_bucket").agg(
-        F.sum(size).alias("__mix_words"), F.max("__mix_want").alias("__mix_want")
+    heads, picked = _fill(rows, key, size, n_sources)
+    rows = rows.join(small(heads, n_sources), F.col("__mix_source").eqNullSafe(F.col("__mix_of")), "left").drop("__mix_of")
+    at, words = F.col("__mix_bucket"), F.coalesce(F.col(size), F.lit(0))
+    # Rounds after the first one take no empty texts.
+    whole = F.exists(
+        "__mix_heads",
+        lambda h: (at >= h["start"]) & (at < h["end"]) & (words <= h["fit"]) & ((words > 0) | (h["start"] == 0)),
     )
-    run = Window.partitionBy("__mix_source").orderBy("__mix_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("__mix_before", F.coalesce(F.sum("__mix_words").over(run), F.lit(0)))
-    # The bucket in which the running sum passes what the source wants.
-    ends = cut(
-        sums.where("__mix_before <= __mix_want and __mix_before + __mix_words > __mix_want").select(
-            F.col("__mix_source").alias("__mix_end_source"),
-            F.col("__mix_bucket").alias("__mix_end"),
-            (F.col("__mix_want") - F.col("__mix_before")).alias("__mix_left"),
-        )
-    )
-    rows = rows.join(
-        small(ends, n_sources), F.col("__mix_source").eqNullSafe(F.col("__mix_end_source")), "left"
+    rows = rows.withColumn("__mix_head", F.coalesce(whole, F.lit(False)))
+    inside = F.coalesce(F.exists("__mix_heads", lambda h: (at >= h["end"]) & (at < h["stop"])), F.lit(False))
+    picked = picked.select(
+        F.col("__mix_source").alias("__mix_of"), F.col(key).alias("__mix_key"), F.col(size).alias("__mix_size"),
+        F.lit(1).alias("__mix_in"),
+    )
+    same = (
+        F.col("__mix_source").eqNullSafe(F.col("__mix_of"))
+        & F.col(key).eqNullSafe(F.col("__mix_key"))
+        & (F.col(size) == F.col("__mix_size"))
     )
-    inside = F.coalesce(F.col("__mix_bucket") == F.col("__mix_end"), F.lit(False))
-    last = rows.where(inside).groupBy("__mix_source").agg(
-        F.sort_array(F.collect_list(F.struct("__mix_rank", key, size))).alias("items"),
-        F.max("__mix_left").alias("left"),
-    )
-    picked = F.aggregate(
-        "items",
-        F.struct(F.col("left").alias("left"), F.array().cast(f"array<{_type(docs, key)}>").alias("ids")),
-        lambda acc, x: F.when(
-            (x[size] <= acc["left"]) & (x[size] > 0),
-            F.struct((acc["left"] - x[size]).alias("left"), F.concat(acc["ids"], F.array(x[key])).alias("ids")),
-        ).otherwise(acc),
-    )["ids"]
-    picked = last.select(F.col("__mix_source").alias("__mix_of"), F.explode(picked).alias("__mix_key"))
-    picked = cut(picked.distinct().withColumn("__mix_in", F.lit(1)))
-    same = F.col("__mix_source").eqNullSafe(F.col("__mix_of")) & F.col(key).eqNullSafe(F.col("__mix_key"))
     near = rows.where(inside).join(picked, same, "left").withColumn("__mix_extra", F.coalesce("__mix_in", F.lit(0)))
-    far = rows.where(~inside).withColumn(
-        "__mix_extra", (F.coalesce(F.col("__mix_bucket") < F.col("__mix_end"), F.col("__mix_want") > 0)).cast("int")
-    )
-    out = far.unionByName(near.drop("__mix_of", "__mix_key", "__mix_in")).withColumn("taken_copies", F.col("__mix_whole") + F.col("__mix_extra"))
+    far = rows.where(~inside).withColumn("__mix_extra", F.col("__mix_head").cast("int"))
+    out = far.unionByName(near.drop("__mix_of", "__mix_key", "__mix_size", "__mix_in"))
+    out = out.withColumn("taken_copies", F.col("__mix_whole") + F.col("__mix_extra"))
     return out.select(*docs.columns, "source_size", "target", "taken_copies")
 
 
+def _fill(rows: DataFrame, key: str, size: str, n_sources: int) -> tuple[DataFrame, DataFrame]:
+    """Fill each source's want along its ranking, past documents that do not fit.
+
+    Each round sums, by bucket, the documents no larger than the words left. All
+    of them are taken up to the bucket in which the running sum passes the words
+    left; that bucket, and the next ones while they hold ``BUCKET_ROWS`` such
+    documents in all, are sorted and filled one document at a time. The next round
+    starts behind them with what is then left, until no document fits. Returns
+    ``(__mix_of, __mix_heads)``, per source an array of ``(start, end, stop, fit)``
+    a round, and the ``(source, key, size)`` picked between ``end`` and ``stop``.
+    """
+    units = cut(rows.select("__mix_source", key, size, "__mix_rank", "__mix_bucket", "__mix_want"))
+    state = cut(units.groupBy("__mix_source").agg(F.max("__mix_want").alias("left")).select(
+        F.col("__mix_source").alias("__mix_at"), F.lit(0).cast("long").alias("start"), F.col("left").cast("double")))
+    units = units.drop("__mix_want")
+    ends, picked = [], []
+    by = Window.partitionBy("__mix_source").orderBy("__mix_bucket")
+    of = F.col("__mix_source").eqNullSafe(F.col("__mix_at"))
+    while True:
+        now = units.join(small(state, n_sources), of).where(F.col("__mix_bucket") >= F.col("start"))
+        if ends:
+            now = now.where((F.col(size) > 0) & (F.col(size) <= F.col("left")))
+        sums = now.groupBy("__mix_source", "__mix_bucket").agg(
+            F.sum(size).alias("words"), F.count(F.lit(1)).alias("n"), F.max("left").alias("left"), F.max("start").alias("start")
+        )
+        upto = by.rowsBetween(Window.unboundedPreceding, 0)
+        sums = sums.withColumn("words", F.coalesce("words", F.lit(0))).withColumn("before", F.sum("words").over(upto) - F.col("words"))
+        sums = sums.withColumn("past", F.col("before") + F.col("words") > F.col("left"))
+        # Documents in the buckets from the one with the cut on.
+        sums = sums.withColumn("rest", F.sum(F.when(F.col("past"), F.col("n")).otherwise(0)).over(upto))
+        first = F.min(F.when(F.col("past"), F.col("__mix_bucket")))
+        fits = F.max(F.when(F.col("past") & (F.col("rest") <= BUCKET_ROWS), F.col("__mix_bucket")))
+        end = sums.groupBy("__mix_source").agg(
+            F.max("start").alias("start"),
+            first.alias("end"),
+            (F.greatest(fits, first) + 1).alias("stop"),
+            F.max("left").alias("fit"),
+            (F.max("left") - F.min(F.when(F.col("past"), F.col("before")))).alias("left"),
+        )
+        # Without a cut all that is left fits.
+        never = F.lit((1 << 63) - 1).cast("long")
+        end = end.withColumns({"end": F.coalesce("end", never), "stop": F.coalesce("stop", never)})
+        end = cut(end.withColumnRenamed("__mix_source", "__mix_end_source"))
+        if end.isEmpty():
+            break
+        ends.append(end.withColumn("round", F.lit(len(ends))))
+        window = units.join(small(end, n_sources), F.col("__mix_source").eqNullSafe(F.col("__mix_end_source")))
+        window = window.where("__mix_bucket >= end and __mix_bucket < stop").where(
+            (F.col(size) > 0) & (F.col(size) <= F.col("left"))
+        )
+        # Rows that repeat key and size are taken together.
+        window = window.groupBy("__mix_source", "__mix_bucket", "__mix_rank", key, size).agg(
+            F.count(F.lit(1)).alias("n"), F.max("left").alias("left")
+        )
+        items = window.groupBy("__mix_source").agg(
+            F.sort_array(F.collect_list(F.struct("__mix_bucket", "__mix_rank", F.col(key).alias("k"), F.col(size).alias("s"), "n"))).alias("items"),
+            F.max("left").alias("left"),
+        )
+        taken = F.array().cast(f"array<struct<k:{_type(units, key)},s:{_type(units, size)}>>")
+        done = F.aggregate(
+            "items",
+            F.struct(F.col("left").alias("left"), taken.alias("taken")),
+            lambda acc, x: F.when(
+                x["s"] * x["n"] <= acc["left"],
+                F.struct(
+                    (acc["left"] - x["s"] * x["n"]).alias("left"),
+                    F.concat(acc["taken"], F.array(F.struct(x["k"].alias("k"), x["s"].alias("s")))).alias("taken"),
+                ),
+            ).otherwise(acc),
+        )
+        done = cut(items.select("__mix_source", done.alias("done")))
+        picked.append(
+            done.select("__mix_source", F.explode("done.taken").alias("x")).select(
+                "__mix_source", F.col("x.k").alias(key), F.col("x.s").alias(size)
+            )
+        )
+        after = done.select(F.col("__mix_source").alias("__mix_done"), F.col("done.left").alias("rest"))
+        same = F.col("__mix_end_source").eqNullSafe(F.col("__mix_done"))
+        state = cut(
+            end.where(F.col("stop") < never).join(small(after, n_sources), same, "left").select(
+                F.col("__mix_end_source").alias("__mix_at"), F.col("stop").alias("start"),
+                F.coalesce("rest", "left").alias("left"),
+            )
+        )
+    heads, chosen = None, None
+    for e, p in zip(ends, picked, strict=True):
+        e = e.select(F.col("__mix_end_source").alias("__mix_of"), F.struct("start", "end", "stop", "fit").alias("h"))
+        heads, chosen = (e, p) if heads is None else (heads.union(e), chosen.union(p))
+    if heads is None:
+        none = "array<struct<start:bigint,end:bigint,stop:bigint,fit:double>>"
+        heads = units.limit(0).select(F.col("__mix_source").alias("__mix_of"), F.array().cast(none).alias("__mix_heads"))
+        return heads, units.limit(0).select("__mix_source", key, size)
+    heads = cut(heads.groupBy("__mix_of").agg(F.collect_list("h").alias("__mix_heads")))
+    return heads, cut(chosen.distinct())
+
+
 def _type(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
 

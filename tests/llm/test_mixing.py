@@ -76,3 +76,28 @@ def test_edge_cases(spark):
     assert all(r.taken == 0 for r in rows if r.size == 0)
     assert all(r.taken <= 2 * r.size for r in rows)
     assert mix_report(empty_documents(spark)).count() == 0
+
+
+def taken_and_left_out(rows):
+    """Words missing from the target, and the smallest document that could still be added."""
+    taken = sum(r.taken_copies * r.size for r in rows)
+    low = min(r.taken_copies for r in rows)
+    return rows[0].target - taken, min(r.size for r in rows if r.taken_copies == low and r.size > 0)
+
+
+@pytest.mark.parametrize(("n", "long", "share"), [(10_000, 2_000_000, 0.3), (20_000, 5_000_000, 0.2)])
+def test_document_longer_than_the_want(spark, n, long, share):
+    """It is left out, and documents of later buckets fill its place."""
+    df = spark.range(n + 1).selectExpr("id as doc_id", "'a' as source", f"if(id = 7, {long}L, 300L) as size")
+    missing, least = taken_and_left_out(mix(df, "size", share=share).collect())
+    assert 0 <= missing < least
+
+
+def test_no_document_left_out_would_fit(spark, monkeypatch):
+    monkeypatch.setattr("plaudit.llm.mixing.BUCKET_ROWS", 10)
+    df = spark.range(3000).selectExpr(
+        "id as doc_id", "'a' as source", "cast(1 + pow(1.5, pmod(hash(id), 30)) as long) as size"
+    )
+    for share in (0.05, 0.5, 1.7):
+        missing, least = taken_and_left_out(mix(df, "size", share=share).collect())
+        assert 0 <= missing < least
