@@ -7,7 +7,8 @@ sample without replacement fills. A document's odds of inclusion are
 documents are ranked by ``odds(u) / inclusion odds`` with ``u`` a uniform hash
 of the document, and the sample is the ranking's head, of a fixed size in
 words. The ranking is never sorted as a whole: documents fall into rank buckets
-of about ``BUCKET_ROWS`` rows, the buckets' word sums say which bucket holds
+of about ``BUCKET_ROWS`` rows, whatever ``f`` and the sizes are; a source without a
+remainder has none. In the others the buckets' word sums say which bucket holds
 the end of the sample, and only that bucket is sorted and filled greedily. What is
 then left, where a document is too long for it, is filled in the same way from the
 later buckets, so no document that was left out would fit a source's target.
@@ -79,30 +80,19 @@ def mix(
 ) -> DataFrame:
     """``docs`` with ``source_size``, ``target`` and ``taken_copies``.
 
-    ``taken_copies`` is how often the mix holds the row. ``docs`` is read four
-    times (sizes, ranks, result by two paths), so pass a written table if its columns
+    ``taken_copies`` is how often the mix holds the row. ``docs`` is read three
+    times (sizes, result by two paths), so pass a written table if its columns
     are costly.
     """
     docs = docs.drop("source_size", "target", "taken_copies")
-    targets = cut(source_targets(docs, source, size, share, cap, weights).withColumnRenamed(source, "__mix_source"))
+    sizes = cut(docs.select(source, key, size))
+    targets = source_targets(sizes, source, size, share, cap, weights).withColumnRenamed(source, "__mix_source")
+    per = sizes.groupBy(F.col(source).alias("__mix_of"), _size_class(F.col(size)).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+    per = per.groupBy("__mix_of").agg(F.sort_array(F.collect_list(F.struct("c", "n"))).alias("__mix_classes"))
+    targets = cut(targets.join(per, F.col("__mix_source").eqNullSafe(F.col("__mix_of"))).drop("__mix_of"))
     n_sources = targets.count()
-    share_of = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
-    rows = docs.join(small(targets, n_sources), F.col(source).eqNullSafe(F.col("__mix_source")))
-    rows = rows.withColumn("__mix_whole", F.floor(share_of).cast("int")).withColumn(
-        "__mix_f", share_of - F.floor(share_of)
-    )
-    rows = rows.withColumn("__mix_want", F.col("target") - F.col("__mix_whole") * F.col("source_size"))
-    u = uniform(F.col(key), F.lit(seed))
-    mean = F.greatest(F.col("source_size") / F.col("__mix_rows"), F.lit(1.0))
-    f = F.least(F.greatest(F.col("__mix_f"), F.lit(1e-9)), F.lit(1 - 1e-9))
-    odds = f / (1 - f) * F.pow(F.greatest(F.col(size), F.lit(1)) / mean, F.lit(float(tilt)))
-    rank = (u / (1 - u)) / odds
-    rows = rows.withColumn("__mix_rank", rank / (1 + rank))
-    buckets = F.greatest(F.ceil(F.col("__mix_rows") / BUCKET_ROWS), F.lit(1))
-    rows = rows.withColumn(
-        "__mix_bucket", F.least(F.floor(F.col("__mix_rank") * buckets), buckets - 1).cast("long")
-    )
-    heads, picked = _fill(rows, key, size, n_sources)
+    rows = _ranked(docs, targets, n_sources, key, source, size, tilt, seed)
+    heads, picked = _fill(_ranked(sizes, targets, n_sources, key, source, size, tilt, seed), key, size, n_sources)
     rows = rows.join(small(heads, n_sources), F.col("__mix_source").eqNullSafe(F.col("__mix_of")), "left").drop("__mix_of")
     at, words = F.col("__mix_bucket"), F.coalesce(F.col(size), F.lit(0))
     # Rounds after the first one take no empty texts.
@@ -128,6 +118,42 @@ def mix(
     return out.select(*docs.columns, "source_size", "target", "taken_copies")
 
 
+def _size_class(size: Column) -> Column:
+    return F.floor(F.log2(F.greatest(F.coalesce(size, F.lit(1)), F.lit(1)))).cast("int")
+
+
+def _ranked(
+    docs: DataFrame, targets: DataFrame, n_sources: int, key: str, source: str, size: str, tilt: float, seed: int
+) -> DataFrame:
+    """``docs`` with the whole copies, the words still wanted, the rank and its bucket.
+
+    ``f / (1 - f)`` is the same for all documents of a source and changes no order,
+    so the rank is ``u / (1 - u)`` over the tilt alone. A document of tilt ``c`` has a
+    rank up to ``r`` with probability ``r c / (1 + r c)``; the mean of this over the
+    source's documents, by classes of doubling sizes, is the share of documents up
+    to ``r``. Buckets are equal steps of that share and hold about ``BUCKET_ROWS``
+    rows whatever the remainder and the sizes.
+    """
+    share_of = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+    rows = docs.join(small(targets, n_sources), F.col(source).eqNullSafe(F.col("__mix_source")))
+    rows = rows.withColumn("__mix_whole", F.floor(share_of).cast("int"))
+    rows = rows.withColumn("__mix_want", F.col("target") - F.col("__mix_whole") * F.col("source_size"))
+    u = uniform(F.col(key), F.lit(seed))
+    mean = F.greatest(F.col("source_size") / F.col("__mix_rows"), F.lit(1.0))
+    rows = rows.withColumn("__mix_mean", mean)
+    rank = (u / (1 - u)) / F.pow(F.greatest(F.col(size), F.lit(1)) / F.col("__mix_mean"), F.lit(float(tilt)))
+    rows = rows.withColumn("__mix_rank", rank)
+
+    def upto(total: Column, c: Column) -> Column:
+        odds = F.col("__mix_rank") * F.pow(F.pow(F.lit(2.0), c["c"] + 0.5) / F.col("__mix_mean"), F.lit(float(tilt)))
+        return total + c["n"] * (odds / (1 + odds))
+
+    before = F.aggregate("__mix_classes", F.lit(0.0), upto)
+    last = F.greatest(F.ceil(F.col("__mix_rows") / BUCKET_ROWS), F.lit(1)) - 1
+    steps = F.floor(before / F.col("__mix_rows") * (last + 1))
+    return rows.withColumn("__mix_bucket", F.least(steps, last).cast("long")).drop("__mix_mean", "__mix_classes")
+
+
 def _fill(rows: DataFrame, key: str, size: str, n_sources: int) -> tuple[DataFrame, DataFrame]:
     """Fill each source's want along its ranking, past documents that do not fit.
 
@@ -139,7 +165,7 @@ def _fill(rows: DataFrame, key: str, size: str, n_sources: int) -> tuple[DataFra
     ``(__mix_of, __mix_heads)``, per source an array of ``(start, end, stop, fit)``
     a round, and the ``(source, key, size)`` picked between ``end`` and ``stop``.
     """
-    units = cut(rows.select("__mix_source", key, size, "__mix_rank", "__mix_bucket", "__mix_want"))
+    units = cut(rows.where("__mix_want > 0").select("__mix_source", key, size, "__mix_rank", "__mix_bucket", "__mix_want"))
     state = cut(units.groupBy("__mix_source").agg(F.max("__mix_want").alias("left")).select(
         F.col("__mix_source").alias("__mix_at"), F.lit(0).cast("long").alias("start"), F.col("left").cast("double")))
     units = units.drop("__mix_want")

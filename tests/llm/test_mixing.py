@@ -101,3 +101,27 @@ def test_no_document_left_out_would_fit(spark, monkeypatch):
     for share in (0.05, 0.5, 1.7):
         missing, least = taken_and_left_out(mix(df, "size", share=share).collect())
         assert 0 <= missing < least
+
+
+def test_buckets_stay_small(spark, monkeypatch):
+    """No rows of a capped source are gathered; small remainders and mixed sizes keep buckets small."""
+    from plaudit.llm import mixing
+
+    written, cut = [], mixing.cut
+    monkeypatch.setattr(mixing, "cut", lambda df: written.append(cut(df)) or written[-1])
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 100)
+    docs = spark.range(40_000).selectExpr(
+        "id as doc_id", "if(id < 10000, 'a', 'b') as source", "if(id % 4 = 0, 100000L, 20L + id % 100) as size"
+    )
+    rows = mix(docs, "size", share=0.9, cap=1.0, weights=(9.0, 1.0)).collect()
+    assert {r.taken_copies for r in rows if r.source == "a"} == {1}
+    ends = [r for df in written if "__mix_end_source" in df.columns for r in df.collect()]
+    assert {r["__mix_end_source"] for r in ends} == {"b"}
+    for share in (0.0001, 0.9999):
+        written.clear()
+        rows = mix(docs, "size", share=share, weights=(1.0, 3.0)).collect()
+        for s in "ab":
+            missing, least = taken_and_left_out([r for r in rows if r.source == s])
+            assert 0 <= missing + 1e-6 and missing < least
+        counts = [df.groupBy("__mix_source", "__mix_bucket").count() for df in written if "__mix_bucket" in df.columns]
+        assert counts and max(r["count"] for df in counts for r in df.collect()) < 250
