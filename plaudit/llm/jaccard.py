@@ -20,7 +20,7 @@
    component, while that saves comparisons. In what is left, points of different
    components are joined, by the triangle inequality only where their distances to the
    first pivot differ by at most ``eps``: points go to bands of that width and are
-   replicated to the next one.
+   replicated to all bands within reach, rounding included.
 
 Sets travel as compressed texts of the points concerned, in tasks of bounded size;
 a large cell is split by hash, its pivot replicated. Before that, sizes prune by
@@ -369,7 +369,11 @@ def jaccard_classes(
     left = open_.select(
         "h", "sig", "n", "c", "d", F.explode(F.when(F.col("d").isNull(), bands).otherwise(F.array("band"))).alias("band")
     )
-    around = F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)
+    # All bands that hold a distance within the filter's bound, its slack included.
+    reach = eps + 1e-9
+    around = F.sequence(
+        F.floor((F.col("d") - reach) / eps).cast("int"), F.floor((F.col("d") + reach) / eps).cast("int")
+    )
     right = open_.select(
         "h",
         F.col("sig").alias("sig2"),
@@ -381,7 +385,7 @@ def jaccard_classes(
     again = (
         left.join(right, ["h", "band"])
         .where(F.col("c") < F.col("c2"))
-        .where(F.coalesce(F.abs(F.col("d") - F.col("d2")) <= eps + 1e-9, F.lit(True)))
+        .where(F.coalesce(F.abs(F.col("d") - F.col("d2")) <= reach, F.lit(True)))
         .where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
         .select(F.least("sig", "sig2").alias("sig"), F.greatest("sig", "sig2").alias("pivot"))
         .distinct()

@@ -98,3 +98,15 @@ def test_sketches_bound_the_intersection():
         kept[n, m] = 100 * bound >= 80 * (n + m - bound)
     # Unlike sets of like size are told apart, linked ones never.
     assert not kept[500, 480] and not kept[3000, 200] and kept[5000, 5000] and kept[1, 1]
+
+
+def test_links_at_exactly_the_threshold(spark, monkeypatch):
+    """A text's head and its tail, 8 of 10 shingles each: they link only through the whole."""
+    monkeypatch.setattr(jaccard, "ROUNDS", 0)
+    texts = []
+    for g in range(150):
+        words = [f"w{g}x{i}" for i in range(14)]
+        texts += [" ".join(words[:12]), " ".join(words), " ".join(words[2:])]
+    rows = {r.doc_id: r.component_id for r in jaccard_classes(documents(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == [i - i % 3 for i in range(len(texts))]
+    assert brute(texts[:9])[1] == [0, 0, 0, 3, 3, 3, 6, 6, 6]
