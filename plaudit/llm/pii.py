@@ -4,12 +4,14 @@ Base spans (email, ip, card, phone) are found by regular expressions over whole
 texts. The method then adds the terms that give an entity away by the company
 they keep (C-sanitisation, Sanchez and Batet, 2016): every base value is a
 protected entity ``e`` with information content ``IC(e) = -log P(e)``; a term
-``t`` (a word of four letters or more) near a mention discloses
-``PMI(t; e) = log(P(t, e) / (P(t) P(e)))`` of it. Probabilities are shares of all
-documents, counted over the whole corpus. A term is generalised where ``PMI >=
-alpha * IC`` and removed where ``PMI = IC``, that is where it never stands in a
-document but near that entity. Terms need two different surroundings as evidence, so
-copies of one passage count once.
+``t`` anywhere in a document that mentions ``e`` discloses
+``PMI(t; e) = log(P(t, e) / (P(t) P(e)))`` of it. A term is a word of any length or,
+in scripts written without spaces, a pair of neighbouring letters. Probabilities are
+shares of all documents, counted over whole texts. A term is generalised where
+``PMI >= alpha * IC`` and removed where ``PMI = IC``, that is where it never stands in a
+document without that entity, at every place in the documents that mention the
+entity. Terms need documents with two different surroundings of the mention as
+evidence, so copies of one passage count once; entities without them are left out first.
 
 DataFrame operations only. Positions come from two passes of one pattern: the
 matches, and the gaps left by splitting at them. Patterns are possessive where
@@ -25,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plaudit.llm.common import cut
+from plaudit.llm.common import cut, small, store
 
 # Kinds in the order in which equal starts are listed; the method's own comes last.
 KINDS = ("email", "ip", "card", "phone", "term")
@@ -39,11 +41,16 @@ PATTERNS = {
     "card": r"[0-9](?:[\x20-]?+[0-9]){11,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-TERM = r"\p{L}{4,}+"
+# Scripts written without spaces between words, and Hangul, whose names carry particles.
+_DENSE = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsHangul}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+TERM = rf"[\p{{L}}&&[^{_DENSE}]]++"
+DENSE = rf"[\p{{L}}&&[{_DENSE}]]++"
 SPAN = "array<struct<start:int,kind:int,end:int>>"
 CONTEXT = 48
 ALPHA = 0.8
 SUPPORT = 2
+# The most texts whose term spans are shipped to every executor.
+TEXTS = 20_000
 
 
 def _digits(x: Column) -> Column:
@@ -109,66 +116,118 @@ def with_base_spans(docs: DataFrame, text: str = "text", out: str = "base") -> D
     return docs.drop(*[f"__found_{k}" for k in PATTERNS])
 
 
-def _words_near(text: Column, span: Column) -> Column:
-    """Terms wholly within ``CONTEXT`` characters before and after a span."""
+def _hash(term: Column) -> Column:
+    return F.xxhash64(F.lower(term))
+
+
+def _pairs(length: Column) -> Column:
+    """Where the pairs of a run begin, from 0; a single letter stands alone."""
+    return F.sequence(F.lit(0), F.greatest(length - 2, F.lit(0)))
+
+
+def _terms(text: Column) -> Column:
+    """Hashes of the distinct terms of a text."""
+    words = F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), _hash)
+    runs = F.regexp_extract_all(text, F.lit(DENSE), F.lit(0))
+    pairs = F.transform(
+        runs, lambda r: F.transform(_pairs(F.length(r)), lambda i: _hash(F.substr(r, i + 1, F.lit(2))))
+    )
+    return F.array_distinct(F.concat(words, F.flatten(pairs)))
+
+
+def _blanked(body: Column, spans: Column) -> Column:
+    """The text with spaces in place of ``spans``; all other positions stay."""
+
+    def step(acc: Column, s: Column) -> Column:
+        low = F.greatest(s["start"], acc["at"])
+        out = F.concat(acc["out"], F.substr(body, acc["at"] + 1, low - acc["at"]), F.repeat(F.lit(" "), s["end"] - low))
+        return F.when(s["end"] > acc["at"], F.struct(s["end"].alias("at"), out.alias("out"))).otherwise(acc)
+
+    done = F.aggregate(spans, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step)
+    return F.concat(done["out"], F.substr(body, done["at"] + 1, F.length(body)))
+
+
+def _occurrences(text: Column, pattern: str, keep) -> Column:
+    """Spans of the matches that ``keep`` accepts, in one walk over the text."""
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.zip_with(F.split(text, pattern, -1), found, lambda g, m: F.struct(g.alias("gap"), m.alias("match")))
+
+    def step(acc: Column, x: Column) -> Column:
+        start = acc["at"] + F.length(x["gap"])
+        end = start + F.length(x["match"])
+        span = F.struct(start.alias("start"), F.lit(len(KINDS) - 1).alias("kind"), end.alias("end"))
+        spans = F.when(keep(x["match"]), F.concat(acc["spans"], F.array(span))).otherwise(acc["spans"])
+        return F.when(x["match"].isNull(), acc).otherwise(F.struct(end.alias("at"), spans.alias("spans")))
+
+    return F.aggregate(parts, F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans")), step)["spans"]
+
+
+def _occurrences_of(text: Column, terms: Column) -> Column:
+    """Spans of all occurrences of the hashed ``terms``."""
+
+    def pairs_of(run: Column) -> Column:
+        def pair(i: Column) -> Column:
+            start = run["start"] + i
+            end = F.least(start + 2, run["end"])
+            return F.struct(start.alias("start"), F.lit(len(KINDS) - 1).alias("kind"), end.alias("end"))
+
+        every = F.transform(_pairs(run["end"] - run["start"]), pair)
+        return F.filter(every, lambda s: F.array_contains(terms, _hash_at(text, s)))
+
+    words = _occurrences(text, TERM, lambda w: F.array_contains(terms, _hash(w)))
+    runs = _occurrences(
+        text, DENSE,
+        lambda r: F.exists(_pairs(F.length(r)), lambda i: F.array_contains(terms, _hash(F.substr(r, i + 1, F.lit(2))))),
+    )
+    return F.array_sort(F.concat(words, F.flatten(F.transform(runs, pairs_of))))
+
+
+def _hash_at(text: Column, s: Column) -> Column:
+    return _hash(F.substr(text, s["start"] + 1, s["end"] - s["start"]))
+
+
+def _mention(text: Column, span: Column) -> Column:
+    """The entity of a base span and a hash of ``CONTEXT`` characters around it."""
     low = F.greatest(span["start"] - CONTEXT, F.lit(0))
     before = F.substr(text, low + 1, span["start"] - low)
     after = F.substr(text, span["end"] + 1, F.lit(CONTEXT))
     entity = F.xxhash64(F.lower(F.substr(text, span["start"] + 1, span["end"] - span["start"])), span["kind"])
-    place = F.xxhash64(before, after)
-
-    def items(part: Column, offset: Column, cut_before: Column, cut_after: Column) -> Column:
-        found = F.regexp_extract_all(part, F.lit(TERM), F.lit(0))
-        spans = _located(part, TERM, found, lambda x: F.lit(True), len(KINDS) - 1)
-        whole = F.filter(
-            spans,
-            lambda s: ~(cut_before & (s["start"] == 0)) & ~(cut_after & (s["end"] == F.length(part))),
-        )
-        return F.transform(
-            whole,
-            lambda s: F.struct(
-                F.xxhash64(F.lower(F.substr(part, s["start"] + 1, s["end"] - s["start"]))).alias("term"),
-                entity.alias("entity"),
-                place.alias("place"),
-                (s["start"] + offset).alias("start"),
-                (s["end"] + offset).alias("end"),
-            ),
-        )
+    return F.struct(entity.alias("entity"), F.xxhash64(before, after).alias("place"))
 
-    return F.concat(
-        items(before, low, low > 0, F.lit(False)),
-        items(after, span["end"], F.lit(False), F.length(after) == CONTEXT),
-    )
 
+def _entity_rows(found: DataFrame, support: int = SUPPORT) -> DataFrame:
+    """``(uid, key's body, mentions, terms)`` of the documents that mention an entity with
+    enough surroundings; a document has one surrounding for each entity."""
+    seen = found.where(F.size("base") > 0).select("uid", F.explode("mentions").alias("m")).select("uid", "m.*")
+    seen = cut(seen.groupBy("uid", "entity").agg(F.min("place").alias("place")))
+    kept = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"), F.countDistinct("place").alias("places"))
+    kept = cut(kept.where(F.col("places") >= support).drop("places"))
+    seen = seen.join(small(kept, kept.count()), "entity")
+    per = seen.groupBy("uid").agg(F.collect_list(F.struct("entity", "place", "n_entity")).alias("mentions"))
+    return store(found.drop("base", "mentions").join(per, "uid"), "entity_rows")
 
-CANDIDATES = "array<struct<term:bigint,entity:bigint,place:bigint,start:int,end:int>>"
 
+def _pairs_in(rows: DataFrame, *also: str) -> DataFrame:
+    """One row for each entity and term of a document."""
+    each = rows.select(*also, "terms", F.explode("mentions").alias("m"))
+    return each.select(*also, "m.*", F.explode("terms").alias("term"))
 
-def with_candidates(docs: DataFrame, text: str = "text", base: str = "base", out: str = "near") -> DataFrame:
-    """Add ``out``: the terms near base spans, apart from those inside one."""
-    body = F.coalesce(F.col(text), F.lit(""))
-    near = F.flatten(F.transform(F.col(base), lambda s: _words_near(body, s)))
-    free = F.filter(
-        near, lambda w: ~F.exists(F.col(base), lambda s: (w["start"] < s["end"]) & (w["end"] > s["start"]))
-    )
-    return docs.withColumn(out, F.when(F.size(base) > 0, free).otherwise(F.array().cast(CANDIDATES)))
 
-
-def disclosures(found: DataFrame, docs: DataFrame, n_docs: int, text: str = "text", key: str = "uid",
+def disclosures(rows: DataFrame, docs: DataFrame, n_docs: int, text: str = "text",
                 alpha: float = ALPHA, support: int = SUPPORT) -> DataFrame:
     """``(term, entity, removed)`` of the terms that disclose an entity.
 
-    ``found`` holds ``near`` and a row id; the terms' document counts come from
+    ``rows`` are those of :func:`_entity_rows`; the terms' document counts come from
     all of ``docs``, aggregated per term before they are shuffled.
     """
-    near = found.where(F.size("near") > 0).select(key, F.explode("near").alias("w")).select(key, "w.*")
-    pairs = near.groupBy("term", "entity").agg(
-        F.countDistinct(key).alias("both"), F.countDistinct("place").alias("places")
+    pairs = _pairs_in(rows).groupBy("term", "entity").agg(
+        F.count(F.lit(1)).alias("both"),
+        F.countDistinct("place").alias("places"),
+        F.max("n_entity").alias("n_entity"),
     )
-    mentions = near.groupBy("entity").agg(F.countDistinct(key).alias("n_entity"))
-    pairs = cut(pairs.where(F.col("places") >= support).join(mentions, "entity"))
-    words = docs.select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))).alias("t"))
-    counts = words.groupBy(F.xxhash64("t").alias("term")).agg(F.count(F.lit(1)).alias("n_term"))
+    pairs = store(pairs.where(F.col("places") >= support), "pairs")
+    counts = docs.select(F.explode(_terms(F.col(text))).alias("term"))
+    counts = counts.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
     pairs = pairs.join(counts, "term")
     n = F.lit(float(max(n_docs, 1)))
     content = F.log(n / F.col("n_entity"))
@@ -188,27 +247,45 @@ def _text_of(spans: Column) -> Column:
 
 
 def _scanned(docs: DataFrame, key: str, text: str) -> DataFrame:
-    rows = with_candidates(with_base_spans(docs.select(key, text), text), text)
-    found = cut(rows.select(key, "base", "near", F.xxhash64(text).alias("body")))
-    return found.withColumn("uid", F.monotonically_increasing_id())
-
-
-def _term_spans(found: DataFrame, told: DataFrame, by: list[str]) -> DataFrame:
-    near = found.where(F.size("near") > 0).select(*by, F.explode("near").alias("w")).select(*by, "w.*")
-    span = F.struct("start", F.lit(len(KINDS) - 1).alias("kind"), "end")
-    return near.join(told, ["term", "entity"]).groupBy(*by).agg(
-        F.collect_set(span).alias("terms"),
-        F.collect_set(F.when(F.col("removed"), F.col("start"))).alias("gone"),
+    rows = with_base_spans(docs.select(key, text), text)
+    body = F.coalesce(F.col(text), F.lit(""))
+    some = F.size("base") > 0
+    mentions = F.when(some, F.transform("base", lambda s: _mention(body, s)))
+    rows = rows.withColumn("mentions", mentions).withColumn("terms", F.when(some, _terms(_blanked(body, F.col("base")))))
+    rows = rows.select(
+        F.col(key).alias("key"), "base", "mentions", "terms", F.xxhash64(text).alias("body"),
+        F.monotonically_increasing_id().alias("uid"),
+    )
+    return store(rows, "scanned")
+
+
+def _term_spans(docs: DataFrame, found: DataFrame, key: str, text: str) -> DataFrame:
+    """``(__key, __body, terms, gone)`` of the texts with disclosing terms: all their
+    occurrences outside base spans, and the starts of those to remove."""
+    rows = _entity_rows(found)
+    told = disclosures(rows, docs, found.count(), text)
+    hits = _pairs_in(rows, "key", "body").join(small(told, told.count()), ["term", "entity"])
+    hits = hits.groupBy(F.col("key").alias("__key"), F.col("body").alias("__body")).agg(
+        F.collect_set("term").alias("__told"), F.collect_set(F.when(F.col("removed"), F.col("term"))).alias("__removed")
     )
+    hits = cut(hits)
+    same = F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__body"))
+    texts = docs.select(key, text).join(small(hits, hits.count()), same).dropDuplicates(["__key", "__body"])
+    texts = with_base_spans(cut(texts), text, "__base")
+    texts = cut(texts.select("__key", "__body", "__told", "__removed", _blanked(F.col(text), F.col("__base")).alias("__blank")))
+    texts = texts.withColumn("terms", _occurrences_of(F.col("__blank"), F.col("__told")))
+    gone = F.filter("terms", lambda s: F.array_contains(F.col("__removed"), _hash_at(F.col("__blank"), s)))
+    return cut(texts.select("__key", "__body", "terms", F.transform(gone, lambda s: s["start"]).alias("gone")))
 
 
 def personal_spans(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``(doc_id, base, spans)``: arrays of ``(start, kind, end)`` per document."""
     found = _scanned(docs, key, text)
-    told = disclosures(found, docs, found.count(), text)
-    terms = _term_spans(found, told, ["uid"])
+    terms = _term_spans(docs, found, key, text)
     every = F.array_sort(F.concat("base", F.coalesce("terms", F.array().cast(SPAN))))
-    return found.join(terms, "uid", "left").select(key, "base", every.alias("spans"))
+    same = F.col("key").eqNullSafe(F.col("__key")) & (F.col("body") == F.col("__body"))
+    rows = found.select("key", "body", "base").join(small(terms, terms.count(), TEXTS), same, "left")
+    return rows.select(F.col("key").alias(key), "base", every.alias("spans"))
 
 
 def span_report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -244,26 +321,21 @@ def _masked(body: Column, spans: Column, gone: Column) -> Column:
 def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with all spans masked in ``text``.
 
-    Only texts with disclosing terms meet the table of those terms; the others are
-    masked where they stand, without a shuffle.
+    Only texts with base spans meet the table of disclosing terms; the others stay
+    as they are, without a shuffle.
     """
-    found = _scanned(docs, key, text)
-    told = disclosures(found, docs, found.count(), text)
-    terms = cut(_term_spans(found, told, [key, "body"]).withColumnsRenamed({key: "__key", "body": "__body"}))
-    rows = with_candidates(with_base_spans(docs, text, "__base"), text, "__base", "__near")
+    terms = _term_spans(docs, _scanned(docs, key, text), key, text)
+    rows = with_base_spans(docs, text, "__base")
     # Filters on a column that is not deterministic are not moved under the spans,
     # which would search the texts again for every span.
     rows = rows.withColumn("__row", F.monotonically_increasing_id())
     none = F.array().cast(SPAN)
-    plain = rows.where((F.size("__near") == 0) & (F.col("__row") >= 0)).withColumn("__spans", F.col("__base")).withColumn(
-        "__gone", F.array().cast("array<int>")
-    )
+    plain = rows.where((F.size("__base") == 0) & (F.col("__row") >= 0)).select(*docs.columns)
     met = (
-        rows.where((F.size("__near") > 0) & (F.col("__row") >= 0))
-        .join(terms, F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__body")), "left")
+        rows.where((F.size("__base") > 0) & (F.col("__row") >= 0))
+        .join(small(terms, terms.count(), TEXTS), F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__body")), "left")
         .withColumn("__spans", F.array_sort(F.concat("__base", F.coalesce("terms", none))))
         .withColumn("__gone", F.coalesce("gone", F.array().cast("array<int>")))
     )
-    both = plain.select(*docs.columns, "__spans", "__gone").union(met.select(*docs.columns, "__spans", "__gone"))
-    new = F.when(F.size("__spans") > 0, _masked(F.col(text), F.col("__spans"), F.col("__gone"))).otherwise(F.col(text))
-    return both.withColumn(text, new).select(*docs.columns)
+    new = _masked(F.col(text), F.col("__spans"), F.col("__gone"))
+    return plain.union(met.withColumn(text, new).select(*docs.columns))

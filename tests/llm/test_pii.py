@@ -113,3 +113,32 @@ def test_edge_cases(spark):
     assert out.columns == docs.columns and out.count() == docs.count()
     assert span_report(empty_documents(spark)).count() == 0
     assert sanitise(empty_documents(spark)).count() == 0
+
+
+def test_terms_far_from_the_mention(spark):
+    """Names near the address and far from it, short ones and in scripts without spaces,
+    are masked at every place, but only in documents that mention the entity."""
+    filler = [prose(i, 60).upper() for i in range(40)]
+    texts = [f"{t} the {t[::-1]}" for t in filler]
+    for i in range(4):
+        texts[i] = (
+            f"Quaggafar {filler[i]} wrote Li to jo@x.example.com with Zanzibarwhale today {prose(900 + i, 30).upper()} "
+            f"and Zanzibarwhale again, 見{'東西南北'[i]}王小明{'一二三四'[i]}了 for LI."
+        )
+    docs = documents(spark, texts)
+    rows = {r.doc_id: r.spans for r in personal_spans(docs).collect()}
+    got = {r.doc_id: r.text for r in sanitise(docs).collect()}
+    for i in range(4):
+        terms = [texts[i][s:e] for s, k, e in rows[i] if KINDS[k] == "term"]
+        assert terms.count("Zanzibarwhale") == 2 and "Quaggafar" in terms and {"Li", "LI", "王小", "小明"} <= set(terms)
+        assert not re.search("Zanzibarwhale|Quaggafar|王|小|明|Li|LI\\.", got[i]) and "[EMAIL]" in got[i]
+    for i in range(4, 40):
+        assert got[i] == texts[i] and len(rows[i]) == 0
+
+
+def test_copies_of_a_passage_are_no_evidence(spark):
+    """One text four times, and an address twice in one text, disclose nothing."""
+    texts = [f"Zanzibarwhale {prose(1, 40)} jo@x.example.com {prose(2, 40)}"] * 4
+    texts += [f"Quaggafar a@b.example.org {prose(3, 40)} a@b.example.org {prose(4, 40)}"] + [prose(i, 60) for i in range(20, 50)]
+    rows = personal_spans(documents(spark, texts)).collect()
+    assert all(KINDS[s.kind] != "term" for r in rows for s in r.spans)
