@@ -57,7 +57,7 @@ def _brute(df, w, s, start):
 @pytest.mark.parametrize("ntz", [True, False])
 def test_panes_equal_spark_windows(spark, w, s, start, ntz):
     df = _reviews(spark, ntz=ntz)
-    got = summarize_windows(df, "ts", w, s, start)
+    got = summarize_windows(df, "ts", w, s, start, missing_time="drop")
     assert got.columns == ["window_start", "window_end", "category", "reviews", "negatives", "points"]
     rows = got.collect()
     assert all(r.window_end - r.window_start == datetime.timedelta(seconds=w) for r in rows)
@@ -65,6 +65,13 @@ def test_panes_equal_spark_windows(spark, w, s, start, ntz):
     assert mine == _brute(df, w, s, start)
 
 
+def test_a_review_without_a_time_fails_by_default(spark):
+    with pytest.raises(Exception, match="review without a time"):
+        summarize_windows(_reviews(spark, n=5), "ts", "1 day").collect()
+    with pytest.raises(ValueError, match="missing_time"):
+        summarize_windows(_reviews(spark, n=5), "ts", "1 day", missing_time="skip")
+
+
 def test_with_day(spark):
     df = _reviews(spark, n=50)
     got = summarize(with_day(df), ["day"])
