@@ -14,6 +14,7 @@ from plaudit.llm.mtree import top_inner_products
 from plaudit.llm.packing import pack_documents
 from plaudit.llm.pii import span_report
 from plaudit.llm.quality import classify_quality
+from plaudit.llm.rules import RULES, STOP_WORDS, SYMBOLS, rule_report
 from plaudit.llm.sharding import build_tree, shard_documents
 from plaudit.llm.suffixes import remove_repeats
 from plaudit.llm.toxicity import classify_toxicity
@@ -59,6 +60,10 @@ def op10_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_inner_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_threshold_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rule_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -72,9 +77,68 @@ QUERIES = {
         op8_jaccard_metric_join,
         op9_additive_quality,
         op10_mtree_topk,
+        op11_threshold_rules,
     )
 }
+
+
+def _rules_sql() -> str:
+    """The measures and the threshold table in DuckDB SQL."""
+
+    def side(r, value, bound):
+        found = [f"{value} < {r.low} * {bound}"] if r.low is not None else []
+        found += [f"{value} > {r.high} * {bound}"] if r.high is not None else []
+        return " OR ".join(found)
+
+    def broken(r):
+        value, bound = (f"100 * {r.measure}", r.per) if r.per else (r.measure, "1")
+        langs = "(" + ", ".join(f"'{x}'" for x in r.langs) + ")"
+        asked = f"n_words >= {r.least_words}" + (f" AND coalesce(lang IN {langs}, false)" if r.langs else "")
+        return f"CASE WHEN ({asked}) AND ({side(r, value, bound)}) THEN '{r.name}' END"
+
+    def listed(code):
+        words = STOP_WORDS[code].split()
+        forms = ", ".join(f"'{f}'" for w in words for f in (w, w.capitalize()))
+        return f"WHEN lang = '{code}' THEN len(list_filter(ws, lambda w: w IN ({forms})))"
+
+    stops = " ".join(listed(code) for code in STOP_WORDS)
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents
+), s AS (
+  SELECT *, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws,
+    list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS ls
+  FROM d
+), w AS (
+  SELECT rid, i, list_aggregate(ws[i:i + 4], 'string_agg', ' ') AS g
+  FROM (SELECT rid, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM s WHERE len(ws) >= 5)
+), r AS (
+  SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS j
+  FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS n FROM w) WHERE n > 1
+), c AS (
+  SELECT rid, sum(least(5, coalesce(j - i, 5))) AS n FROM r GROUP BY rid
+), m AS (
+  SELECT doc_id, lang, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+    CAST(length(t) - length(regexp_replace(t, '{SYMBOLS}', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(len(regexp_extract_all(t, '[!?]{{2,}}')) AS BIGINT) AS n_marks,
+    CAST(CASE {stops} ELSE 0 END AS BIGINT) AS n_stop,
+    CAST(len(ls) AS BIGINT) AS n_lines, CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines,
+    CAST(len(list_filter(ls, lambda l: regexp_matches(l, '^[ \\t]*[-*•‣◦·]'))) AS BIGINT) AS n_bullets,
+    CAST(len(list_filter(ls, lambda l: regexp_matches(l, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$'))) AS BIGINT) AS n_ellipses,
+    CAST(coalesce(c.n, 0) AS BIGINT) AS n_repeat_words
+  FROM s LEFT JOIN c USING (rid)
+), f AS (
+  SELECT *, list_filter([{", ".join(broken(r) for r in RULES)}], lambda x: x IS NOT NULL) AS failed FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_marks, n_stop, n_lines, n_dup_lines, n_bullets, n_ellipses,
+  n_repeat_words, (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+  len(failed) = 0 AS kept, array_to_string(failed, ',') AS failed_rules
+FROM f
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op11_threshold_rules": _rules_sql(),
     "op10_mtree_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e

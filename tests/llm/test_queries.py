@@ -17,10 +17,11 @@ COLUMNS = {
     8: "doc_id n_shingles component_id",
     9: "doc_id held_out score predicted",
     10: "query_id rank vec_id score",
+    11: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
 
 
-@pytest.mark.parametrize("n", range(1, 11))
+@pytest.mark.parametrize("n", COLUMNS)
 def test_columns(spark, n):
     (name,) = [q for q in entry.queries() if q.startswith(f"op{n}_")]
     df = entry.queries()[name](spark, SF_SMALL)
