@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from plaudit.llm.alignment import align_documents
 from plaudit.llm.common import table
 from plaudit.llm.jaccard import jaccard_classes
 from plaudit.llm.lattice import near_vectors
@@ -64,6 +65,10 @@ def op11_threshold_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rule_report(table(spark, sf_dir, "documents"))
 
 
+def op12_incidence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -78,6 +83,7 @@ QUERIES = {
         op9_additive_quality,
         op10_mtree_topk,
         op11_threshold_rules,
+        op12_incidence_alignment,
     )
 }
 

@@ -1,0 +1,166 @@
+import hashlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import __spark_entry__ as entry
+from plaudit.llm import alignment
+from plaudit.llm.alignment import Csr, align_documents, links, product, product_sizes
+from plaudit.llm.packing import tokenizer_path
+from tests.conftest import SF_SMALL
+from tests.llm.cases import documents, edge_documents, edge_texts, empty_documents, prose
+
+
+@pytest.fixture(scope="module")
+def sides():
+    a = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
+    a.encode_special_tokens = True
+    b = sentencepiece.SentencePieceProcessor(model_file=tokenizer_path("piece_bpe_32k.model"))
+    shown = list(range(33, 127)) + list(range(161, 173)) + list(range(174, 256))
+    rest = iter(range(256, 400))
+    byte = {(chr(x) if x in shown else chr(next(rest))): x for x in range(256)}
+
+    def bytes_b(i):
+        p = b.id_to_piece(i)
+        return bytes([int(p[3:5], 16)]) if b.is_byte(i) else p.replace("▁", " ").encode()
+
+    def tokens(text):
+        """``[(id, bytes)]`` of both sides; none where they don't spell the text."""
+        if not text:
+            return [], []
+        ta = [(i, bytes(byte[c] for c in a.id_to_token(i))) for i in a.encode(" " + text, add_special_tokens=False).ids]
+        tb = [(i, bytes_b(i)) for i in b.encode(text)]
+        whole = (" " + text).encode()
+        if any(b"".join(x for _, x in t) != whole for t in (ta, tb)):
+            return [], []
+        return ta, tb
+
+    return tokens
+
+
+def ranges(tokens):
+    out, at = [], 0
+    for i, x in tokens:
+        out.append((i, at, at + len(x)))
+        at += len(x)
+    return out
+
+
+def brute(texts, sides):
+    """All pairs of tokens of each text, compared one by one."""
+    per, count = [], Counter()
+    for text in texts:
+        ta, tb = map(ranges, sides(text))
+        ends = {e for _, _, e in ta} & {e for _, _, e in tb}
+        by_end = {e: i for i, _, e in tb}
+        pairs = [(i, by_end[e]) for i, _, e in ta if e in by_end]
+        count.update(pairs)
+        cuts, shown, shared = sorted(ends), [], 0
+        ga, gb, rest = [], [], iter(tb)
+        for i, _, e in ta:
+            ga.append(str(i))
+            if e in ends:
+                for j, _, f in rest:
+                    gb.append(str(j))
+                    if f == e:
+                        break
+                shared += len(ga) * len(gb)
+                shown.append(",".join(ga) + "|" + ",".join(gb))
+                ga, gb = [], []
+        per.append((len(ta), len(tb), len(cuts), shared, pairs, ";".join(shown)))
+    most = defaultdict(int)
+    for (_, b), n in count.items():
+        most[b] = max(most[b], n)
+    return [
+        (na, nb, g, len(p), s, sum(count[x] == most[x[1]] for x in p), sum(count[x] for x in p),
+         hashlib.sha256(t.encode()).hexdigest() if na else "")
+        for na, nb, g, s, p, t in per
+    ]
+
+
+COLUMNS = ("n_a", "n_b", "n_groups", "n_links", "n_shared", "n_best", "count_sum", "groups_sha256")
+ODD = [
+    "12,345.678 and 0xFFEE", "naïve café ▁ lower block", "漢字かな交じり 한글", "🙂🙂 x🙂y", "tab\tand\r\nlines", "  lead  trail  ",
+    "<0x0A> <s> </s> <unk> <|endoftext|>", "don't we'll", "a\0b", "ﬁ ligature Å Å", "​ 　", "aaaaaaaaaaaaaaaaaaaaaaaaaaa",
+]
+
+
+def test_equals_all_pairs(spark, sides, monkeypatch):
+    monkeypatch.setattr(alignment, "BLOCK_CHARS", 20_000)
+    texts = ODD + [prose(i, 60) for i in range(20)] + [prose(3, 60)] * 5
+    docs = edge_documents(spark)
+    ids = [r.doc_id for r in docs.collect()]
+    own = [r.text for r in docs.collect()]
+    extra = documents(spark, texts).withColumn("doc_id", F.col("doc_id") + 1000)
+    rows = align_documents(docs.select("doc_id", "text").union(extra.select("doc_id", "text")).repartition(3)).collect()
+    want = brute(own + texts, sides)
+    keys = ids + [1000 + i for i in range(len(texts))]
+    got = sorted(repr((r.doc_id, *[r[c] for c in COLUMNS])) for r in rows)
+    assert got == sorted(repr((k, *w)) for k, w in zip(keys, want, strict=True))
+    assert sum(w[0] == 0 for w in want) >= 4 and sum(w[0] > 0 for w in want) > 30
+
+
+def test_query_on_the_whole_table(spark, sides):
+    rows = {r.doc_id: r for r in entry.queries()["op12_incidence_alignment"](spark, SF_SMALL).collect()}
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()
+    for r, want in zip(docs, brute([r.text for r in docs], sides), strict=True):
+        assert tuple(rows[r.doc_id][c] for c in COLUMNS) == want
+
+
+def test_links(spark, sides):
+    texts = [ODD[0], None, ODD[2], "", ODD[0], prose(5, 30)]
+    docs = documents(spark, texts)
+    got = {k: defaultdict(set) for k in ("overlap", "group")}
+    for kind, found in got.items():
+        for r in links(docs, kind).collect():
+            found[r.doc_id].add((r.a, r.b, r.id_a, r.id_b, r.value))
+    for n, text in enumerate(texts):
+        ta, tb = map(ranges, sides(text))
+        cuts = sorted({e for _, _, e in ta} & {e for _, _, e in tb})
+        group = lambda e: int(np.searchsorted(cuts, e))
+        overlap = {
+            (i, j, x[0], y[0], min(x[2], y[2]) - max(x[1], y[1]))
+            for i, x in enumerate(ta) for j, y in enumerate(tb) if min(x[2], y[2]) > max(x[1], y[1])
+        }
+        shared = {
+            (i, j, x[0], y[0], 1) for i, x in enumerate(ta) for j, y in enumerate(tb) if group(x[2]) == group(y[2])
+        }
+        assert got["overlap"][n] == overlap and got["group"][n] == shared
+    with pytest.raises(ValueError):
+        links(docs, "other")
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(0, 7), st.integers(1, 7), st.integers(1, 7), st.integers(0, 10**6), st.integers(1, 40))
+def test_product_equals_dense(n, m, k, seed, entries):
+    rng = np.random.default_rng(seed)
+    dense = [rng.integers(0, 3, s) * (rng.random(s) < 0.5) for s in ((n, m), (m, k))]
+
+    def sparse(x):
+        at = [np.flatnonzero(r) for r in x]
+        start = np.concatenate([[0], np.cumsum([len(a) for a in at], dtype=np.int64)]).astype(np.int64)
+        column = np.concatenate([np.zeros(0, np.int64), *at]).astype(np.int64)
+        return Csr(start, column, x[np.repeat(np.arange(len(x)), np.diff(start)), column], x.shape[1])
+
+    a, b = map(sparse, dense)
+    c = product(a, b, entries)
+    out = np.zeros((n, k), np.int64)
+    out[c.row_of_entry(), c.column] = c.value
+    assert (out == dense[0] @ dense[1]).all()
+    assert product_sizes(a, b).sum() >= len(c.column)
+    back = b.transposed().transposed()
+    assert (back.column == b.column).all() and (back.value == b.value).all()
+
+
+def test_empty_table_and_long_text(spark, sides):
+    assert align_documents(empty_documents(spark)).count() == 0
+    long = " ".join(edge_texts()[12:13] * 30)  # longer than a batch
+    (row,) = align_documents(documents(spark, [long])).collect()
+    (want,) = brute([long], sides)
+    assert tuple(row[c] for c in COLUMNS) == want

@@ -18,6 +18,7 @@ COLUMNS = {
     9: "doc_id held_out score predicted",
     10: "query_id rank vec_id score",
     11: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    12: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
 }
 
 
