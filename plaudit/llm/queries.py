@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from plaudit.llm.alignment import align_documents
 from plaudit.llm.common import table
+from plaudit.llm.divergence import LEAST_DOCUMENTS, TERMS, UNIT, audit
 from plaudit.llm.jaccard import jaccard_classes
 from plaudit.llm.lattice import near_vectors
 from plaudit.llm.mixing import mix_report
@@ -69,6 +70,10 @@ def op12_incidence_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align_documents(table(spark, sf_dir, "documents"))
 
 
+def op13_transducer_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -84,6 +89,7 @@ QUERIES = {
         op10_mtree_topk,
         op11_threshold_rules,
         op12_incidence_alignment,
+        op13_transducer_divergence,
     )
 }
 
@@ -145,6 +151,46 @@ FROM f
 
 ORACLE_SQL: dict[str, str] = {
     "op11_threshold_rules": _rules_sql(),
+    "op13_transducer_divergence": f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+  FROM documents
+), w AS (
+  SELECT rid, lang, source, unnest(regexp_extract_all(
+    translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+'
+  )) AS term FROM d
+), k AS (
+  SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT rid) >= {LEAST_DOCUMENTS}
+), c AS (
+  SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN k USING (lang, term) GROUP BY ALL
+), g AS (
+  SELECT lang, source, coalesce(n, 0) AS n, coalesce(v, 0) AS v
+  FROM (SELECT DISTINCT lang, source FROM d)
+  LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL) USING (lang, source)
+  LEFT JOIN (SELECT lang, count(*) AS v FROM k GROUP BY lang) USING (lang)
+), p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    1 + ({UNIT}::HUGEINT * (coalesce(c.n, 0) + 1)) // (g.n + g.v) AS p
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), q AS (
+  SELECT lang, term, 1 + ({UNIT}::HUGEINT * (sum(n) + 1)) // (total + v) AS q
+  FROM c JOIN (SELECT lang, sum(n) AS total, any_value(v) AS v FROM g GROUP BY lang) USING (lang) GROUP BY lang, term, total, v
+), f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), u AS (
+  SELECT x.lang, x.source, 'pair' AS part, y.source AS item, coalesce(f.value, 0) AS value
+  FROM g x JOIN g y ON x.lang = y.lang AND x.source <> y.source
+  LEFT JOIN f ON f.lang = x.lang AND f.source = x.source AND f.item = y.source
+  UNION ALL
+  SELECT p.lang, p.source, 'term', p.term, (p.p - q.q) * (p.p - q.q) // q.q
+  FROM p JOIN q USING (lang, term) WHERE p.n > 0 AND p.p > q.q
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM u
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM r WHERE part = 'pair' OR rank <= {TERMS}
+""",
     "op10_mtree_topk": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e

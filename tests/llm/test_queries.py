@@ -19,6 +19,7 @@ COLUMNS = {
     10: "query_id rank vec_id score",
     11: "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     12: "doc_id n_a n_b n_groups n_links n_best count_sum groups_sha256",
+    13: "lang source part item value rank",
 }
 
 
@@ -27,7 +28,7 @@ def test_columns(spark, n):
     (name,) = [q for q in entry.queries() if q.startswith(f"op{n}_")]
     df = entry.queries()[name](spark, SF_SMALL)
     assert set(COLUMNS[n].split()) <= set(df.columns)
-    rows = {2: "embeddings", 10: None, 6: None}.get(n, "documents")
+    rows = {13: None, 2: "embeddings", 10: None, 6: None}.get(n, "documents")
     if rows:
         assert df.count() == spark.read.parquet(f"{SF_SMALL}/{rows}.parquet").count()
 
