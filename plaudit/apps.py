@@ -9,12 +9,15 @@ micro-batch interval of arriving files on its own; ``windowed`` scores windows
 of ``--window`` intervals every ``--slide`` intervals. Both streams use the
 files' arrival (modification) time unless ``--time-col`` names an event time,
 keep their state and progress under ``WORK`` (restartable), and write one
-folder per batch / window under ``OUT``, which the first report of a run clears.
-
-With ``--run-seconds`` the stream runs live: every interval the windows closed
-since the last report are scored and written. Without it the input is drained
-and the windows still open are scored too. Rows later than the horizon
-(``--delay``) are counted and printed; without ``--lenient`` they fail the run.
+folder per batch / window under ``OUT``. The first report of a fresh ``WORK`` clears
+``OUT``; a restart goes on from the log of reports in ``WORK``: it scores only windows
+that no report holds, and keeps the folders of the others.
+
+With ``--run-seconds`` the stream runs live: windows are scored and written as soon as they
+have closed; those of arrival time also close when no file comes any more
+(``streaming/clock.py``). Without it the input is drained and the windows still open
+are scored too. Rows later than the horizon (``--delay``) are counted over all runs
+on ``WORK`` and printed; without ``--lenient`` they fail the run.
 """
 
 from __future__ import annotations
@@ -29,13 +32,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from plaudit.operators.scorecard import scorecard
-from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds
+from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds, parse_seconds
+from plaudit.session import session_conf
 from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.json_reviews import read_reviews
+from plaudit.streaming.clock import IDLE_CONF, ArrivalClock
+from plaudit.streaming.ledger import BatchLedger
+from plaudit.streaming.reports import ReportLog
 from plaudit.streaming.windowed import (
     ARRIVAL,
     HORIZON,
-    late_rows,
     open_summary,
     read_summary,
     score_closed_windows,
@@ -72,14 +78,20 @@ def parser() -> argparse.ArgumentParser:
         s.add_argument("output")
         s.add_argument("--interval", type=int, required=True, help="batch interval, seconds")
         s.add_argument("--order-by", choices=("points", "avg_points"), default="avg_points")
-        s.add_argument("--delay", type=int, default=HORIZON, help="how late a row may be, intervals")
+        s.add_argument(
+            "--delay", type=int, default=None,
+            help=f"how late a row may be, intervals (default: {HORIZON}; 1 for a live run by arrival)",
+        )
         s.add_argument("--time-col", default=ARRIVAL, help="event-time column, or 'arrival'")
         s.add_argument("--start", type=int, default=0, help="offset of the windows, seconds")
         s.add_argument("--lenient", action="store_true", help="bad lines to OUTPUT/_rejects; late rows only counted")
         s.add_argument("--files-per-trigger", type=int, default=None)
         s.add_argument("--bytes-per-trigger", type=int, default=256 << 30, help="bytes of a micro-batch, unless files are given")
         s.add_argument("--files-per-batch", type=int, default=None, help="files a closing batch writes")
-        s.add_argument("--retention", default=None, help="age of files in the summaries' file list, e.g. '7 days'")
+        s.add_argument(
+            "--retention", default=None,
+            help="age of files in the summaries' file list, e.g. '7 days'; longer than a window with its delay",
+        )
         s.add_argument("--large-state", action="store_true", help="RocksDB state store (many keys)")
         s.add_argument(
             "--run-seconds", type=float, default=None,
@@ -116,13 +128,22 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
     slide = opts.interval * (opts.slide if opts.command == "windowed" else 1)
     panes = getattr(opts, "panes", False) and slide < window
     length = pane_seconds(window, slide) if panes else window
+    is_live, by_arrival = opts.run_seconds is not None, opts.time_col == ARRIVAL
+    if opts.delay is None:
+        opts.delay = 1 if is_live and by_arrival else HORIZON
+    delay = opts.delay * opts.interval
+    if opts.retention and parse_seconds(opts.retention) <= window + delay:
+        raise ValueError(f"--retention must be longer than a window with its delay, {window + delay} seconds")
     bounds = {} if opts.files_per_trigger else {"maxBytesPerTrigger": str(opts.bytes_per_trigger)}
     reviews = stream_reviews(
         spark, opts.source, time=opts.time_col, max_files_per_trigger=opts.files_per_trigger,
         mode="lenient" if opts.lenient else "strict", options=bounds,
     )
     work, queries = opts.work.rstrip("/"), []
-    live = f"{opts.interval} seconds" if opts.run_seconds is not None else None
+    # By arrival the clock closes windows: more triggers than intervals, so that this takes
+    # less than one.
+    trigger = max(1.0, opts.interval / 4) if by_arrival else float(opts.interval)
+    live = f"{int(trigger * 1000)} milliseconds" if is_live else None
     if opts.lenient:
         reviews, rejects = reviews
         queries.append(
@@ -130,15 +151,20 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
                 rejects, f"{work}/rejects", f"{work}/checkpoint-rejects", live is None, live, fmt="json"
             )
         )
-    delay = opts.delay * opts.interval
-    summary = summarize_stream(reviews, length, length if panes else slide, delay, start=opts.start)
-    query = start_summary_stream(
-        summary, f"{work}/summaries", f"{work}/checkpoint", live is None, live,
-        files_per_batch=opts.files_per_batch, retention=opts.retention,
-    )
-    report = Report(spark, opts, f"{work}/summaries", summary.schema, (window, slide, opts.start) if panes else None)
+    clock = ArrivalClock(spark, f"{work}/ticks") if by_arrival else None
+    summary = summarize_stream(
+        reviews, length, length if panes else slide, delay, start=opts.start, ticks=clock.ticks() if clock else None
+    )
+    ledger = BatchLedger(spark, f"{work}/ledger")
+    with session_conf(spark, IDLE_CONF):
+        query = start_summary_stream(
+            summary, f"{work}/summaries", f"{work}/checkpoint", live is None, live,
+            files_per_batch=opts.files_per_batch, retention=opts.retention,
+        )
+    report = Report(spark, opts, work, summary.schema, (window, slide, opts.start) if panes else None)
     if live is None:
-        for q in [query, *queries]:
+        ledger.follow(query)
+        for q in queries:
             q.awaitTermination()
         for q in [query, *queries]:
             _raise_for(q)
@@ -148,17 +174,23 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
         report.write(query, still_open)
     else:
         end = time.monotonic() + opts.run_seconds
-        while time.monotonic() < end and not query.awaitTermination(min(opts.interval, max(0.1, end - time.monotonic()))):
+        while (left := end - time.monotonic()) > 0:
+            if ledger.follow(query, min(trigger, left)):
+                break
+            if clock is not None:
+                clock.advance(query)
             report.write(query)
         for q in [query, *queries]:
             q.stop()
             _raise_for(q)
+        ledger.poll(query)
+        ledger.flush()
         report.write(query)
-    report.late(query)
-    if report.dropped:
-        print(f"{report.dropped} rows came later than {opts.delay} intervals and were dropped")
-        if not opts.lenient:
-            raise RuntimeError(f"{report.dropped} late rows were dropped; raise --delay or run with --lenient")
+    found = ledger.account()
+    if found.rows_dropped:
+        print(f"{found.rows_dropped} rows came later than {opts.delay} intervals and were dropped")
+    if not opts.lenient:
+        found.check(f"{opts.delay} intervals (--delay; --lenient only counts them)")
 
 
 def _raise_for(query: StreamingQuery) -> None:
@@ -167,48 +199,45 @@ def _raise_for(query: StreamingQuery) -> None:
 
 
 class Report:
-    """Scores and writes the windows closed since the last report of this run.
+    """Scores and writes the windows closed since the last report, of this run or an earlier one.
 
-    The first one covers all stored windows and replaces the output; windows that
-    close later end after all of them, so the following ones add folders only.
+    The first one on a fresh ``WORK`` covers all stored windows and replaces the output;
+    windows that close later end after all of them, so the following ones add folders
+    only. Open windows of a drained run are written as they stand, and again when they close.
     """
 
-    def __init__(self, spark, opts, path: str, schema, panes):
-        self.spark, self.opts, self.path, self.schema, self.panes = spark, opts, path, schema, panes
-        self.since, self.first, self.dropped, self.batch = None, True, 0, -1
-
-    def late(self, query: StreamingQuery) -> None:
-        """Add up the rows dropped in batches not seen yet."""
-        seen = [p["batchId"] for p in query.recentProgress]
-        if seen and max(seen) > self.batch:
-            self.dropped += late_rows(query, self.batch)
-            self.batch = max(seen)
+    def __init__(self, spark, opts, work: str, schema, panes):
+        self.spark, self.opts, self.path, self.schema, self.panes = spark, opts, f"{work}/summaries", schema, panes
+        self.log = ReportLog(spark, f"{work}/reports")
+        self.batch = None
 
     def write(self, query: StreamingQuery, open_rows: DataFrame | None = None) -> None:
-        self.late(query)
         last = query.lastProgress
         if last is None:  # no batch has run, there is no table
             return
+        if open_rows is None and last["batchId"] == self.batch and not self.log.empty:
+            return  # nothing has run since
         stored = read_summary(self.spark, self.path, self.schema)
         # Up to here windows are closed: with panes by the batch's watermark,
         # otherwise the stored ones are.
         watermark = last["eventTime"].get("watermark") if self.panes else None
         if watermark is not None:
-            limit = datetime.datetime.fromisoformat(watermark)
+            limit = int(datetime.datetime.fromisoformat(watermark).timestamp()) * 1_000_000
         else:
-            limit = stored.agg(F.max("window_end")).first()[0]
-        if open_rows is None and not self.first and limit in (None, self.since):
+            limit = stored.agg(F.unix_micros(F.max("window_end"))).first()[0]
+        self.batch = last["batchId"]
+        if open_rows is None and not self.log.empty and limit in (None, self.log.until_micros):
             return
         opts = self.opts
         card = score_closed_windows(
-            self.spark, self.path, opts.max_pct, opts.volume_rule, opts.order_by, self.schema, since=self.since,
+            self.spark, self.path, opts.max_pct, opts.volume_rule, opts.order_by, self.schema, since=self.log.until,
             panes=self.panes, closed_until=watermark, open_rows=open_rows, summary=stored,
         )
         write_scorecard(
             card, opts.output, fmt=opts.fmt, scope=list(WINDOW_COLUMNS), partition_by_scope=True,
-            incremental=not self.first,
+            incremental=not self.log.empty,
         )
-        self.first, self.since = False, limit
+        self.log.commit(limit, last["batchId"])
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -16,6 +16,7 @@ the caller says so (``missing_time="drop"``).
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,21 +27,18 @@ WINDOW_COLUMNS = ("window_start", "window_end")
 
 
 def parse_seconds(duration: int | str) -> int:
-    """``345600``, ``"4 days"``, ``"90 minutes"`` … to whole seconds."""
+    """``345600``, ``"4 days"``, ``"90 minutes"``, ``"7d"`` … to whole seconds."""
     if isinstance(duration, int):
         return duration
-    amount, unit = duration.strip().split()
-    factors = {
-        "second": 1,
-        "minute": 60,
-        "hour": 3600,
-        "day": 86400,
-        "week": 604800,
-    }
-    unit = unit.lower().rstrip("s")
+    names = {1: "s sec second", 60: "m min minute", 3600: "h hour", 86400: "d day", 604800: "w week"}
+    factors = {name: seconds for seconds, listed in names.items() for name in listed.split()}
+    parts = re.fullmatch(r"\s*(\d+)\s*([A-Za-z]+)\s*", duration)
+    unit = parts and parts[2].lower()
+    if unit not in factors and unit:
+        unit = unit.removesuffix("s")
     if unit not in factors:
-        raise ValueError(f"unsupported duration unit in {duration!r}")
-    return int(amount) * factors[unit]
+        raise ValueError(f"unsupported duration {duration!r}")
+    return int(parts[1]) * factors[unit]
 
 
 def with_day(reviews: DataFrame, time_col: str = "ts", name: str = "day") -> DataFrame:

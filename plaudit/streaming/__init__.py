@@ -1,5 +1,8 @@
 """Structured Streaming: stage-1 windowed summaries, stage-2 scoring."""
 
+from plaudit.streaming.clock import IDLE_CONF, ArrivalClock
+from plaudit.streaming.ledger import Account, BatchLedger
+from plaudit.streaming.reports import ReportLog
 from plaudit.streaming.windowed import (
     late_rows,
     open_summary,
@@ -13,6 +16,11 @@ from plaudit.streaming.windowed import (
 )
 
 __all__ = [
+    "IDLE_CONF",
+    "Account",
+    "ArrivalClock",
+    "BatchLedger",
+    "ReportLog",
     "late_rows",
     "open_summary",
     "read_summary",

@@ -20,8 +20,8 @@ the one point where its output is complete:
 A drained backfill has no later rows, so its open windows are final too: their
 rows are read from the state store and scored with the stored ones.
 
-Rows later than the watermark's horizon are dropped by Spark; they are counted
-(``late_rows``) and fail a strict backfill. Rows without a time fail.
+Rows later than the watermark's horizon are dropped by Spark; they are counted batch by
+batch (``ledger.py``) and fail a strict backfill. Rows without a time fail.
 
 Time is the review's event time, or its arrival time taken as the source
 file's modification time (``_metadata.file_modification_time``), which is
@@ -44,11 +44,14 @@ from plaudit.operators.summarize import summarize
 from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds, parse_seconds, windows_from_panes
 from plaudit.schema import REVIEW_JSON_SCHEMA
 from plaudit.sources.json_reviews import CORRUPT, split_lenient, strict_rows, times_as_text, with_corrupt_column
+from plaudit.streaming.ledger import BatchLedger
 
 ARRIVAL = "arrival"
 # How many intervals a row may be late by default.
 HORIZON = 17
 LATE = ("fail", "count")
+# Before any time of a review: the first microsecond of the year 1.
+NEVER = -62_135_596_800_000_000
 
 
 def stream_reviews(
@@ -106,10 +109,12 @@ def summarize_stream(
     delay: int | str | None = None,
     time_col: str = "ts",
     start: int | str = 0,
+    ticks: DataFrame | None = None,
 ) -> DataFrame:
     """Stage 1: per-(window, category) measures of a review stream, append mode.
 
-    ``delay`` is how late a row may be; ``HORIZON`` slides by default.
+    ``delay`` is how late a row may be; ``HORIZON`` slides by default. ``ticks``
+    (``ArrivalClock.ticks``) move the watermark as well and count nowhere.
 
     TIMESTAMP_NTZ times are read as UTC wall clock (``withWatermark`` needs
     TIMESTAMP) and the window bounds are given back as TIMESTAMP_NTZ.
@@ -123,7 +128,16 @@ def summarize_stream(
     ntz = isinstance(reviews.schema[time_col].dataType, T.TimestampNTZType)
     t = ntz_to_instant(F.col(time_col)) if ntz else F.col(time_col)
     t = F.when(t.isNull(), F.raise_error(F.lit("review without a time"))).otherwise(t)
-    timed = reviews.withColumn("_t", t).withWatermark("_t", f"{d} seconds")
+    timed = reviews.withColumn("_t", t)
+    if ticks is None:
+        timed = timed.withWatermark("_t", f"{d} seconds")
+    else:
+        tick = ticks.select(F.col("ts").alias("_t"), F.lit(True).alias("_tick"))
+        both = timed.withColumn("_tick", F.lit(False)).unionByName(tick, allowMissingColumns=True)
+        # The condition reads the time, too: otherwise it would be moved below the
+        # watermark and the ticks would not reach it.
+        counts = ~F.col("_tick") | (F.col("_t") < F.timestamp_micros(F.lit(NEVER)))
+        timed = both.withWatermark("_t", f"{d} seconds").where(counts)
     if s <= w:
         timed = timed.withColumn("_window", F.window("_t", f"{w} seconds", f"{s} seconds", offset))
     else:
@@ -171,7 +185,8 @@ def open_summary(spark: SparkSession, checkpoint_path: str, schema: T.StructType
 
 def late_rows(query: StreamingQuery, after_batch: int = -1) -> int:
     """Rows (summed per key and task) that the watermark has dropped in batches
-    after ``after_batch``, as far back as the query keeps its progress."""
+    after ``after_batch``, as far back as the query keeps its progress; ``BatchLedger`` keeps
+    the account of all."""
     return sum(
         op["numRowsDroppedByWatermark"]
         for p in query.recentProgress
@@ -212,7 +227,7 @@ def start_summary_stream(
     if output_path is not None:
         writer = writer.option("path", output_path)
     if retention:
-        writer = writer.option("retention", retention)
+        writer = writer.option("retention", f"{parse_seconds(retention)}s")
     if query_name:
         writer = writer.queryName(query_name)
     if processing_time:
@@ -301,9 +316,9 @@ def read_summary(spark: SparkSession, summary_path: str, schema: T.StructType |
 def run_for(query: StreamingQuery, seconds: float) -> bool:
     """STR8: wait up to ``seconds`` for a live query, then stop it.
 
-    Returns whether it had finished by itself. ``stop`` ends the query after
-    its current trigger; whatever it committed stays committed (checkpoint),
-    so a later start on the same checkpoint picks up the rest.
+    Returns whether it had finished by itself. ``stop`` interrupts a batch that is
+    running; whatever was committed stays committed (checkpoint), and a later
+    start on the same checkpoint runs that batch again and picks up the rest.
     """
     finished = query.awaitTermination(seconds)
     if not finished:
@@ -328,12 +343,14 @@ def windowed_scorecard(
     start: int | str = 0,
     open_windows: bool = True,
     late: str = "count",
+    ledger_path: str | None = None,
 ) -> DataFrame:
     """STR2/STR4 end to end for a backfill: drain the stream (availableNow)
     through stage 1, then return the stage-2 scorecard of its windows.
 
     ``open_windows=False`` scores only those the watermark has closed.
-    ``late="fail"`` fails if the watermark dropped rows (``late_rows``).
+    ``late="fail"`` fails if the watermark dropped rows in any batch; ``ledger_path`` keeps
+    the account of the batches (``BatchLedger``) for the next run on the checkpoint.
 
     ``panes=True`` (sliding windows): stage 1 keeps one state row per
     (pane, category) with panes of ``gcd(duration, slide)`` — ``duration /
@@ -356,13 +373,13 @@ def windowed_scorecard(
     if delay is None:
         delay = HORIZON * s
     summary = summarize_stream(reviews, length, length if use_panes else s, delay, time_col, start)
+    ledger = BatchLedger(reviews.sparkSession, ledger_path)
     query = start_summary_stream(summary, summary_path, checkpoint_path)
-    query.awaitTermination()
+    ledger.follow(query)
     if query.exception() is not None:
         raise RuntimeError(f"stream failed: {query.exception()}")
-    dropped = late_rows(query)
-    if dropped and late == "fail":
-        raise RuntimeError(f"{dropped} rows came later than the horizon of {delay} and were dropped")
+    if late == "fail":
+        ledger.account().check(f"{delay} seconds" if isinstance(delay, int) else delay)
     watermark, last = None, query.lastProgress
     if use_panes and last is not None:
         watermark = last.get("eventTime", {}).get("watermark")

@@ -165,5 +165,99 @@ def test_live_run_writes_while_it_runs(spark, scratch, panes):
     assert "window_start=old" not in os.listdir(out)  # the first report cleared the target
     got = [r.reviews for r in spark.read.json(out).collect()]
     assert len(got) == len(set(os.listdir(out)) - {"_SUCCESS"} - {d for d in os.listdir(out) if d.startswith(".")})
-    # 2-second windows: each file alone, in two windows, but for the last
-    assert sorted(got) == [n for i in range(5, 13) for n in (i, i)]
+    # 2-second windows: each file alone, in two windows; the clock closed the last ones
+    assert sorted(got) == [n for i in range(5, 14) for n in (i, i)]
+
+
+def _window_folders(out):
+    return sorted(d for d in os.listdir(out) if d.startswith("window_start=")) if os.path.isdir(out) else []
+
+
+def _minute_files(folder, minutes, label="m"):
+    """One file of one review for each minute of event time, in order of arrival."""
+    for m in minutes:
+        name = f"{label}{m:03d}.json"
+        _lines(folder, [_review("a", ts=f"2024-01-01T{m // 60:02d}:{m % 60:02d}:30Z")] * 2 + [_review("b", ts=f"2024-01-01T{m // 60:02d}:{m % 60:02d}:30Z")], name)
+        os.utime(os.path.join(folder, name), (1_700_000_000 + m, 1_700_000_000 + m))
+
+
+@pytest.mark.parametrize("retention", [[], ["--retention", "4 minutes"]])
+def test_a_restart_keeps_what_was_published(spark, scratch, retention):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    args = ["stream", src, work, out, "--interval", "60", "--time-col", "ts", "--delay", "1", "--files-per-trigger", "8", *retention]
+    _minute_files(src, range(20))
+    run(spark, args)
+    first = _window_folders(out)
+    assert len(first) == 20
+    stamp = {d: os.path.getmtime(os.path.join(out, d)) for d in first}
+    files = {d: sorted(os.listdir(os.path.join(out, d))) for d in first}
+    # The summaries are lost, as under a retention that has passed; the reports are not.
+    _minute_files(src, range(20, 40))
+    run(spark, args)
+    assert len(_window_folders(out)) == 40
+    # Windows that the first report had closed were not written again.
+    again = [d for d in first if sorted(os.listdir(os.path.join(out, d))) != files[d]]
+    assert len(again) <= 3 and set(again) <= set(first[-3:]), (again, stamp)
+    got = spark.read.json(out)
+    assert got.count() == 40 and {r.reviews for r in got.select("reviews").collect()} == {2}
+    run(spark, args)  # nothing new
+    assert len(_window_folders(out)) == 40
+
+
+def test_a_report_cut_off_is_written_again(spark, scratch, monkeypatch):
+    from plaudit.streaming.reports import ReportLog
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    args = ["stream", src, work, out, "--interval", "60", "--time-col", "ts", "--delay", "1"]
+    _minute_files(src, range(5))
+    run(spark, args)
+    _minute_files(src, range(5, 10))
+    with monkeypatch.context() as m:
+        m.setattr(ReportLog, "commit", lambda *a: (_ for _ in ()).throw(RuntimeError("driver lost")))
+        with pytest.raises(RuntimeError, match="driver lost"):
+            run(spark, args)
+    _minute_files(src, range(10, 12))
+    run(spark, args)
+    got = spark.read.json(out)
+    assert got.count() == 12 and {r.reviews for r in got.select("reviews").collect()} == {2}
+
+
+def test_retention_must_outlast_a_window(spark, scratch):
+    with pytest.raises(ValueError, match="retention"):
+        run(spark, ["windowed", scratch, scratch, scratch, "--interval", "60", "--retention", "4 minutes"])
+
+
+def test_a_quiet_folder_closes_its_last_window(spark, scratch):
+    """Files stop; the window they are in appears, live, within two intervals of its end."""
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    interval, seen, ended = 6, {}, threading.Event()
+
+    def feed():
+        for i in range(4):
+            _lines(src, [_review("a")] * 3 + [_review("b")], f"f{i}.json")
+            time.sleep(3)
+        while not ended.is_set():
+            for d in _window_folders(out):
+                seen.setdefault(d, time.time())
+            time.sleep(0.1)
+
+    feeder = threading.Thread(target=feed)
+    feeder.start()
+    try:
+        run(spark, ["stream", src, work, out, "--interval", str(interval), "--run-seconds", "48"])
+    finally:
+        ended.set()
+        feeder.join()
+    got = spark.read.json(out).collect()
+    assert sum(r.reviews for r in got) == 12  # no review of "a" is missing or counted twice
+    last = max(os.path.getmtime(os.path.join(src, f)) for f in os.listdir(src))
+    end = (last // interval + 1) * interval
+    assert max(seen.values()) - end <= 2 * interval + 2, (seen, end)
+    # No windows, no ticks: they do not go on for ever.
+    assert spark.read.parquet(os.path.join(work, "ticks")).count() <= 12

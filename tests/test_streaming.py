@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plaudit.plans.queries import load_table
+from plaudit.session import session_conf
 from plaudit.sources.adapters import reviews_from_events
 from plaudit.streaming import (
     run_for,
@@ -527,3 +528,85 @@ def test_backfill_in_many_bounded_batches_equals_the_batch_scorecard(spark, scra
                              options={"maxBytesPerTrigger": "1"})
     assert {tuple(r) for r in stream.collect()} == {
         tuple(r) for r in queries.scorecard_sliding(spark, "/root/testdata/sf0.001").collect()}
+
+
+def _one_file_batches(folder, n, late_at):
+    """``n`` files of one review, a minute of event time apart; one more of them is hours late."""
+    for i in range(n):
+        ts = datetime.datetime(2024, 1, 1) + datetime.timedelta(minutes=i)
+        if i == late_at:
+            ts -= datetime.timedelta(hours=5)
+        with open(os.path.join(folder, f"f{i:04d}.json"), "w") as fh:
+            fh.write(json.dumps({"cuisine": "a", "evaluation": "positive", "points": 1, "ts": ts.isoformat() + "Z"}) + "\n")
+        os.utime(os.path.join(folder, f"f{i:04d}.json"), (1_700_000_000 + i, 1_700_000_000 + i))
+
+
+def test_a_late_row_of_an_early_batch_is_not_forgotten(spark, scratch):
+    """More batches than the query keeps the progress of: 150, the late row in the sixth."""
+    from plaudit.streaming import BatchLedger, start_summary_stream, summarize_stream
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _one_file_batches(src, 150, 5)
+    path = lambda name: os.path.join(scratch, name)
+    kept = {"spark.sql.streaming.numRecentProgressUpdates": "20", "spark.sql.shuffle.partitions": "1"}
+    with session_conf(spark, kept):
+        reviews = stream_reviews(spark, src, max_files_per_trigger=1)
+        summary = summarize_stream(reviews, 60, delay=60)
+        query = start_summary_stream(summary, path("out"), path("checkpoint"))
+        ledger = BatchLedger(spark, path("ledger"), every=1.0)
+        assert ledger.follow(query)
+    found = ledger.account()
+    assert len(query.recentProgress) <= 20
+    assert (found.rows_read, found.rows_dropped, found.batches_missing) == (150, 1, 0)
+    with pytest.raises(RuntimeError, match="late rows"):
+        found.check("60 seconds")
+    # The next run goes on with the account, and finds a batch that no run has taken.
+    again = BatchLedger(spark, path("ledger"))
+    assert again.account() == found
+    _one_file_batches(src, 153, None)
+    again.last -= 2
+    again.follow(start_summary_stream(summary, path("out"), path("checkpoint")))
+    assert again.account().batches_missing > 0
+    with pytest.raises(RuntimeError, match="late rows"):
+        again.account().check("60 seconds")
+
+
+def test_a_missing_batch_fails_a_strict_run():
+    from plaudit.streaming import Account
+
+    Account(10, 100, 0, 0).check("a minute")
+    with pytest.raises(RuntimeError, match="2 batches are not accounted for"):
+        Account(10, 100, 0, 2).check("a minute")
+
+
+def test_strict_backfill_of_many_batches(spark, scratch):
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _one_file_batches(src, 30, 5)
+    path = lambda name: os.path.join(scratch, name)
+    few = {"spark.sql.streaming.numRecentProgressUpdates": "5", "spark.sql.shuffle.partitions": "1"}
+    with session_conf(spark, few), pytest.raises(RuntimeError, match="late rows"):
+        windowed_scorecard(
+            stream_reviews(spark, src, max_files_per_trigger=1), path("out"), path("checkpoint"), 60, delay=60, late="fail"
+        )
+
+
+def test_ticks_move_the_watermark_and_count_nowhere(spark, scratch):
+    from plaudit.streaming import ArrivalClock, start_summary_stream, summarize_stream
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _one_file_batches(src, 3, None)
+    path = lambda name: os.path.join(scratch, name)
+    clock = ArrivalClock(spark, path("ticks"))
+    summary = summarize_stream(stream_reviews(spark, src), 60, delay=60, ticks=clock.ticks())
+
+    def drained():
+        start_summary_stream(summary, path("out"), path("checkpoint")).awaitTermination()
+        return spark.read.schema(summary.schema).parquet(path("out")).agg(F.sum("reviews")).first()[0]
+
+    assert drained() == 1  # the newest file's time less the delay closes the first minute
+    clock._write(datetime.datetime(2024, 1, 1, 1, tzinfo=datetime.timezone.utc))
+    assert drained() == 3
+    assert ArrivalClock(spark, path("ticks")).last == clock.last

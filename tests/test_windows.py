@@ -84,8 +84,11 @@ def test_parse_seconds():
     assert parse_seconds("4 days") == 345600
     assert parse_seconds("90 minutes") == 5400
     assert parse_seconds(7) == 7
-    with pytest.raises(ValueError):
-        parse_seconds("3 fortnights")
+    assert parse_seconds("7d") == parse_seconds("7 days") == parse_seconds("1 week") == 604800
+    assert parse_seconds("15 s") == parse_seconds("15 Seconds") == 15 and parse_seconds("2h") == 7200
+    for wrong in ("3 fortnights", "days", "3", "-1 day", "1.5 days"):
+        with pytest.raises(ValueError):
+            parse_seconds(wrong)
 
 
 def test_ntz_conversions_ignore_the_session_time_zone(spark):
