@@ -38,6 +38,7 @@ from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.json_reviews import read_reviews
 from plaudit.streaming.clock import IDLE_CONF, ArrivalClock
 from plaudit.streaming.ledger import BatchLedger
+from plaudit.streaming.recover import manifest_of, start_or_recover
 from plaudit.streaming.reports import ReportLog
 from plaudit.streaming.windowed import (
     ARRIVAL,
@@ -146,21 +147,29 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
     live = f"{int(trigger * 1000)} milliseconds" if is_live else None
     if opts.lenient:
         reviews, rejects = reviews
-        queries.append(
-            start_summary_stream(
-                rejects, f"{work}/rejects", f"{work}/checkpoint-rejects", live is None, live, fmt="json"
-            )
-        )
     clock = ArrivalClock(spark, f"{work}/ticks") if by_arrival else None
     summary = summarize_stream(
         reviews, length, length if panes else slide, delay, start=opts.start, ticks=clock.ticks() if clock else None
     )
     ledger = BatchLedger(spark, f"{work}/ledger")
+    manifest = manifest_of(
+        summary, source=opts.source.rstrip("/"), time=opts.time_col, window=window, slide=slide, panes=panes,
+        start=opts.start % slide, horizon=delay,
+    )
     with session_conf(spark, IDLE_CONF):
-        query = start_summary_stream(
-            summary, f"{work}/summaries", f"{work}/checkpoint", live is None, live,
-            files_per_batch=opts.files_per_batch, retention=opts.retention,
+        query = start_or_recover(
+            spark, f"plaudit {work}", f"{work}/manifest", manifest,
+            lambda name: start_summary_stream(
+                summary, f"{work}/summaries", f"{work}/checkpoint", live is None, live, name,
+                files_per_batch=opts.files_per_batch, retention=opts.retention,
+            ),
         )
+    if opts.lenient:
+        queries.append(
+            start_summary_stream(
+                rejects, f"{work}/rejects", f"{work}/checkpoint-rejects", live is None, live, fmt="json"
+            )
+        )
     report = Report(spark, opts, work, summary.schema, (window, slide, opts.start) if panes else None)
     if live is None:
         ledger.follow(query)

@@ -12,6 +12,7 @@ from plaudit.plans.queries import (
     BRANDS_MAX_PCT,
     DAY_MAX_PCT,
     EVENTS_MAX_PCT,
+    FINE_SLIDE,
     SAMPLE_EVERY,
     SAMPLE_LENGTH,
     SLIDE,
@@ -225,6 +226,7 @@ SELECT category, reviews, negatives, points, pct_negative, avg_points FROM score
     "scorecard_per_day": _day_scorecard(DAY_MAX_PCT),
     "scorecard_tumbling": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT),
     "scorecard_sliding": _windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT),
+    "scorecard_sliding_fine": _windowed_scorecard(WINDOW, FINE_SLIDE, EVENTS_MAX_PCT),
     "scorecard_sampling": _windowed_scorecard(SAMPLE_LENGTH, SAMPLE_EVERY, EVENTS_MAX_PCT),
     "scorecard_from_json": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
     "scorecard_from_json_lenient": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
@@ -235,6 +237,9 @@ SELECT category, reviews, negatives, points, pct_negative, avg_points FROM score
     "stream_sampling": _windowed_scorecard(SAMPLE_LENGTH, SAMPLE_EVERY, EVENTS_MAX_PCT),
     "stream_offset": _windowed_scorecard(WINDOW, WINDOW, EVENTS_MAX_PCT, WINDOW_START),
     "stream_json_arrival": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "avg_points"),
+    "stream_json_arrival_days": _windowed_scorecard(86400, 86400, DAY_MAX_PCT),
+    "stream_totals_joined": f"SELECT * EXCLUDE (rank) FROM ({_windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT)})",
+    "scorecard_maintained": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
     "volume_rule_gt": _scorecard(NATION_SUMMARY, "summary", "", 10.0, "gt", "avg_points"),
     "volume_rule_ge": _scorecard(NATION_SUMMARY, "summary", "", 10.0, "ge", "avg_points"),
     "written_json": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),

@@ -7,6 +7,7 @@ A2 = ``lineitem`` ⋈ ``part`` summarised per brand.
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -28,7 +29,18 @@ from plaudit.sources.adapters import (
 )
 from plaudit.sources.json_reviews import parse_json_column, read_reviews
 from plaudit.sources.tables import load_table, stream_table
-from plaudit.streaming.windowed import ARRIVAL, HORIZON, stream_reviews, windowed_scorecard
+from plaudit.streaming.clock import ArrivalClock
+from plaudit.streaming.ledger import BatchLedger
+from plaudit.streaming.maintained import read_maintained, update_summary
+from plaudit.streaming.totals import scored_stream
+from plaudit.streaming.windowed import (
+    ARRIVAL,
+    HORIZON,
+    read_summary,
+    start_summary_stream,
+    stream_reviews,
+    windowed_scorecard,
+)
 
 # Parameters of the driver queries (shared with the SQL oracle).
 EVENTS_MAX_PCT = 20.0  # A1: share of error events allowed, in percent
@@ -41,6 +53,7 @@ SAMPLE_LENGTH = 86400
 WINDOW_START = 86400 + 6 * 3600  # offset of the shifted windows
 STREAM_HORIZON = HORIZON  # how many slides a streamed row may be late
 STREAM_OPTIONS = {"maxBytesPerTrigger": str(256 << 30)}  # bytes of a stream batch
+FINE_SLIDE = 6 * 3600  # sliding every 6 hours: 16 windows hold a review
 CENTURY = 100 * 365 * 86400
 
 
@@ -207,6 +220,11 @@ def scorecard_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _windowed(spark, sf_dir, WINDOW, SLIDE)
 
 
+def scorecard_sliding_fine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR3 with many slides: 4-day windows sliding by 6 hours, from running sums."""
+    return _windowed(spark, sf_dir, WINDOW, FINE_SLIDE)
+
+
 def scorecard_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """STR3 with slide > length: the first day of every second day."""
     return _windowed(spark, sf_dir, SAMPLE_LENGTH, SAMPLE_EVERY)
@@ -332,6 +350,72 @@ def stream_json_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
     return card.drop("window_start", "window_end")
 
 
+def stream_json_arrival_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR2/SRC3: A1 as JSON lines whose files arrived on the day of their events,
+    each arrival interval of a day scored alone."""
+    events = load_table(spark, sf_dir, "events")
+    path = scratch_path(spark, "arrivals-json")
+    events.select(
+        F.col("user_id").cast("string").alias("cuisine"),
+        event_evaluation(F.col("event_type")).alias("evaluation"),
+        F.col("value").cast("bigint").alias("points"),
+        F.to_date("ts").alias("day"),
+    ).write.partitionBy("day").json(path)
+    _set_arrival_by_day(spark, path)
+    reviews = stream_reviews(spark, path, time=ARRIVAL, options=STREAM_OPTIONS)
+    with session_conf(spark, LARGE_STATE_CONF):
+        card = windowed_scorecard(
+            reviews, scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint"), 86400,
+            max_pct_negative=DAY_MAX_PCT, late="fail",
+        )
+    return card.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("window_start", "window_end")})
+
+
+def _set_arrival_by_day(spark: SparkSession, path: str) -> None:
+    """Noon of the folder's day as the modification time of each file below ``path``."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = fs.listFiles(folder, True)
+    while files.hasNext():
+        file = files.next().getPath()
+        day = file.getParent().getName()
+        if day.startswith("day="):
+            noon = datetime.datetime.fromisoformat(f"{day.removeprefix('day=')}T12:00:00+00:00")
+            fs.setTimes(file, int(noon.timestamp() * 1000), -1)
+
+
+def stream_totals_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JON1/JON2/FLT3 in the stream: sliding windows with their totals joined and
+    the filters applied before the sink. A tick after the last event closes all windows."""
+    clock = ArrivalClock(spark, scratch_path(spark, "ticks"))
+    events = reviews_from_events(stream_table(spark, sf_dir, "events", STREAM_OPTIONS))
+    out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
+    with session_conf(spark, LARGE_STATE_CONF):
+        kept = scored_stream(
+            events, WINDOW, SLIDE, STREAM_HORIZON * SLIDE, EVENTS_MAX_PCT, ticks=clock.ticks()
+        )
+        ledger = BatchLedger(spark)
+        ledger.follow(start_summary_stream(kept, out, checkpoint))
+        clock.close()
+        ledger.follow(start_summary_stream(kept, out, checkpoint))
+    ledger.account().check(f"{STREAM_HORIZON} slides")
+    return read_summary(spark, out, kept.schema)
+
+
+def scorecard_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG1/Q1 kept up to date: the first run reads the table, the second one finds
+    nothing new in it, and both score the stored summary."""
+    events = reviews_from_events(stream_table(spark, sf_dir, "events", STREAM_OPTIONS))
+    checkpoint = scratch_path(spark, "maintained")
+    with session_conf(spark, LARGE_STATE_CONF):
+        update_summary(events, checkpoint)
+        if update_summary(events, checkpoint).rows_read:
+            raise RuntimeError("the second run read files again")
+    summary = read_maintained(spark, checkpoint)
+    return score_summary(summary, max_pct_negative=EVENTS_MAX_PCT, order_by="points")
+
+
 # -- rules, sinks, rejects ----------------------------------------------------
 
 
@@ -414,6 +498,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scorecard_per_day": scorecard_per_day,
     "scorecard_tumbling": scorecard_tumbling,
     "scorecard_sliding": scorecard_sliding,
+    "scorecard_sliding_fine": scorecard_sliding_fine,
     "scorecard_sampling": scorecard_sampling,
     "scorecard_from_json": scorecard_from_json,
     "scorecard_from_json_lenient": scorecard_from_json_lenient,
@@ -424,6 +509,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_sampling": stream_sampling,
     "stream_offset": stream_offset,
     "stream_json_arrival": stream_json_arrival,
+    "stream_json_arrival_days": stream_json_arrival_days,
+    "stream_totals_joined": stream_totals_joined,
+    "scorecard_maintained": scorecard_maintained,
     "volume_rule_gt": volume_rule_gt,
     "volume_rule_ge": volume_rule_ge,
     "written_json": written_json,

@@ -30,6 +30,18 @@ from plaudit.schema import REVIEW_JSON_SCHEMA
 
 MODES = ("strict", "lenient")
 CORRUPT = "_corrupt_record"
+# Where a rejected line came from: its file, the part of it that the task read, and the file's time.
+ORIGIN = {
+    "file": "file_path",
+    "block_start": "file_block_start",
+    "block_length": "file_block_length",
+    "modified": "file_modification_time",
+}
+
+
+def with_origin(raw: DataFrame) -> DataFrame:
+    """Rows read from files with the ``ORIGIN`` columns; ones that nothing reads cost nothing."""
+    return raw.withColumns({name: F.col(f"_metadata.{field}") for name, field in ORIGIN.items()})
 
 
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
@@ -96,7 +108,7 @@ def read_reviews(
     """Reviews ``(category, evaluation, points, ts)`` from JSON lines.
 
     ``strict`` returns the reviews; ``lenient`` returns ``(reviews, rejects)``
-    where ``rejects`` has the raw line (or parsed fields) and a ``reason``.
+    where ``rejects`` has the raw line (or parsed fields), a ``reason`` and the line's ``ORIGIN``.
     ``rejected`` (lenient) counts the rejected rows as ``rejected.get["rejected"]``
     while the reviews are consumed, so a caller can skip a second scan for
     the rejects when there are none.
@@ -113,13 +125,16 @@ def read_reviews(
         .option("columnNameOfCorruptRecord", CORRUPT)
         .json(path)
     )
-    return split_lenient(raw, rejected, needs_time)
+    return split_lenient(with_origin(raw), rejected, needs_time)
 
 
 def split_lenient(
     raw: DataFrame, rejected: Observation | None = None, needs_time: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Parsed rows with a ``_corrupt_record`` column → ``(reviews, rejects)``."""
+    """Parsed rows with a ``_corrupt_record`` column → ``(reviews, rejects)``.
+
+    Rows ``with_origin`` keep it in the rejects.
+    """
     points = lenient_points("points")
     reason = _reject_reason(raw, points, needs_time)
     tagged = raw.withColumn("_points", points).withColumn("reason", reason)
@@ -132,8 +147,9 @@ def split_lenient(
         _time(raw).alias("ts"),
     )
     rejects = tagged.where(F.col("reason").isNotNull()).select(
-        F.col(CORRUPT).alias("line"), "cuisine", "evaluation", "points", "ts", "reason"
-    )
+        F.col(CORRUPT).alias("line"), "cuisine", "evaluation", "points", "ts", "reason",
+        *[c for c in ORIGIN if c in raw.columns],
+    )
     return good, rejects
 
 

@@ -28,6 +28,8 @@ IDLE_CONF = {"spark.sql.streaming.noDataProgressEventInterval": "0"}
 SCHEMA = "ts TIMESTAMP"
 # Moves no watermark.
 FIRST = datetime.datetime(1970, 1, 1, tzinfo=datetime.timezone.utc)
+# Closes all windows.
+LAST = datetime.datetime(9000, 1, 1, tzinfo=datetime.timezone.utc)
 
 
 def idle_since(progress: dict | None) -> datetime.datetime | None:
@@ -60,6 +62,11 @@ class ArrivalClock:
     def ticks(self) -> DataFrame:
         return self.spark.readStream.schema(SCHEMA).parquet(self.path)
 
+    def close(self) -> None:
+        """A last tick, later than any review: the next batch closes every window, and reviews
+        that come after it are late. For streams that have ended."""
+        self._write(LAST)
+
     def advance(self, query: StreamingQuery) -> bool:
         """Write a tick if the query's last trigger was idle and windows are open."""
         progress = query.lastProgress

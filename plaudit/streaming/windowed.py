@@ -43,7 +43,14 @@ from plaudit.operators.scorecard import score_summary
 from plaudit.operators.summarize import summarize
 from plaudit.operators.windows import WINDOW_COLUMNS, pane_seconds, parse_seconds, windows_from_panes
 from plaudit.schema import REVIEW_JSON_SCHEMA
-from plaudit.sources.json_reviews import CORRUPT, split_lenient, strict_rows, times_as_text, with_corrupt_column
+from plaudit.sources.json_reviews import (
+    CORRUPT,
+    split_lenient,
+    strict_rows,
+    times_as_text,
+    with_corrupt_column,
+    with_origin,
+)
 from plaudit.streaming.ledger import BatchLedger
 
 ARRIVAL = "arrival"
@@ -94,6 +101,8 @@ def stream_reviews(
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     raw = reader.json(path)
+    if mode == "lenient":
+        raw = with_origin(raw)
     if time == ARRIVAL:
         raw = raw.withColumn("ts", F.col("_metadata.file_modification_time"))
     elif time != "ts":
@@ -121,6 +130,21 @@ def summarize_stream(
     ``slide > duration`` keeps the first ``duration`` of every
     ``slide`` (sampling windows).
     """
+    timed, w, ntz = windowed_reviews(reviews, duration, slide, delay, time_col, start, ticks)
+    return window_rows(summarize(timed, scope=["_window"]), w, ntz)
+
+
+def windowed_reviews(
+    reviews: DataFrame,
+    duration: int | str,
+    slide: int | str | None = None,
+    delay: int | str | None = None,
+    time_col: str = "ts",
+    start: int | str = 0,
+    ticks: DataFrame | None = None,
+) -> tuple[DataFrame, int, bool]:
+    """The reviews with their ``_window`` and a watermark, the window's length in seconds
+    and whether their time is TIMESTAMP_NTZ."""
     w = parse_seconds(duration)
     s = parse_seconds(slide) if slide is not None else w
     d = parse_seconds(delay) if delay is not None else HORIZON * s
@@ -144,11 +168,11 @@ def summarize_stream(
         timed = timed.withColumn("_window", F.window("_t", f"{s} seconds", startTime=offset)).where(
             F.col("_t") < F.col("_window.start") + F.expr(f"INTERVAL {w} SECONDS")
         )
-    return _window_rows(summarize(timed, scope=["_window"]), w, ntz)
+    return timed, w, ntz
 
 
-def _window_rows(grouped: DataFrame, w: int, ntz: bool) -> DataFrame:
-    """Grouped rows with the bounds of their ``_window``."""
+def window_rows(grouped: DataFrame, w: int, ntz: bool, *more: str) -> DataFrame:
+    """Grouped rows with the bounds of their ``_window`` and the columns ``more``."""
     begin = F.col("_window.start")
     end = begin + F.expr(f"INTERVAL {w} SECONDS")
     if ntz:
@@ -160,6 +184,7 @@ def _window_rows(grouped: DataFrame, w: int, ntz: bool) -> DataFrame:
         "reviews",
         "negatives",
         "points",
+        *more,
     )
 
 
@@ -180,7 +205,7 @@ def open_summary(spark: SparkSession, checkpoint_path: str, schema: T.StructType
     # The buffers of ``summarize``'s three aggregates, by position.
     measures = F.col("value").cast("struct<reviews:bigint,negatives:bigint,points:bigint>")
     rows = state.select("key.*", measures.alias("m")).select("_window", "category", "m.*")
-    return _window_rows(rows, parse_seconds(duration), ntz)
+    return window_rows(rows, parse_seconds(duration), ntz)
 
 
 def late_rows(query: StreamingQuery, after_batch: int = -1) -> int:

@@ -63,7 +63,8 @@ def test_lenient_batch_writes_rejects_only_when_there_are_some(spark, scratch):
         fh.write("{broken\n")
     out = os.path.join(scratch, "out")
     run(spark, ["batch", src, out, "--lenient"])
-    assert [r.reason for r in spark.read.json(os.path.join(out, "_rejects")).collect()] == ["malformed"]
+    (reject,) = spark.read.json(os.path.join(out, "_rejects")).collect()
+    assert reject.reason == "malformed" and reject.line == "{broken" and reject.file.endswith("/in/part-1.json")
     assert [r.category for r in spark.read.json(out).collect()] == ["Donuts"]
 
 
@@ -121,6 +122,7 @@ def test_start_offset_and_lenient_stream(spark, scratch, capsys):
     assert got == [2, 2, 4]  # windows begin at odd minutes
     rejects = spark.read.json(os.path.join(work, "rejects"))
     assert sorted(r.reason for r in rejects.collect()) == ["bad points", "bad time", "bad time"]
+    assert all(r.file.endswith("/in/part-0.json") and r.block_start == 0 and r.modified for r in rejects.collect())
     with pytest.raises(Exception):
         run(spark, ["windowed", src, work + "2", out + "2", "--interval", "60", "--time-col", "ts"])
 
@@ -261,3 +263,26 @@ def test_a_quiet_folder_closes_its_last_window(spark, scratch):
     assert max(seen.values()) - end <= 2 * interval + 2, (seen, end)
     # No windows, no ticks: they do not go on for ever.
     assert spark.read.parquet(os.path.join(work, "ticks")).count() <= 12
+
+
+def test_another_window_on_the_same_work_folder_fails(spark, scratch):
+    from plaudit.streaming import ManifestMismatch
+
+    src = os.path.join(scratch, "in")
+    os.makedirs(src)
+    _minute_files(src, range(4))
+    work, out = os.path.join(scratch, "work"), os.path.join(scratch, "out")
+    args = ["windowed", src, work, out, "--interval", "60", "--time-col", "ts", "--slide", "2"]
+    run(spark, [*args, "--window", "2"])
+    before = _window_folders(out)
+    for other, named in (
+        (["--window", "4"], "window: '120' there, '240' now"), (["--window", "2", "--start", "30"], "start: '0' there"),
+        (["--window", "4", "--panes", "--lenient"], "panes"),
+    ):
+        with pytest.raises(ManifestMismatch, match=named):
+            run(spark, [*args, *other])
+    assert _window_folders(out) == before
+    assert not os.path.exists(os.path.join(work, "rejects"))  # nothing was started
+    _minute_files(src, range(4, 6))
+    run(spark, [*args, "--window", "2", "--delay", "3"])  # the horizon may change
+    assert len(_window_folders(out)) == 3

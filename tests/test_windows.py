@@ -8,8 +8,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from plaudit.operators import summarize, summarize_windows, with_day
-from plaudit.operators.windows import parse_seconds
+from plaudit.operators import summarize, summarize_windows, windows, with_day
+from plaudit.operators.windows import pane_seconds, parse_seconds, windows_from_panes
 
 BASE = datetime.datetime(2024, 3, 1, 5, 17, 0)
 
@@ -65,6 +65,48 @@ def test_panes_equal_spark_windows(spark, w, s, start, ntz):
     assert mine == _brute(df, w, s, start)
 
 
+@pytest.mark.parametrize(
+    "w,s,start",
+    [
+        (4 * 86400, 86400, 0),
+        (6 * 3600, 4 * 3600, 3 * 3600),  # panes shorter than the slide
+        (86400, 2 * 86400, 0),  # sampling: some panes are in no window
+        (10 * 86400, 3600, 1800),  # 240 windows hold a pane
+    ],
+)
+@pytest.mark.parametrize("ntz", [True, False])
+def test_running_sums_equal_spark_windows(spark, w, s, start, ntz, monkeypatch):
+    monkeypatch.setattr(windows, "CHUNK_SLIDES", 7)  # many chunks, also empty ones between
+    df = _reviews(spark, n=60, ntz=ntz).union(_reviews(spark, n=3, seed=8, ntz=ntz).withColumn("category", F.lit(None)))
+    pane = pane_seconds(w, s)
+    panes = summarize(
+        df.where("ts is not null").withColumn(
+            "pane_start", F.window("ts", f"{pane} seconds", startTime=f"{start % pane} seconds").getField("start")
+        ),
+        ["pane_start"],
+    )
+    found = windows_from_panes(panes, w, s, start, method="sums")
+    assert found.dtypes == windows_from_panes(panes, w, s, start, method="expand").dtypes
+    rows = found.collect()
+    assert len({(r.window_start, r.category) for r in rows}) == len(rows)
+    assert {(r.window_start, r.category, r.reviews, r.negatives, r.points) for r in rows} == _brute(df, w, s, start)
+
+
+def test_windows_of_many_slides_write_out_results_only(spark):
+    """30 days by the minute: 43,200 windows hold each pane, and nothing else is expanded."""
+    day = datetime.datetime(2024, 1, 1)
+    rows = [("a", "positive", 2, day + datetime.timedelta(seconds=7 * i)) for i in range(200)]
+    df = spark.createDataFrame(rows, "category STRING, evaluation STRING, points BIGINT, ts TIMESTAMP_NTZ")
+    got = summarize_windows(df, "ts", "30 days", "1 minute")
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate") == 3  # two changes a pane, for rows and chunks, and the results
+    n = got.agg(F.count(F.lit(1)), F.max("reviews"), F.min("reviews"), F.sum("points")).first()
+    # The panes lie in 24 minutes: each of them starts 43,200 windows.
+    assert n[0] == 43_200 + 23 and n[1] == 200 and n[2] >= 1 and n[3] == 200 * 2 * 43_200
+    with pytest.raises(ValueError, match="method"):
+        windows_from_panes(df, 60, method="guess")
+
+
 def test_a_review_without_a_time_fails_by_default(spark):
     with pytest.raises(Exception, match="review without a time"):
         summarize_windows(_reviews(spark, n=5), "ts", "1 day").collect()
