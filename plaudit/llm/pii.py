@@ -324,7 +324,10 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     Only texts with base spans meet the table of disclosing terms; the others stay
     as they are, without a shuffle.
     """
-    terms = _term_spans(docs, _scanned(docs, key, text), key, text)
+    # Named apart from whatever columns the documents have.
+    terms = _term_spans(docs, _scanned(docs, key, text), key, text).select(
+        "__key", "__body", F.col("terms").alias("__terms"), F.col("gone").alias("__without")
+    )
     rows = with_base_spans(docs, text, "__base")
     # Filters on a column that is not deterministic are not moved under the spans,
     # which would search the texts again for every span.
@@ -334,8 +337,8 @@ def sanitise(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     met = (
         rows.where((F.size("__base") > 0) & (F.col("__row") >= 0))
         .join(small(terms, terms.count(), TEXTS), F.col(key).eqNullSafe(F.col("__key")) & (F.xxhash64(text) == F.col("__body")), "left")
-        .withColumn("__spans", F.array_sort(F.concat("__base", F.coalesce("terms", none))))
-        .withColumn("__gone", F.coalesce("gone", F.array().cast("array<int>")))
+        .withColumn("__spans", F.array_sort(F.concat("__base", F.coalesce("__terms", none))))
+        .withColumn("__gone", F.coalesce("__without", F.array().cast("array<int>")))
     )
     new = _masked(F.col(text), F.col("__spans"), F.col("__gone"))
     return plain.union(met.withColumn(text, new).select(*docs.columns))

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 # Names that the operators use inside, as the input's own columns.
 CLASHES = ("size", "shard", "slot", "h", "sig", "id", "task", "n", "body", "base", "near", "uid", "bit", "score", "target",
-           "source_size", "taken_copies", "piece", "start", "length", "label", "rank", "v", "spans", "__id")
+           "source_size", "taken_copies", "piece", "start", "length", "label", "rank", "v", "spans", "__id", "terms", "gone", "words", "lines", "hashes", "failed", "term", "ordinal", "total", "block", "at",
+           "pair", "key")
 
 
 def prose(seed, words=120, vocabulary=400):

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline as pipeline
 from plaudit.llm.quality import classify_quality
 from tests.conftest import SF_SMALL
-from tests.llm.cases import empty_documents
+from tests.llm.cases import DOCUMENTS, edge_documents, empty_documents, prose
 from tests.llm.test_jaccard import brute
 from tests.llm.test_pii import base
 
@@ -73,6 +73,22 @@ def test_repeated_rows_and_nulls(spark):
     assert sorted(str(r.doc_id) for r in kept) == ["1", "2", "None"]
 
 
+def test_unlike_texts_under_one_id_stay(spark):
+    a, b, c, d = (prose(i, 40) for i in range(4))
+    rows = [(1, a), (7, a), (7, b), (8, c), (8, d), (8, d), (9, ""), (9, ""), (9, None), (None, d), (None, prose(9, 40))]
+    docs = spark.createDataFrame([(i, t, "en", "x", None) for i, t in rows], DOCUMENTS)
+    kept = [(r.doc_id, r.text) for r in pipeline.drop_near_copies(spark, docs, SF_SMALL).collect()]
+    want = [(1, a), (7, b), (8, c), (8, d), (9, ""), (9, None), (None, prose(9, 40))]
+    assert sorted(map(repr, kept)) == sorted(map(repr, want))
+
+
+def test_masking_with_clashing_columns(spark):
+    docs = edge_documents(spark)
+    masked = pipeline.hide_personal_data(spark, docs, SF_SMALL)
+    assert masked.columns == docs.columns and masked.count() == docs.count()
+    assert not any(base(r.text or "") for r in masked.collect())
+
+
 def test_empty_table(spark):
     docs = empty_documents(spark)
     for _, stage in pipeline.STAGES[1:]:
