@@ -21,6 +21,7 @@ from plaudit.llm.mixing import mix, word_count
 from plaudit.llm.packing import pack_documents
 from plaudit.llm.pii import sanitise
 from plaudit.llm.quality import fit_quality, quality_score
+from plaudit.operators.rank import ordinal_rank
 from plaudit.session import ensure_checkpoint_dir, scratch_path
 
 QUALITY_THRESHOLD = 0.3
@@ -33,27 +34,29 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each Jaccard class: the one with the smallest id."""
-    classes = cut(jaccard_classes(docs))
-    gone = cut(
-        classes.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
-    )
-    kept = docs.join(small(gone, gone.count()), F.col("doc_id") == F.col("__gone"), "left_anti")
-    return _first_of_repeated_rows(kept)
+    """One row of each Jaccard class: the one with the smallest id.
 
-
-def _first_of_repeated_rows(docs: DataFrame) -> DataFrame:
-    """Rows that repeat an id are copies of one document; one stays.
-
-    Only ids are counted; texts of ids that occur once are not moved.
+    Classes are of rows. Where ids are null or occur twice, rows are numbered in the order of their
+    ids, so that unlike texts under one id are judged each on its own; rows that repeat
+    an id and a text without words (which link with nothing) stay once.
     """
-    again = cut(docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 and doc_id is not null"))
+    again = docs.groupBy("doc_id").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1 or doc_id is null")
     if again.isEmpty():
-        return docs
-    ids = small(again.select(F.col("doc_id").alias("__id")), again.count())
-    more = docs.join(ids, F.col("doc_id") == F.col("__id"), "left_semi")
-    once = docs.join(ids, F.col("doc_id") == F.col("__id"), "left_anti")
-    return once.unionByName(more.dropDuplicates(["doc_id"]))
+        return _one_of_each_class(docs)
+    # Identical rows may swap their numbers: either of them stays.
+    order = [F.col("doc_id").asc_nulls_last(), F.xxhash64("text").asc_nulls_first()]
+    numbered = ordinal_rank(docs, order, name="__number")
+    kept = _one_of_each_class(numbered, "__number")
+    wordless = F.coalesce(word_count(F.col("text")) == 0, F.lit(True))
+    once = kept.where(wordless).dropDuplicates(["doc_id", "text"])
+    return kept.where(~wordless).unionByName(once).drop("__number")
+
+
+def _one_of_each_class(docs: DataFrame, key: str = "doc_id") -> DataFrame:
+    classes = cut(jaccard_classes(docs, key))
+    id_column = classes.columns[0]
+    gone = cut(classes.where(F.col(id_column) != F.col("component_id")).select(F.col(id_column).alias("__gone")).distinct())
+    return docs.join(small(gone, gone.count()), F.col(key) == F.col("__gone"), "left_anti")
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
