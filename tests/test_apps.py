@@ -195,7 +195,6 @@ def test_a_restart_keeps_what_was_published(spark, scratch, retention):
     assert len(first) == 20
     stamp = {d: os.path.getmtime(os.path.join(out, d)) for d in first}
     files = {d: sorted(os.listdir(os.path.join(out, d))) for d in first}
-    # The summaries are lost, as under a retention that has passed; the reports are not.
     _minute_files(src, range(20, 40))
     run(spark, args)
     assert len(_window_folders(out)) == 40
