@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plaudit.llm.alignment import align_documents
 from plaudit.llm.common import table
 from plaudit.llm.divergence import LEAST_DOCUMENTS, TERMS, UNIT, audit
-from plaudit.llm.jaccard import jaccard_classes
+from plaudit.llm.jaccard import PERCENT, SHINGLE_WORDS, jaccard_classes
 from plaudit.llm.lattice import near_vectors
 from plaudit.llm.mixing import mix_report
 from plaudit.llm.mtree import top_inner_products
@@ -149,7 +149,75 @@ FROM f
 """
 
 
+# All rows a row reaches over the links ``e(x, y)``.
+REACHED = "r AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)"
+
 ORACLE_SQL: dict[str, str] = {
+    "op2_e8_near_vectors": f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+), u AS (
+  SELECT * FROM d
+  WHERE len(list_filter(v, lambda x: x IS NOT NULL AND isfinite(x))) = len(v) AND list_sum(list_transform(v, lambda x: abs(x))) > 0
+), e AS (
+  SELECT a.rid AS x, b.rid AS y FROM u a JOIN u b ON a.rid <> b.rid
+  WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.9 ELSE false END
+), {REACHED}, m AS (
+  SELECT x, min(vec_id) AS low FROM r JOIN d ON d.rid = r.y GROUP BY x
+), c AS (
+  SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, least(vec_id, low) AS component_id
+  FROM d LEFT JOIN (SELECT x, count(*) AS n FROM e GROUP BY x) l ON l.x = d.rid LEFT JOIN m ON m.x = d.rid
+)
+SELECT vec_id, n_links, component_id, vec_id = component_id AS kept FROM c
+""",
+    "op4_suffix_grouping_dedup": """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), c AS (
+  SELECT rid, doc_id, o, substring(h, 2 * o + 1, 2 * 305) AS part
+  FROM (SELECT *, unnest(generate_series(0, length(h) // 2 - 50, 256)) AS o FROM d WHERE length(h) >= 100)
+), w AS (
+  SELECT rid, doc_id, o + j AS i, substring(part, 2 * j + 1, 100) AS g
+  FROM (SELECT *, unnest(generate_series(0, length(part) // 2 - 50)) AS j FROM c)
+), b AS (
+  SELECT rid, i FROM (SELECT rid, doc_id, i, min(doc_id) OVER (PARTITION BY g) AS low FROM w) WHERE low < doc_id
+), f AS (
+  SELECT rid, i, i > coalesce(lag(i) OVER (PARTITION BY rid ORDER BY i) + 50, -1) AS opens FROM b
+), s AS (
+  SELECT rid, min(i) AS low, max(i) + 50 AS high
+  FROM (SELECT rid, i, sum(opens::INT) OVER (PARTITION BY rid ORDER BY i) AS span FROM f) GROUP BY rid, span
+), k AS (
+  SELECT rid, low, high, coalesce(lag(high) OVER (PARTITION BY rid ORDER BY low), 0) AS before FROM s
+), t AS (
+  SELECT rid, sum(high - low) AS n_removed, count(*) AS n_spans, max(high) AS after,
+    string_agg(substring(h, 2 * before + 1, 2 * (low - before)), '' ORDER BY low) AS kept
+  FROM k JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, '') || substring(h, 2 * coalesce(after, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN t USING (rid)
+""",
+    "op8_jaccard_metric_join": f"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'
+  ) AS ws FROM documents
+), s AS (
+  SELECT DISTINCT rid, list_aggregate(ws[i:i + {SHINGLE_WORDS - 1}], 'string_agg', ' ') AS g
+  FROM (SELECT rid, ws, unnest(generate_series(1, greatest(len(ws) - {SHINGLE_WORDS - 1}, 1))) AS i FROM d WHERE len(ws) > 0)
+), n AS (
+  SELECT rid, count(*) AS n FROM s GROUP BY rid
+), p AS (
+  SELECT a.rid AS x, b.rid AS y, count(*) AS shared FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY ALL
+), e AS (
+  SELECT x, y FROM p JOIN n a ON a.rid = x JOIN n b ON b.rid = y WHERE 100 * shared >= {PERCENT} * (a.n + b.n - shared)
+), {REACHED}, m AS (
+  SELECT x, min(doc_id) AS low FROM r JOIN d ON d.rid = r.y GROUP BY x
+)
+SELECT doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(doc_id, low) AS component_id
+FROM d LEFT JOIN n USING (rid) LEFT JOIN m ON m.x = d.rid
+""",
     "op11_threshold_rules": _rules_sql(),
     "op13_transducer_divergence": f"""
 WITH d AS (

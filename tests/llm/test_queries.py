@@ -33,12 +33,16 @@ def test_columns(spark, n):
         assert df.count() == spark.read.parquet(f"{SF_SMALL}/{rows}.parquet").count()
 
 
-def test_topk_oracle(spark):
-    sql = entry.oracle_sql()["op10_mtree_topk"]
+@pytest.mark.parametrize(
+    "name", ["op2_e8_near_vectors", "op4_suffix_grouping_dedup", "op8_jaccard_metric_join", "op10_mtree_topk"]
+)
+def test_oracle(spark, name):
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{SF_SMALL}/embeddings.parquet'")
-    got = sorted(map(tuple, entry.queries()["op10_mtree_topk"](spark, SF_SMALL).collect()))
-    assert got == sorted(con.sql(sql).fetchall())
+    for t in ("documents", "embeddings"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF_SMALL}/{t}.parquet'")
+    found = con.sql(entry.oracle_sql()[name])
+    got = entry.queries()[name](spark, SF_SMALL)
+    assert sorted(map(tuple, got.select(found.columns).collect())) == sorted(found.fetchall())
 
 
 def test_pipeline_is_registered():
