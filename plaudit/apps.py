@@ -27,6 +27,7 @@ import datetime
 import time
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -37,6 +38,7 @@ from plaudit.session import session_conf
 from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.json_reviews import read_reviews
 from plaudit.streaming.clock import IDLE_CONF, ArrivalClock
+from plaudit.streaming.history import History
 from plaudit.streaming.ledger import BatchLedger
 from plaudit.streaming.recover import manifest_of, start_or_recover
 from plaudit.streaming.reports import ReportLog
@@ -93,6 +95,11 @@ def parser() -> argparse.ArgumentParser:
             "--retention", default=None,
             help="age of files in the summaries' file list, e.g. '7 days'; longer than a window with its delay",
         )
+        s.add_argument(
+            "--compact", action="store_true",
+            help="keep the closed windows' summaries in few files below WORK/history, whatever --retention drops",
+        )
+        s.add_argument("--keep", default=None, help="with --compact: age of a day's summaries that may go, e.g. '90 days'")
         s.add_argument("--large-state", action="store_true", help="RocksDB state store (many keys)")
         s.add_argument(
             "--run-seconds", type=float, default=None,
@@ -135,6 +142,10 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
     delay = opts.delay * opts.interval
     if opts.retention and parse_seconds(opts.retention) <= window + delay:
         raise ValueError(f"--retention must be longer than a window with its delay, {window + delay} seconds")
+    if opts.keep and not opts.compact:
+        raise ValueError("--keep needs --compact")
+    if opts.keep and parse_seconds(opts.keep) <= window + delay:
+        raise ValueError(f"--keep must be longer than a window with its delay, {window + delay} seconds")
     bounds = {} if opts.files_per_trigger else {"maxBytesPerTrigger": str(opts.bytes_per_trigger)}
     reviews = stream_reviews(
         spark, opts.source, time=opts.time_col, max_files_per_trigger=opts.files_per_trigger,
@@ -156,6 +167,11 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
         summary, source=opts.source.rstrip("/"), time=opts.time_col, window=window, slide=slide, panes=panes,
         start=opts.start % slide, horizon=delay,
     )
+    history = None
+    if opts.compact:
+        history = Compaction(spark, opts, work, summary.schema)
+        # What an earlier run left, before this one's sink may drop it from its list.
+        history.run(force=True)
     with session_conf(spark, IDLE_CONF):
         query = start_or_recover(
             spark, f"plaudit {work}", f"{work}/manifest", manifest,
@@ -170,9 +186,10 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
                 rejects, f"{work}/rejects", f"{work}/checkpoint-rejects", live is None, live, fmt="json"
             )
         )
-    report = Report(spark, opts, work, summary.schema, (window, slide, opts.start) if panes else None)
+    report = Report(spark, opts, work, summary.schema, (window, slide, opts.start) if panes else None, history)
     if live is None:
-        ledger.follow(query)
+        while not ledger.follow(query, history.every if history else None):
+            history.run()
         for q in queries:
             q.awaitTermination()
         for q in [query, *queries]:
@@ -188,6 +205,8 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
                 break
             if clock is not None:
                 clock.advance(query)
+            if history is not None:
+                history.run()
             report.write(query)
         for q in [query, *queries]:
             q.stop()
@@ -195,6 +214,8 @@ def run(spark: SparkSession, args: Sequence[str]) -> None:
         ledger.poll(query)
         ledger.flush()
         report.write(query)
+    if history is not None:
+        history.run(force=True)
     found = ledger.account()
     if found.rows_dropped:
         print(f"{found.rows_dropped} rows came later than {opts.delay} intervals and were dropped")
@@ -207,6 +228,38 @@ def _raise_for(query: StreamingQuery) -> None:
         raise RuntimeError(f"stream {query.name or query.id} failed: {query.exception()}")
 
 
+class Compaction:
+    """Moves closed windows of the summaries to ``WORK/history``, often enough that ``--retention`` drops
+    none before, and lets days go that lie ``--keep`` before the latest published window."""
+
+    def __init__(self, spark, opts, work: str, schema):
+        self.spark, self.path, self.schema = spark, f"{work}/summaries", schema
+        self.table = History(spark, f"{work}/history", schema)
+        self.retention = parse_seconds(opts.retention) if opts.retention else None
+        self.keep = parse_seconds(opts.keep) if opts.keep else None
+        self.every = min(60.0, self.retention / 4) if self.retention else 60.0
+        self.last = None
+
+    def run(self, force: bool = False) -> None:
+        if not force and self.last is not None and time.monotonic() - self.last < self.every:
+            return
+        self.last = time.monotonic()
+        try:
+            stored = read_summary(self.spark, self.path, self.schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return  # no batch has run, there is no table
+        self.table.compact(stored)
+        if self.retention is not None:
+            self.table.clear_sink(self.path, 2 * self.retention)
+
+    def expire(self, published: datetime.datetime | None) -> None:
+        """Counted from the latest published window: one that no report holds doesn't expire."""
+        if self.keep is not None and published is not None:
+            self.table.expire(published - datetime.timedelta(seconds=self.keep))
+
+
 class Report:
     """Scores and writes the windows closed since the last report, of this run or an earlier one.
 
@@ -215,7 +268,8 @@ class Report:
     only. Open windows of a drained run are written as they stand, and again when they close.
     """
 
-    def __init__(self, spark, opts, work: str, schema, panes):
+    def __init__(self, spark, opts, work: str, schema, panes, history: Compaction | None = None):
+        self.history = history
         self.spark, self.opts, self.path, self.schema, self.panes = spark, opts, f"{work}/summaries", schema, panes
         self.log = ReportLog(spark, f"{work}/reports")
         self.batch = None
@@ -227,6 +281,8 @@ class Report:
         if open_rows is None and last["batchId"] == self.batch and not self.log.empty:
             return  # nothing has run since
         stored = read_summary(self.spark, self.path, self.schema)
+        if self.history is not None:
+            stored = self.history.table.read(stored)
         # Up to here windows are closed: with panes by the batch's watermark,
         # otherwise the stored ones are.
         watermark = last["eventTime"].get("watermark") if self.panes else None
@@ -247,6 +303,8 @@ class Report:
             incremental=not self.log.empty,
         )
         self.log.commit(limit, last["batchId"])
+        if self.history is not None:
+            self.history.expire(self.log.until)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

@@ -1,6 +1,7 @@
 """Structured Streaming: stage-1 windowed summaries, stage-2 scoring."""
 
 from plaudit.streaming.clock import IDLE_CONF, ArrivalClock
+from plaudit.streaming.history import History
 from plaudit.streaming.ledger import Account, BatchLedger
 from plaudit.streaming.maintained import maintained_scorecard, read_maintained, update_summary
 from plaudit.streaming.recover import ManifestMismatch, check_manifest, manifest_of, start_or_recover
@@ -23,6 +24,7 @@ __all__ = [
     "Account",
     "ArrivalClock",
     "BatchLedger",
+    "History",
     "ManifestMismatch",
     "ReportLog",
     "check_manifest",
