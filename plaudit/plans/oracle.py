@@ -239,6 +239,7 @@ SELECT category, reviews, negatives, points, pct_negative, avg_points FROM score
     "stream_json_arrival": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "avg_points"),
     "stream_json_arrival_days": _windowed_scorecard(86400, 86400, DAY_MAX_PCT),
     "stream_totals_joined": f"SELECT * EXCLUDE (rank) FROM ({_windowed_scorecard(WINDOW, SLIDE, EVENTS_MAX_PCT)})",
+    "stream_compacted": _windowed_scorecard(86400, 86400, DAY_MAX_PCT),
     "scorecard_maintained": _scorecard(EVENT_SUMMARY, "summary", "", EVENTS_MAX_PCT, "gt", "points"),
     "volume_rule_gt": _scorecard(NATION_SUMMARY, "summary", "", 10.0, "gt", "avg_points"),
     "volume_rule_ge": _scorecard(NATION_SUMMARY, "summary", "", 10.0, "ge", "avg_points"),

@@ -18,7 +18,7 @@ from plaudit.operators.filters import keep_liked, keep_popular
 from plaudit.operators.scorecard import score_summary, scorecard, with_ratios
 from plaudit.operators.summarize import summarize
 from plaudit.operators.totals import scope_totals, with_scope_totals
-from plaudit.operators.windows import summarize_windows, with_day
+from plaudit.operators.windows import WINDOW_COLUMNS, summarize_windows, with_day
 from plaudit.session import LARGE_STATE_CONF, scratch_path, session_conf
 from plaudit.sinks.writers import write_scorecard
 from plaudit.sources.adapters import (
@@ -30,6 +30,7 @@ from plaudit.sources.adapters import (
 from plaudit.sources.json_reviews import parse_json_column, read_reviews
 from plaudit.sources.tables import load_table, stream_table
 from plaudit.streaming.clock import ArrivalClock
+from plaudit.streaming.history import History
 from plaudit.streaming.ledger import BatchLedger
 from plaudit.streaming.maintained import read_maintained, update_summary
 from plaudit.streaming.totals import scored_stream
@@ -39,6 +40,7 @@ from plaudit.streaming.windowed import (
     read_summary,
     start_summary_stream,
     stream_reviews,
+    summarize_stream,
     windowed_scorecard,
 )
 
@@ -404,6 +406,26 @@ def stream_totals_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_summary(spark, out, kept.schema)
 
 
+def stream_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """STR6: each day scored from the stream's history alone. What the drained stream has closed goes
+    into a first run; a tick after the last event closes the other days, which join it."""
+    clock = ArrivalClock(spark, scratch_path(spark, "ticks"))
+    events = reviews_from_events(stream_table(spark, sf_dir, "events", STREAM_OPTIONS))
+    out, checkpoint = scratch_path(spark, "stream-out"), scratch_path(spark, "stream-checkpoint")
+    days = summarize_stream(events, 86400, delay=STREAM_HORIZON * 86400, ticks=clock.ticks())
+    history = History(spark, scratch_path(spark, "history"), days.schema, period="7 days")
+    ledger = BatchLedger(spark)
+    with session_conf(spark, LARGE_STATE_CONF):
+        ledger.follow(start_summary_stream(days, out, checkpoint))
+        history.compact(read_summary(spark, out, days.schema))
+        clock.close()
+        ledger.follow(start_summary_stream(days, out, checkpoint))
+        history.compact(read_summary(spark, out, days.schema))
+    ledger.account().check(f"{STREAM_HORIZON} days")
+    scope = list(WINDOW_COLUMNS)
+    return score_summary(history.read(), scope=scope, max_pct_negative=DAY_MAX_PCT, materialize=False)
+
+
 def scorecard_maintained(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG1/Q1 kept up to date: the first run reads the table, the second one finds
     nothing new in it, and both score the stored summary."""
@@ -512,6 +534,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_json_arrival": stream_json_arrival,
     "stream_json_arrival_days": stream_json_arrival_days,
     "stream_totals_joined": stream_totals_joined,
+    "stream_compacted": stream_compacted,
     "scorecard_maintained": scorecard_maintained,
     "volume_rule_gt": volume_rule_gt,
     "volume_rule_ge": volume_rule_ge,
