@@ -35,6 +35,7 @@ from pyspark.sql.pandas.functions import pandas_udf
 from plaudit.llm.common import held_out
 from plaudit.llm.quality import labelled_sample
 
+COPY_HASHES = 8
 SAMPLE_ROWS = 12_000
 LEXICON = 2_000
 LEAST_EVIDENCE = 1.3
@@ -162,8 +163,10 @@ def _units(text: Column) -> Column:
 def learn_lexicon(sample: DataFrame, entries: int = LEXICON) -> tuple[tuple[str, float], ...]:
     """Units and the lower bounds of their log odds of toxic texts, the surest first."""
     words = F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}{3,}+"), F.lit(0))
-    sample = sample.withColumn("__sig", F.array_min(F.transform(words, lambda w: F.xxhash64(w))))
-    sample = sample.where("__sig is not null").dropDuplicates(["__sig", "__label"])
+    hashes = F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+    # Copies count once: texts whose ``COPY_HASHES`` smallest word hashes agree.
+    sample = sample.withColumn("__sig", F.slice(hashes, 1, COPY_HASHES)).where(F.size("__sig") > 0)
+    sample = sample.groupBy("__sig", "__label").agg(F.min_by("text", F.struct("__id", F.xxhash64("text"))).alias("text"))
     rows = sample.select("__label", F.explode(_units(F.col("text"))).alias("unit"))
     total = sample.agg(F.sum("__label"), F.count(F.lit(1))).first()
     ones, zeros = total[0] or 0, (total[1] or 0) - (total[0] or 0)
@@ -202,7 +205,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows:
         s = scorer(lexicon)
         return texts.map(lambda t: list(s.features(t)))
 
-    rest = sample.where(third).select("__label", features("text").alias("x")).limit(rows).toPandas()
+    # Ids may repeat: in one order, so that reruns fit the same rows.
+    rest = sample.where(third).orderBy("__id", F.xxhash64("text")).limit(rows)
+    rest = rest.select("__label", features("text").alias("x")).toPandas()
     y = rest["__label"].to_numpy(np.float64)
     x = np.array(rest["x"].tolist(), dtype=np.float64).reshape(len(rest), 2)
     if len(y) == 0 or y.min() == y.max():

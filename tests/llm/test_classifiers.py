@@ -124,3 +124,18 @@ def test_composition_is_a_product_of_states():
     for symbol in (TARGET, OTHER, NEGATION, REPORT):
         state, factor = m.arcs[state][symbol]
         assert factor == 0.0
+
+
+def test_lexicon_counts_copies_once_and_unlike_texts_each(spark):
+    """Texts that share frequent words are no copies; a text repeated often adds no evidence."""
+    from plaudit.llm.toxicity import learn_lexicon
+
+    names = "alder birch cedar dogwood elder fir ginkgo hazel iris juniper katsura larch maple nutmeg oak".split()
+    own = [" ".join(n + end for end in "ish ward ling ster dom hood wise land field wood".split()) for n in names]
+    unlike = [(1, i, f"and you are such a wretch {o} friend") for i, o in enumerate(own)]
+    clean = [(0, 100 + i, f"and you are such a fine {o} friend") for i, o in enumerate(own)]
+    copied = [(1, 200 + i, "the and one single blorb of many copies that stand here today again") for i in range(30)]
+    sample = spark.createDataFrame(unlike + clean + copied, "__label INT, __id LONG, text STRING")
+    units = dict(learn_lexicon(sample))
+    assert "wretch" in units and "blorb" not in units and "fine" not in units
+    assert learn_lexicon(sample.orderBy("text")) == learn_lexicon(sample.repartition(5)) == tuple(units.items())
