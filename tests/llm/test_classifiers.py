@@ -131,6 +131,7 @@ def test_lexicon_counts_copies_once_and_unlike_texts_each(spark):
     from plaudit.llm.toxicity import learn_lexicon
 
     names = "alder birch cedar dogwood elder fir ginkgo hazel iris juniper katsura larch maple nutmeg oak".split()
+    names = [n + vowel for n in names for vowel in "aeiu"]
     own = [" ".join(n + end for end in "ish ward ling ster dom hood wise land field wood".split()) for n in names]
     unlike = [(1, i, f"and you are such a wretch {o} friend") for i, o in enumerate(own)]
     clean = [(0, 100 + i, f"and you are such a fine {o} friend") for i, o in enumerate(own)]
