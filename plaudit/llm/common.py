@@ -5,15 +5,18 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from contextlib import AbstractContextManager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.session import ensure_checkpoint_dir, scratch_path
+from plaudit.session import ensure_checkpoint_dir, scratch_path, session_conf
 
 # The largest table, in rows, that these operators ship to every executor.
 BROADCAST_ROWS = 200_000
+# Texts that a Python worker holds at once.
+BATCH_TEXTS = 1000
 WORD = r"[^\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -56,6 +59,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def text_batches(spark: SparkSession) -> AbstractContextManager[None]:
+    """Jobs of a block hand texts to Python workers ``BATCH_TEXTS`` at a time, and not the
+    ten thousand that are usual for numbers: memory on both sides."""
+    return session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)})
+
+
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Mark ``df`` for broadcast if its counted ``rows`` are within ``limit``;
     beyond it the join is left to the planner."""

@@ -12,21 +12,26 @@
    come into regions, counts all, which leaves out points whose other texts differ.
    Bitmaps of bounded size carry the counts; an error there changes the order for
    all documents alike, and any order gives the same links.
-2. Pivots. Each region's pivot is its smallest point; its distance to every point of
-   the region is computed exactly. Points within ``eps`` are linked to it: these
+   A point's rest in a region are its shingles from that one on: two sets share no
+   more than the smaller rest in the region of the first shingle they share, so pairs
+   that would need more are left to no region.
+2. Pivots. Each region's pivot is its most central point, the one with the least part
+   of shingles that no other point holds; its distance to every point of the region
+   that rests allow is computed exactly. Points within ``eps`` are linked to it: these
    are the Voronoi cells, and copies by the thousand join by one distance each.
 3. Recursion. A region whose points lie in one component needs nothing more. The
    others take new pivots, round by round, for the points outside the pivot's
    component, while that saves comparisons. In what is left, points of different
-   components are joined, by the triangle inequality only where their distances to the
-   first pivot differ by at most ``eps``: points go to bands of that width and are
-   replicated to all bands within reach, rounding included.
+   components are joined, one of them outside the pivot's: the smaller set goes to the
+   band of its size, the larger one to all bands that its rest allows, and by the
+   triangle inequality only where their distances to the pivot differ by at most
+   ``eps``, rounding included.
 
 Sets travel as compressed texts of the points concerned, in tasks of bounded size;
 a large cell is split by hash, its pivot replicated. Before that, sizes prune by
 ``threshold * n <= m <= n / threshold`` and small sketches by an upper bound of the
-intersection; points that these keep apart from their pivot have no distance to it and
-meet all bands.
+intersection; points that these keep apart from their pivot have no distance to it, and
+the triangle inequality says nothing of them.
 
 Null, empty and blank texts have empty sets, link with nothing and are their own
 component. Fewer words than a shingle make one shorter shingle. Repeated rows and
@@ -36,24 +41,31 @@ their set. An empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import math
 import zlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.functions import pandas_udf
 
-from plaudit.llm.common import components, cut, store
+from plaudit.llm.common import components, cut, store, text_batches
 from plaudit.llm.marks import Marks
 
 SHINGLE_WORDS = 5
 PERCENT = 80
 COUNTED = 4
 LEVELS = (2, 8, 64)
+# The bits of a shingle that the bitmaps are about: the first level has two of them.
+SHIFTS = (1, 33, 1, 1)
 ROUNDS = 2
 LEAF_PAIRS = 64
 TASK_PAIRS = 800
+# Width of a band of sizes, as a power of their ratio.
+BAND = 1.05
+# Characters hashed at once: a worker's memory.
+HASHED_CHARS = 250_000
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _BLANK = np.zeros(256, dtype=bool)
 _BLANK[[32, *range(9, 14)]] = True
@@ -91,7 +103,7 @@ def _joined(words: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def shingle_sets(texts: list[str | None], k: int = SHINGLE_WORDS, chars: int = 2_000_000) -> list[np.ndarray]:
+def shingle_sets(texts: list[str | None], k: int = SHINGLE_WORDS, chars: int = HASHED_CHARS) -> list[np.ndarray]:
     """The sorted distinct shingle hashes of each text; many short texts are
     hashed together."""
     raws = [(t or "").encode("utf-8", "surrogatepass").translate(_LOWER) for t in texts]
@@ -182,41 +194,66 @@ def _distinct_sets(batches, k: int, among: Marks | None):
         yield found
 
 
-def _count_shingles(k: int, part: int, among: Marks | None):
-    """``(h, n)``: how many sets of a batch hold each counted shingle."""
+def _levels(h: np.ndarray, sieves: list[Marks]) -> np.ndarray:
+    """How many of ``LEVELS`` a shingle's count reaches. The first two sieves hold the
+    same shingles by other bits, so that few lone ones pass."""
+    level = np.zeros(len(h), np.int8)
+    at = np.arange(len(h))
+    for shift, marks in zip(SHIFTS, sieves, strict=True):
+        at = at[marks.has((h[at] >> np.uint64(shift)).astype(np.int64) % marks.bits)]
+        level[at] += 1
+    return np.maximum(level - 1, 0)
+
+
+def _count_shingles(k: int, part: int, among: Marks | None, known: tuple[int, list[Marks]] | None):
+    """``(h, n)``: how many sets of a batch hold each counted shingle, without those that
+    an earlier count, ``known``, has found in one set."""
 
     def run(batches):
         for found in _distinct_sets(batches, k, among):
             if found:
-                every = np.concatenate([s[_counted(s, part)] for _, s in found])
+                every = np.concatenate([s for _, s in found])
+                every = every[_counted(every, part)]
+                if known is not None:
+                    every = every[~_counted(every, known[0]) | (_levels(every, known[1]) > 0)]
                 seen, times = np.unique(every, return_counts=True)
                 yield pd.DataFrame({"h": seen.view(np.int64), "n": times.astype(np.int64)})
 
     return run
 
 
-def _postings(k: int, percent: int, levels: list[Marks], part: int, among: Marks | None):
-    """``(h, sig)`` of all prefixes, without shingles that only one set holds."""
-
-    def has(marks: Marks, h: np.ndarray) -> np.ndarray:
-        return marks.has((h >> np.uint64(1)).astype(np.int64) % marks.bits)
+def _postings(k: int, percent: int, sieves: list[Marks], part: int, among: Marks | None):
+    """``(h, sig, rest, lone)`` of all prefixes, without shingles that only one set holds.
+    ``rest``: how many of the set's shingles follow in the order, this one included;
+    ``lone``: how many of 10,000 only this set holds."""
 
     def run(batches):
         for found in _distinct_sets(batches, k, among):
-            hs, ids = [], []
+            if not found:
+                continue
+            every = np.concatenate([s for _, s in found])
+            levels, used = _levels(every, sieves), _counted(every, part)
+            # The uncounted come before the most common of the counted.
+            ranks = np.where(used, levels * 2, 2 * len(LEVELS) - 1).astype(np.int8)
+            hs, ids, rests, lones = [], [], [], []
+            end = 0
             for sig, s in found:
-                level = np.zeros(len(s), np.int8)
-                for marks in levels:
-                    level += has(marks, s)
-                # The uncounted come before the most common of the counted.
-                counted = _counted(s, part)
-                rank = np.where(counted, level * 2, 2 * len(levels) - 1)
+                start, end = end, end + len(s)
+                level, counted, rank = levels[start:end], used[start:end], ranks[start:end]
                 first = np.argsort(rank, kind="stable")[: prefix_length(len(s), percent)]
-                s = s[first][(level[first] > 0) | ~counted[first]]
-                hs.append(s)
-                ids.append(np.full(len(s), sig, np.int64))
-            if hs:
-                yield pd.DataFrame({"h": np.concatenate(hs).view(np.int64), "sig": np.concatenate(ids)})
+                at = np.flatnonzero((level[first] > 0) | ~counted[first])
+                hs.append(s[first[at]])
+                ids.append(np.full(len(at), sig, np.int64))
+                rests.append(len(s) - at)
+                lones.append(np.full(len(at), 10_000 * int((rank == 0).sum()) // len(s), np.int64))
+            yield pd.DataFrame(
+                {
+                    "h": np.concatenate(hs).view(np.int64),
+                    "sig": np.concatenate(ids),
+                    "rest": np.concatenate(rests),
+                    "lone": np.concatenate(lones),
+                }
+            )
 
     return run
 
@@ -286,6 +323,11 @@ def jaccard_classes(
     docs: DataFrame, key: str = "doc_id", text: str = "text", k: int = SHINGLE_WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """``(doc_id, n_shingles, component_id)`` of every document."""
+    with text_batches(docs.sparkSession):
+        return _classes(docs, key, text, k, percent)
+
+
+def _classes(docs: DataFrame, key: str, text: str, k: int, percent: int) -> DataFrame:
     spark = docs.sparkSession
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     points = store(rows.mapInPandas(_survey(k), "id long, sig long, n long, sketch binary"), "survey")
@@ -294,28 +336,40 @@ def jaccard_classes(
     )
     reps = store(reps, "reps")
 
-    def find_regions(part: int, among: Marks | None) -> DataFrame:
-        """``(h, sig, pivot)`` of all regions with several points."""
+    def find_regions(
+        part: int, among: Marks | None, known: tuple[int, list[Marks]] | None
+    ) -> tuple[DataFrame, tuple[int, list[Marks]]]:
+        """``(h, sig, rest, pivot)`` of all regions with several points, and what is counted."""
         seen = rows.select("text")
         if among is not None:
             seen = rows.where("id is not null").select("text", among.bit(F.xxhash64("id")).alias("bit"))
-        counts = seen.mapInPandas(_count_shingles(k, part, among), "h long, n long")
+        counts = seen.mapInPandas(_count_shingles(k, part, among, known), "h long, n long")
         counts = store(counts.groupBy("h").agg(F.sum("n").alias("n")).where(F.col("n") >= LEVELS[0]), "counts")
-        levels = []
-        for least in LEVELS:
+        sieves = []
+        for least, shift in zip((LEVELS[0], *LEVELS), SHIFTS, strict=True):
             some = counts.where(F.col("n") >= least)
-            levels.append(Marks(some, F.shiftrightunsigned("h", 1), some.count()))
-        found = seen.mapInPandas(_postings(k, percent, levels, part, among), "h long, sig long")
+            sieves.append(Marks(some, F.shiftrightunsigned("h", shift), some.count(), 12 if least == LEVELS[0] else 24))
+        found = seen.mapInPandas(
+            _postings(k, percent, sieves, part, among), "h long, sig long, rest long, lone long"
+        )
         postings = store(found, "postings")
-        pivots = postings.groupBy("h").agg(F.min("sig").alias("pivot"), F.max("sig").alias("top"))
-        pivots = cut(pivots.where("pivot <> top").select("h", "pivot"))
-        return store(postings.join(pivots, "h").distinct(), "regions")
+        central = F.col("lone") * F.lit(1 << 40) + F.pmod("sig", F.lit(1 << 40))
+        pivots = postings.groupBy("h").agg(
+            F.min("sig").alias("low"),
+            F.max("sig").alias("top"),
+            F.min_by("sig", central).alias("pivot"),
+        )
+        pivots = cut(pivots.where("low <> top").select("h", "pivot"))
+        return store(postings.drop("lone").join(pivots, "h").distinct(), "regions"), (part, sieves)
 
-    regions = find_regions(COUNTED, None)
+    regions, known = find_regions(COUNTED, None, None)
     some = cut(regions.select("sig").distinct().join(reps, "sig").select("id"))
-    regions = find_regions(1, Marks(some, F.xxhash64("id"), some.count()))
+    regions, _ = find_regions(1, Marks(some, F.xxhash64("id"), some.count()), known)
+    del known
+    regions = store(regions.join(reps.select("sig", "n"), "sig"), "sized")
     linked = f"100 * both >= {percent} * (n + m - both)"
-    size = reps.select("sig", "n")
+    # Sets of n and m shingles that link share this part of n + m, and no more than their rests.
+    shared = f"{100 + percent} * least(rest, rest2) >= {percent} * (n + m)"
 
     def compared(pairs: DataFrame) -> DataFrame:
         """Stored exact intersections of the pairs that may link."""
@@ -326,67 +380,84 @@ def jaccard_classes(
     def edges(found: DataFrame) -> DataFrame:
         return found.where(linked).select(F.col("sig").alias("a"), F.col("pivot").alias("b"))
 
-    near = compared(regions.where("sig <> pivot").select("sig", "pivot").distinct())
+    tops = regions.where("sig = pivot").select("h", F.col("n").alias("m"), F.col("rest").alias("rest2"))
+    to_pivot = regions.where("sig <> pivot").join(tops, "h").where(shared)
+    near = compared(to_pivot.select("sig", "pivot").distinct())
     links = edges(near)
     found = cut(components(spark, links))
+    away = near.select("sig", "pivot", (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("d"))
+    eps = (100 - percent) / 100
 
     def parts() -> DataFrame:
         """Region members with their components, of regions with several."""
-        member = regions.join(found.withColumnRenamed("node", "sig"), "sig", "left").select(
-            "h", "sig", "pivot", F.coalesce("component", "sig").alias("c")
+        of = found.withColumnRenamed("node", "sig")
+        member = regions.join(of, "sig", "left").select(
+            "h", "sig", "pivot", "rest", "n", F.coalesce("component", "sig").alias("c")
         )
-        parted = member.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low <> high")
-        return store(member.join(cut(parted.select("h")), "h"), "parted")
+        main = F.max(F.when(F.col("sig") == F.col("pivot"), F.col("c"))).alias("main")
+        parted = member.groupBy("h").agg(F.min("c").alias("low"), F.max("c").alias("high"), main)
+        return store(member.join(cut(parted.where("low <> high").select("h", "main")), "h"), "parted")
+
+    def size_band(n: Column) -> Column:
+        return F.floor(F.log(n.cast("double")) / F.lit(math.log(BAND))).cast("int")
+
+    def banded(member: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """The smaller and the larger sets of the pairs that are left, by ``(h, band)``.
+
+        Bands are doubled, so that points of the pivot's component only meet others:
+        odd ones hold the smaller sets and the larger ones outside it, even ones the
+        smaller sets outside it and the larger ones inside.
+        """
+        rows = member.where("sig <> pivot").withColumn("out", F.col("c") != F.col("main"))
+        few = rows.where(f"{100 + percent} * rest >= {2 * percent} * n")
+        few = few.withColumn("at", 2 * size_band(F.col("n")))
+        few = few.withColumn("band", F.explode(F.expr("if(out, array(at, at + 1), array(at + 1))"))).drop("at")
+        # Its partner's least and largest size.
+        many = rows.withColumn("least", F.expr(f"({percent} * n + 99) div 100"))
+        many = many.withColumn("most", F.expr(f"least(n, {100 + percent} * rest div {percent} - n)")).where("least <= most")
+        reach = F.sequence(size_band(F.col("least")), size_band(F.col("most")))
+        many = many.withColumn("at", F.explode(reach)).withColumn("band", F.expr("2 * at + int(out)"))
+        return few, many.drop("least", "most", "at")
 
     member = parts()
     n_points = reps.count()
-    for turn in range(ROUNDS):
-        per = member.groupBy("h", "c").agg(F.count(F.lit(1)).alias("x"))
-        per = per.groupBy("h").agg((F.sum("x") * F.sum("x") - F.sum(F.col("x") * F.col("x"))).alias("y"))
-        left_over = (per.agg(F.sum("y")).first()[0] or 0) // 2
-        if left_over <= LEAF_PAIRS * n_points:
+    for turn in range(ROUNDS + 1):
+        few, many = (store(df, "banded") for df in banded(member))
+        x = few.groupBy("h", "band").agg(F.count(F.lit(1)).alias("x"))
+        y = many.groupBy("h", "band").agg(F.count(F.lit(1)).alias("y"))
+        left_over = x.join(y, ["h", "band"]).agg(F.sum(F.col("x") * F.col("y"))).first()[0] or 0
+        if left_over <= LEAF_PAIRS * n_points or turn == ROUNDS:
             break
         by = F.xxhash64(F.lit(turn), "sig")
-        new = cut(member.groupBy("h").agg(F.min_by("sig", by).alias("next"), F.min_by("c", by).alias("nc")))
-        again = member.join(new, "h").where("c <> nc")
+        new = member.where("c <> main").groupBy("h").agg(
+            F.min_by("sig", by).alias("next"),
+            F.min_by("c", by).alias("nc"),
+            F.min_by("rest", by).alias("rest2"),
+            F.min_by("n", by).alias("m"),
+        )
+        again = member.join(cut(new), "h").where("c <> nc").where(shared)
         again = again.select(F.least("sig", "next").alias("sig"), F.greatest("sig", "next").alias("pivot")).distinct()
         links = cut(links.union(edges(compared(again))).distinct())
         found = cut(components(spark, links))
         member = parts()
 
-    away = near.select("sig", "pivot", (1 - F.col("both") / (F.col("n") + F.col("m") - F.col("both"))).alias("d"))
-    eps = (100 - percent) / 100
-    bands = F.sequence(F.lit(0), F.lit(int(1 / eps) + 1))
-    # Points that sizes or sketches keep apart from their pivot have no distance:
-    # any band.
-    open_ = store(
-        member.where("sig <> pivot")
-        .join(away, ["sig", "pivot"], "left")
-        .join(size, "sig")
-        .withColumn("band", F.floor(F.col("d") / eps).cast("int")),
-        "open",
-    )
-    left = open_.select(
-        "h", "sig", "n", "c", "d", F.explode(F.when(F.col("d").isNull(), bands).otherwise(F.array("band"))).alias("band")
-    )
-    # All bands that hold a distance within the filter's bound, its slack included.
-    reach = eps + 1e-9
-    around = F.sequence(
-        F.floor((F.col("d") - reach) / eps).cast("int"), F.floor((F.col("d") + reach) / eps).cast("int")
-    )
-    right = open_.select(
+    # Points that rests, sizes or sketches keep apart from their pivot have no distance.
+    left = few.join(away, ["sig", "pivot"], "left").select("h", "band", "sig", "n", "c", "rest", "d")
+    right = many.join(away, ["sig", "pivot"], "left").select(
         "h",
+        "band",
         F.col("sig").alias("sig2"),
         F.col("n").alias("m"),
         F.col("c").alias("c2"),
+        F.col("rest").alias("rest2"),
         F.col("d").alias("d2"),
-        F.explode(F.when(F.col("d").isNull(), bands).otherwise(around)).alias("band"),
     )
     again = (
         left.join(right, ["h", "band"])
-        .where(F.col("c") < F.col("c2"))
-        .where(F.coalesce(F.abs(F.col("d") - F.col("d2")) <= reach, F.lit(True)))
-        .where(f"100 * least(n, m) >= {percent} * greatest(n, m)")
+        .where((F.col("c") != F.col("c2")) & (F.col("n") <= F.col("m")))
+        .where(F.coalesce(F.abs(F.col("d") - F.col("d2")) <= eps + 1e-9, F.lit(True)))
+        .where(f"100 * n >= {percent} * m")
+        .where(shared)
         .select(F.least("sig", "sig2").alias("sig"), F.greatest("sig", "sig2").alias("pivot"))
         .distinct()
     )

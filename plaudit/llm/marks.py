@@ -14,9 +14,9 @@ class Marks:
     """A set of 64-bit numbers as a bitmap of bounded size: no member is missed,
     others may pass."""
 
-    def __init__(self, df: DataFrame, number: Column, rows: int):
+    def __init__(self, df: DataFrame, number: Column, rows: int, bits_a_row: int = 24):
         bits = 1 << 17
-        while bits < 24 * rows and bits < MOST_BITS:
+        while bits < bits_a_row * rows and bits < MOST_BITS:
             bits *= 2
         self.bits = bits
         bit = self.bit(number)

@@ -1,5 +1,6 @@
 import itertools
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -110,3 +111,33 @@ def test_links_at_exactly_the_threshold(spark, monkeypatch):
     rows = {r.doc_id: r.component_id for r in jaccard_classes(documents(spark, texts)).collect()}
     assert [rows[i] for i in range(len(texts))] == [i - i % 3 for i in range(len(texts))]
     assert brute(texts[:9])[1] == [0, 0, 0, 3, 3, 3, 6, 6, 6]
+
+
+def test_a_group_of_near_copies_needs_few_comparisons(spark, monkeypatch):
+    """Pairs grow with the points of a group, not with its square: the text they were
+    edited from is the pivot, and rests keep apart what is too far."""
+    rng, base = random.Random(8), prose(70, 120).split()
+    texts = []
+    for edits in [0] + [rng.choice([2, 3, 4, 9]) for _ in range(79)]:
+        w = list(base)
+        for at in rng.sample(range(len(w)), edits):
+            w[at] = "edit%d" % rng.randrange(10**6)
+        texts.append(" ".join(w))
+    rng.shuffle(texts)
+    pairs, plausible = [], jaccard.plausible
+    monkeypatch.setattr(jaccard, "plausible", lambda df, *rest: pairs.append(df.count()) or plausible(df, *rest))
+    _, comp = brute(texts)
+    assert len(set(comp)) > 10
+    rows = {r.doc_id: r.component_id for r in jaccard_classes(documents(spark, texts)).collect()}
+    assert [rows[i] for i in range(len(texts))] == comp
+    assert sum(pairs) < 3 * len(texts)
+
+
+def test_memory_of_a_batch():
+    texts = [prose(i, 400, 4_000) for i in range(900)]
+    assert sum(map(len, texts)) > 2_000_000
+    tracemalloc.start()
+    shingle_sets(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40_000_000
