@@ -1,7 +1,9 @@
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from plaudit.llm import suffixes
@@ -96,3 +98,25 @@ def test_edge_cases(spark):
     assert 0 < got[7].n_removed < got[7].n_bytes
     assert got[10].n_removed == got[11].n_removed == 0  # repeats within one document stay
     assert remove_repeats(empty_documents(spark)).count() == 0
+
+
+def test_memory_of_a_batch(monkeypatch):
+    monkeypatch.setattr(suffixes, "_grams", suffixes.Grams())
+    texts = [prose(i, 400, 4_000) for i in range(900)]
+    assert sum(map(len, texts)) > 2_000_000
+    every = type("Every", (), {"has": lambda self, bits: np.ones(len(bits), bool)})()
+    batch = pd.DataFrame({"bit": np.zeros(len(texts), np.int64), "text": texts})
+    tracemalloc.start()
+    found = list(suffixes._count_anchors(every)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 1 and len(found[0]) > 10_000
+    assert peak < 80_000_000
+
+
+def test_contexts_are_the_same_when_few_are_remembered(spark, monkeypatch):
+    texts = corpus()
+    docs = documents(spark, texts).coalesce(1)
+    monkeypatch.setattr(suffixes, "SEEN_CONTEXTS", 0)
+    rows = {r.doc_id: tuple(r)[1:] for r in remove_repeats(docs).collect()}
+    assert [rows[i] for i in range(len(texts))] == brute(texts)
