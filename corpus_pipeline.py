@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plaudit.llm.common import cut, small, table
+from plaudit.llm.common import cut, keep_text_batches, small, table
 from plaudit.llm.jaccard import jaccard_classes
 from plaudit.llm.mixing import mix, word_count
 from plaudit.llm.packing import pack_documents
@@ -29,6 +29,7 @@ QUALITY_THRESHOLD = 0.3
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the additive model scores at least ``QUALITY_THRESHOLD``."""
+    keep_text_batches(spark)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return docs.where(quality_score(model, F.col("text")) >= QUALITY_THRESHOLD)
 
@@ -76,6 +77,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 2048 tokens with their sequence and offset."""
+    keep_text_batches(spark)
     return pack_documents(docs)
 
 

@@ -17,6 +17,7 @@ from plaudit.session import ensure_checkpoint_dir, scratch_path, session_conf
 BROADCAST_ROWS = 200_000
 # Texts that a Python worker holds at once.
 BATCH_TEXTS = 1000
+TEXTS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch"
 WORD = r"[^\x20\x09-\x0D]+"
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -62,7 +63,14 @@ def store(df: DataFrame, name: str) -> DataFrame:
 def text_batches(spark: SparkSession) -> AbstractContextManager[None]:
     """Jobs of a block hand texts to Python workers ``BATCH_TEXTS`` at a time, and not the
     ten thousand that are usual for numbers: memory on both sides."""
-    return session_conf(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_TEXTS)})
+    return session_conf(spark, {TEXTS_AT_ONCE: str(BATCH_TEXTS)})
+
+
+def keep_text_batches(spark: SparkSession) -> None:
+    """:func:`text_batches` for the rest of the session, for results that are written
+    later. A smaller setting stays."""
+    if not 0 < int(spark.conf.get(TEXTS_AT_ONCE)) <= BATCH_TEXTS:
+        spark.conf.set(TEXTS_AT_ONCE, str(BATCH_TEXTS))
 
 
 def small(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:

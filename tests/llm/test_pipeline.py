@@ -5,8 +5,9 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline as pipeline
 from plaudit.llm.quality import classify_quality
+from plaudit.session import session_conf
 from tests.conftest import SF_SMALL
-from tests.llm.cases import DOCUMENTS, edge_documents, empty_documents, prose
+from tests.llm.cases import DOCUMENTS, documents, edge_documents, empty_documents, prose
 from tests.llm.test_jaccard import brute
 from tests.llm.test_pii import base
 
@@ -99,3 +100,15 @@ def test_empty_table(spark):
 def test_run(spark):
     assert pipeline.run(spark, SF_SMALL).where(F.col("length") > 2048).count() == 0
     assert re.match("[a-z_]+$", pipeline.STAGES[0][0])
+
+
+def test_stages_hand_few_texts_to_a_worker_at_once(spark):
+    """What a stage returns is written later, by whoever called it."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = documents(spark, [prose(i, 30) for i in range(20)])
+    with session_conf(spark, {key: "10000"}):
+        pipeline.keep_quality(spark, docs, SF_SMALL)
+        assert spark.conf.get(key) == "1000"
+    with session_conf(spark, {key: "7"}):
+        pipeline.pack_sequences(spark, docs, SF_SMALL)
+        assert spark.conf.get(key) == "7"
