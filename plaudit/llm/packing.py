@@ -21,7 +21,9 @@ pieces each. An empty table gives an empty result; other columns are ignored.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_left, insort
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -34,6 +36,7 @@ from plaudit.llm.common import cut
 BIN = 2_048
 BLOCK_ROWS = 20_000
 BATCH_CHARS = 1_000_000
+WINDOW_CHARS = 100_000
 CACHE_CHUNKS = 1_500_000
 TOKENIZER = "byte_bpe_50k.json"
 # Classes of code points: letters, digits, white space, other; and those past
@@ -90,11 +93,27 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def text_chunks(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Where the chunks of non-empty ``texts``, one after another, begin, and their
+    keys: a 64-bit multilinear hash of their code points and their length."""
+    joined = "".join(texts)
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
+    doc_starts = np.cumsum(lengths) - lengths
+    starts = chunk_starts(cps, doc_starts) if len(cps) > 1 else np.zeros(1, np.int64)
+    width = np.diff(np.append(starts, len(cps)))
+    place = np.arange(len(cps)) - np.repeat(starts, width)
+    salt = _mix(np.arange(int(width.max()), dtype=np.uint64))
+    keys = np.add.reduceat((cps + np.uint64(1)) * salt[place], starts)
+    return starts, _mix(keys ^ (width.astype(np.uint64) << np.uint64(40)))
+
+
 class ChunkEncoder:
     """Token ids of many texts, each distinct chunk encoded once.
 
-    Chunks are told apart by a 64-bit multilinear hash of their code points and
-    their length. The store starts anew where it would outgrow ``limit`` chunks.
+    Chunks are told apart by their keys (see :func:`text_chunks`), found for about
+    ``WINDOW_CHARS`` characters at a time: their arrays take some 60 bytes a
+    character, the rest of a batch a few. The store starts anew where it would outgrow ``limit`` chunks.
     """
 
     def __init__(self, path: str, limit: int = CACHE_CHUNKS):
@@ -105,15 +124,16 @@ class ChunkEncoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.keys, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        self.size, self.ids = np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def _learn(self, keys: np.ndarray, chunks: list[str]) -> None:
-        lists = [e.ids for e in self.tokenizer.encode_batch(chunks, add_special_tokens=False)]
-        size = np.fromiter(map(len, lists), np.int64, len(lists))
-        new = np.fromiter((t for x in lists for t in x), np.uint32, int(size.sum()))
-        at = len(self.ids) + np.cumsum(size) - size
-        self.ids = np.concatenate([self.ids, new])
+        self.keys, self.ids = np.zeros(0, np.uint64), array("I")
+        self.at, self.size = np.zeros(0, np.uint32), np.zeros(0, np.uint32)
+
+    def _learn(self, keys: np.ndarray, chunks: Iterable[str]) -> None:
+        # One at a time: an encoding is far larger than its ids, and a task is one thread.
+        at, size = np.zeros(len(keys), np.uint32), np.zeros(len(keys), np.uint32)
+        for i, chunk in enumerate(chunks):
+            ids = self.tokenizer.encode(chunk, add_special_tokens=False).ids
+            at[i], size[i] = len(self.ids), len(ids)
+            self.ids.extend(ids)
         place = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, place, keys)
         self.at, self.size = np.insert(self.at, place, at), np.insert(self.size, place, size)
@@ -124,15 +144,15 @@ class ChunkEncoder:
         full = np.flatnonzero(lengths)
         if not len(full):
             return out
-        joined = "".join(texts[i] for i in full)
-        cps = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
-        doc_starts = np.concatenate([[0], np.cumsum(lengths[full])[:-1]])
-        starts = chunk_starts(cps, doc_starts) if len(cps) > 1 else np.zeros(1, np.int64)
-        width = np.diff(np.append(starts, len(cps)))
-        place = np.arange(len(cps)) - np.repeat(starts, width)
-        salt = _mix(np.arange(int(width.max()), dtype=np.uint64))
-        keys = np.add.reduceat((cps + np.uint64(1)) * salt[place], starts)
-        keys = _mix(keys ^ (width.astype(np.uint64) << np.uint64(40)))
+        some = [texts[i] for i in full]
+        joined = "".join(some)
+        ends = np.cumsum(lengths[full])
+        doc_starts = ends - lengths[full]
+        parts = [(a, *text_chunks(some[a:b])) for a, b in batches_of(some, WINDOW_CHARS)]
+        starts = np.concatenate([doc_starts[a] + own for a, own, _ in parts])
+        keys = np.concatenate([k for _, _, k in parts])
+        del parts
+        width = np.diff(np.append(starts, len(joined)))
         unique, first, back = np.unique(keys, return_index=True, return_inverse=True)
         known = np.searchsorted(self.keys, unique)
         have = np.zeros(len(unique), bool)
@@ -144,12 +164,12 @@ class ChunkEncoder:
                 have[:] = False
             new = first[~have]
             self._learn(
-                unique[~have], [joined[s : s + w] for s, w in zip(starts[new].tolist(), width[new].tolist(), strict=True)]
+                unique[~have], (joined[s : s + w] for s, w in zip(starts[new].tolist(), width[new].tolist(), strict=True))
             )
             known = np.searchsorted(self.keys, unique)
-        at, size = self.at[known][back], self.size[known][back]
+        at, size = (x[known][back].astype(np.int64) for x in (self.at, self.size))
         ends = np.cumsum(size)
-        ids = self.ids[np.repeat(at - (ends - size), size) + np.arange(int(ends[-1]))]
+        ids = np.frombuffer(self.ids, np.uint32)[np.repeat(at - (ends - size), size) + np.arange(int(ends[-1]))]
         per_doc = np.add.reduceat(size, np.searchsorted(starts, doc_starts))
         stops = np.cumsum(per_doc)
         for i, stop, m in zip(full, stops, per_doc, strict=True):

@@ -1,4 +1,6 @@
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
 
@@ -40,6 +42,35 @@ def test_same_ids_as_the_tokenizer(reference):
             assert ids.tolist() == reference(text)
 
 
+def test_windows_make_no_difference(reference, monkeypatch):
+    monkeypatch.setattr(packing, "WINDOW_CHARS", 20)
+    texts = ["", *ODD, "", "a" * 50, *ODD[::-1], "b", ""]
+    for text, ids in zip(texts, ChunkEncoder(tokenizer_path()).encode(texts), strict=True):
+        assert ids.tolist() == reference(text), repr(text)
+
+
+MEMORY = """
+import random, re
+from plaudit.llm.packing import ChunkEncoder, tokenizer_path
+peak = lambda: int(re.search(r"VmHWM:\\s+(\\d+)", open("/proc/self/status").read())[1]) / 1024
+rng = random.Random(5)
+word = lambda: "".join(rng.choices("aeinorst", k=rng.randint(4, 9)))
+texts = [" ".join(word() for _ in range(500)) for _ in range(266)]
+encode = ChunkEncoder(tokenizer_path())
+encode.encode(["a first text"])
+before = peak()
+assert sum(map(len, encode.encode(texts))) > 200_000
+print(peak() - before)
+"""
+
+
+def test_memory_of_a_batch():
+    """A million characters, mostly chunks not met before: the arrays of one window and the
+    ids, not all encodings at once (some 100 MB)."""
+    got = subprocess.run([sys.executable, "-c", MEMORY], capture_output=True, text=True, check=True)
+    assert float(got.stdout) < 50
+
+
 def check(rows, lengths, size=2048):
     bins = defaultdict(list)
     for r in rows:
